@@ -593,7 +593,9 @@ def wrap_sections(tokens, bounds) -> Column:
 def add_top_links(tokens) -> Column:
     """A link to the top before the third and every later h2, and one at the end."""
     tokens = col(tokens)
-    later = F.slice(F.transform(elements(tokens, lambda t: is_start(t, "h2")), lambda t: t["pos"]), 3, _END_OF_PAGE)
+    later = F.filter(
+        F.transform(elements(tokens, lambda t: is_start(t, "h2")), lambda t: t["pos"]), lambda pos, i: i >= 2
+    )
 
     def linked(places):
         pieces = F.transform(

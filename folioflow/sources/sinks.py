@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 64
 
@@ -51,8 +52,15 @@ def create_table(df: DataFrame, path: str, key: str, buckets: int = BUCKETS, fil
     _write(df.withColumn("bucket", _bucket(key, buckets)), path, key, files_per_bucket)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("bucket")
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    columns = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    fields = [f for f in columns if f.name != "bucket"] + [T.StructField("bucket", T.IntegerType())]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """The table at `path`; with a schema, an empty table can be read and no file footer is looked at."""
+    return (spark.read.parquet(path) if schema is None else _stored(spark, path, schema)).drop("bucket")
 
 
 def _touched(keys: DataFrame) -> list[int]:
@@ -61,19 +69,23 @@ def _touched(keys: DataFrame) -> list[int]:
 
 
 def save_docs(
-    spark: SparkSession, path: str, rows: DataFrame, key: str, buckets: int = BUCKETS, files_per_bucket: int = 1
+    spark: SparkSession, path: str, rows: DataFrame, key: str, schema: str | None = None,
+    buckets: int = BUCKETS, files_per_bucket: int = 1,
 ) -> None:
-    """Put `rows` into the table at `path`, rewriting the touched buckets only."""
+    """Put `rows` into the table at `path`, rewriting the touched buckets only.
+
+    `schema` is that of the stored table, by default that of `rows`; both sides' columns are kept.
+    """
     rows = rows.withColumn("bucket", _bucket(key, buckets))
     touched = _touched(rows)
     if touched:
-        old = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
+        old = _stored(spark, path, schema or rows.schema).filter(F.col("bucket").isin(touched))
         kept = old.join(rows.select("bucket", key), ["bucket", key], "left_anti")
         _write(kept.unionByName(rows, allowMissingColumns=True), path, key, files_per_bucket)
 
 
 def remove_docs(
-    spark: SparkSession, path: str, keys: DataFrame, key: str, confirm: bool = False,
+    spark: SparkSession, path: str, keys: DataFrame, key: str, schema: str | None = None, confirm: bool = False,
     buckets: int = BUCKETS, files_per_bucket: int = 1,
 ) -> None:
     """Delete by key from the table at `path`, rewriting the touched buckets only.
@@ -87,8 +99,8 @@ def remove_docs(
     touched = _touched(keys)
     if not touched:
         return
-    old = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
-    kept = old.join(keys, ["bucket", key], "left_anti")
+    old = spark.read.parquet(path) if schema is None else _stored(spark, path, schema)
+    kept = old.filter(F.col("bucket").isin(touched)).join(keys, ["bucket", key], "left_anti")
     left = set(_touched(kept))
     _write(kept, path, key, files_per_bucket)
     for number in touched:
@@ -97,6 +109,5 @@ def remove_docs(
 
 
 def _drop_bucket(spark: SparkSession, folder: str) -> None:
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(folder)
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
