@@ -21,6 +21,10 @@ from folioflow.settings import Site
 from folioflow.sources import sinks
 
 
+# What the change test needs of a stored page.
+STORED_PAGE = "url_title string, title string, modified timestamp_ntz"
+
+
 @dataclass
 class Wiki:
     """The wiki's tables: parsed pages, category members, revisions, media records."""
@@ -62,10 +66,10 @@ def _write(spark, path, key, posted, gone, dryrun) -> DataFrame:
     """Upsert and delete by key; returns the keys that did not arrive."""
     if dryrun:
         return posted.select(key).limit(0)
-    sinks.save_docs(spark, path, posted, key)
+    sinks.save_docs(spark, path, posted, key, schema=posted.schema)
     if gone is not None:
-        sinks.remove_docs(spark, path, gone, key, confirm=True)
-    return sinks.verify_published(posted, sinks.read_table(spark, path), key)
+        sinks.remove_docs(spark, path, gone, key, schema=posted.schema, confirm=True)
+    return sinks.verify_published(posted, sinks.read_table(spark, path, f"{key} string"), key)
 
 
 def publish_articles(
@@ -74,7 +78,7 @@ def publish_articles(
 ) -> Outcome:
     """Bring the article table up to date; pages no longer publishable are taken out of it."""
     site = site or Site()
-    stored = sinks.read_table(spark, path).select("url_title", "title", "modified")
+    stored = sinks.read_table(spark, path, STORED_PAGE)
     authors = diff.published_authors(wiki.members)
     published = diff.published_pages(wiki.members, wiki.revisions)
     changes = diff.articles_to_update(authors, published, stored.select("title", "modified"))
@@ -101,7 +105,7 @@ def publish_authors(
     force: bool = False, title: str | None = None, dryrun: bool = False, apply_deletes: bool = False,
 ) -> Outcome:
     """Bring the author table up to date; every author page counts as publishable."""
-    stored = sinks.read_table(spark, path).select("url_title", "title", "modified")
+    stored = sinks.read_table(spark, path, STORED_PAGE)
     authors = diff.published_authors(wiki.members)
     published = diff.published_pages(wiki.members, wiki.revisions)
     changes = _staged(spark, diff.authors_to_update(authors, published, stored.select("title", "modified")), "changes")
@@ -130,7 +134,7 @@ def publish_sources(
     """
     key = "encyclopedia_id"
     sources = diff.latest_per_key(build_sources(records, site), key, ["modified", "psms_id"])
-    stored = sinks.read_table(spark, path).select(key, "modified")
+    stored = sinks.read_table(spark, path, f"{key} string, modified timestamp_ntz")
     changes = _staged(spark, diff.sources_to_update(sources, stored), "changes")
     everything = sources if force else stored
     plan = _planned(changes, everything, key, force, source_id).filter(F.coalesce(key, F.lit("")) != "")
@@ -157,8 +161,8 @@ def publish_vocabs(
     docs = _staged(spark, build_terms(terms.filter(F.col("facet_id").isin(names))), "terms")
     sinks.save_docs(spark, facet_path, rows, "id")
     sinks.save_docs(spark, term_path, docs, "id")
-    lost = sinks.verify_published(rows, sinks.read_table(spark, facet_path), "id")
-    return lost.unionByName(sinks.verify_published(docs, sinks.read_table(spark, term_path), "id"))
+    lost = sinks.verify_published(rows, sinks.read_table(spark, facet_path, "id string"), "id")
+    return lost.unionByName(sinks.verify_published(docs, sinks.read_table(spark, term_path, "id string"), "id"))
 
 
 def publish_all(

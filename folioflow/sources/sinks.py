@@ -8,6 +8,7 @@ costs a task retry and never a half-written table.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,7 +53,12 @@ def create_table(df: DataFrame, path: str, key: str, buckets: int = BUCKETS, fil
     _write(df.withColumn("bucket", _bucket(key, buckets)), path, key, files_per_bucket)
 
 
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _stored(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The table with its bucket column. Files written at different times may differ in columns,
+    so without a schema the columns of all files are put together.
+    """
+    if schema is None:
+        return spark.read.option("mergeSchema", True).parquet(path)
     columns = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     fields = [f for f in columns if f.name != "bucket"] + [T.StructField("bucket", T.IntegerType())]
     return spark.read.schema(T.StructType(fields)).parquet(path)
@@ -60,7 +66,7 @@ def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """The table at `path`; with a schema, an empty table can be read and no file footer is looked at."""
-    return (spark.read.parquet(path) if schema is None else _stored(spark, path, schema)).drop("bucket")
+    return _stored(spark, path, schema).drop("bucket")
 
 
 def _touched(keys: DataFrame) -> list[int]:
@@ -74,12 +80,19 @@ def save_docs(
 ) -> None:
     """Put `rows` into the table at `path`, rewriting the touched buckets only.
 
-    `schema` is that of the stored table, by default that of `rows`; both sides' columns are kept.
+    `schema` is that of the stored table; without it the table's files are asked. The columns of
+    both sides are kept.
     """
     rows = rows.withColumn("bucket", _bucket(key, buckets))
     touched = _touched(rows)
     if touched:
-        old = _stored(spark, path, schema or rows.schema).filter(F.col("bucket").isin(touched))
+        try:
+            old = _stored(spark, path, schema)
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            old = _stored(spark, path, rows.schema)  # a table without files
+        old = old.filter(F.col("bucket").isin(touched))
         kept = old.join(rows.select("bucket", key), ["bucket", key], "left_anti")
         _write(kept.unionByName(rows, allowMissingColumns=True), path, key, files_per_bucket)
 
@@ -99,8 +112,7 @@ def remove_docs(
     touched = _touched(keys)
     if not touched:
         return
-    old = spark.read.parquet(path) if schema is None else _stored(spark, path, schema)
-    kept = old.filter(F.col("bucket").isin(touched)).join(keys, ["bucket", key], "left_anti")
+    kept = _stored(spark, path, schema).filter(F.col("bucket").isin(touched)).join(keys, ["bucket", key], "left_anti")
     left = set(_touched(kept))
     _write(kept, path, key, files_per_bucket)
     for number in touched:
