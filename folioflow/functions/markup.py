@@ -1,7 +1,8 @@
 """HTML bodies as arrays of tokens: one tokenizer, and expressions over its output.
 
 `html_tokens` is the only Python code that looks at page text. Its result is one array per page,
-in which every element knows where it ends; everything after that is built-in array functions.
+in which every element knows where it ends; everything after that is built-in array functions,
+written as SQL over the name of a token column.
 
 Nesting rule: an end tag closes the nearest open element of its name and all elements inside it;
 an end tag with no open element is ignored; what is open at the end of the text is closed there;
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioflow.functions.text import col, href_title, image_id, let, none_strip, strip
+from folioflow.functions.text import EDGE_SPACE, IMAGE_EXTENSION, THUMBNAIL_FOLDER, col
 
 TOKEN = (
     "struct<pos: int, kind: string, tag: string, attrs: map<string, string>, classes: array<string>,"
@@ -156,145 +157,145 @@ def html_tokens(html) -> Column:
 
 
 # --- reading tokens -------------------------------------------------------------------------
+#
+# Functions with a leading underscore, and the tests for `elements` and `drop`, give SQL text;
+# `t` is the SQL name of a token there. The others give columns.
 
 
-def has_class(token: Column, name: str) -> Column:
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
+
+
+def _let(name: str, value: str, use: str) -> str:
+    """`use` with `name` standing for `value`, which is worked out once."""
+    return f"transform(array({value}), {name} -> {use})[0]"
+
+
+def _strip(value: str) -> str:
+    return f"regexp_replace({value}, r'{EDGE_SPACE}', '')"
+
+
+def _image_id(uri: str) -> str:
+    folder, name = f"regexp_extract({uri}, r'{THUMBNAIL_FOLDER}', 1)", f"substring_index({uri}, '/', -1)"
+    return f"regexp_replace(if(contains({uri}, 'thumb'), {folder}, {name}), r'{IMAGE_EXTENSION}', '$1')"
+
+
+def has_class(t: str, name: str) -> str:
     """The element has class `name`, or its class attribute is exactly `name`."""
-    return F.coalesce(F.array_contains(token["classes"], name) | (token["attrs"]["class"] == name), F.lit(False))
+    return f"coalesce(array_contains({t}.classes, {_text(name)}) OR {t}.attrs['class'] = {_text(name)}, false)"
 
 
-def is_start(token: Column, *tags: str) -> Column:
-    started = token["kind"] == START
-    if not tags:
-        return started
-    return started & (token["tag"] == tags[0] if len(tags) == 1 else token["tag"].isin(*tags))
+def is_start(t: str, *tags: str) -> str:
+    named = f" AND {t}.tag IN ({', '.join(_text(x) for x in tags)})" if tags else ""
+    return f"({t}.kind = 'start'{named})"
 
 
-def elements(tokens, test) -> Column:
-    return F.filter(col(tokens), lambda t: F.coalesce(test(t), F.lit(False)))
+def _elements(tokens: str, test) -> str:
+    return f"filter({tokens}, t -> {test('t')})"
 
 
-def inside(tokens, element: Column) -> Column:
+def _inside(tokens: str, element: str) -> str:
     """Tokens between an element's start and end."""
-    return F.filter(col(tokens), lambda t: (t["pos"] > element["pos"]) & (t["pos"] < element["last"]))
+    return f"filter({tokens}, t -> t.pos > {element}.pos AND t.pos < {element}.last)"
 
 
-def render(tokens) -> Column:
-    return F.array_join(F.transform(col(tokens), lambda t: t["raw"]), "")
+def _render(tokens: str) -> str:
+    return f"array_join(transform({tokens}, t -> t.raw), '')"
 
 
-def plain_text(tokens) -> Column:
-    texts = F.filter(col(tokens), lambda t: t["kind"] == TEXT)
-    return F.array_join(F.transform(texts, lambda t: t["text"]), "")
+def _plain_text(tokens: str) -> str:
+    return f"array_join(transform(filter({tokens}, t -> t.kind = 'text'), t -> t.text), '')"
 
 
-def not_published_encyc(tokens) -> Column:
-    """The body has a marker div that keeps the page off the front site."""
-    return F.exists(col(tokens), lambda t: is_start(t, "div") & has_class(t, "nopublish-encycfront"))
+def elements(tokens: str, test) -> Column:
+    return F.expr(_elements(tokens, test))
 
 
-def description(tokens) -> Column:
-    """Text of the first paragraph that has any and is not databox lines; else empty."""
+def render(tokens: str) -> Column:
+    return F.expr(_render(tokens))
 
-    def text_of(paragraph):
-        text = plain_text(inside(tokens, paragraph))
-        return let(text, lambda x: F.when(F.contains(x, F.lit(";\n")), F.lit("")).otherwise(x))
 
-    # Later paragraphs are not read once one has been found.
-    found = F.aggregate(
-        elements(tokens, lambda t: is_start(t, "p")),
-        F.lit(""),
-        lambda text, p: F.when(text != "", text).otherwise(text_of(p)),
-    )
-    return none_strip(found)
+def plain_text(tokens: str) -> Column:
+    return F.expr(_plain_text(tokens))
 
 
-def byline_names(tokens) -> Column:
-    """First child of every link in the byline, as written."""
-    bylines = elements(tokens, lambda t: is_start(t, "div") & (t["attrs"]["id"] == "authorByline"))
-    links = F.flatten(
-        F.transform(bylines, lambda b: F.filter(inside(tokens, b), lambda t: is_start(t, "a") & (t["last"] > t["pos"] + 1)))
-    )
+def not_published_encyc(tokens: str) -> Column:
+    """The body has a marker div that keeps the page off the front site."""
+    return F.expr(f"exists({tokens}, t -> t.kind = 'start' AND {front_hidden('t')})")
 
-    def first_child(link):
-        child = F.filter(col(tokens), lambda t: t["pos"] == link["pos"] + 1)[0]
-        whole = F.filter(col(tokens), lambda t: (t["pos"] >= child["pos"]) & (t["pos"] <= child["last"]))
-        return F.when(child["kind"] == TEXT, child["text"]).otherwise(render(whole))
 
-    return F.transform(links, first_child)
+def description(tokens: str) -> Column:
+    """Text of the first paragraph that has any and is not databox lines; else empty."""
+    text_of = _let("x", _plain_text(_inside(tokens, "p")), r"if(contains(x, ';\n'), '', x)")
+    # Later paragraphs are not read once one has been found.
+    found = f"""aggregate({_elements(tokens, lambda t: is_start(t, 'p'))}, '',
+                          (found, p) -> CASE WHEN found <> '' THEN found ELSE {text_of} END)"""
+    return F.expr(_strip(found))
 
 
-def citation_text(tokens) -> Column:
+def byline_names(tokens: str) -> Column:
+    """First child of every link in the byline, as written."""
+    bylines = _elements(tokens, lambda t: f"{is_start(t, 'div')} AND {t}.attrs['id'] = 'authorByline'")
+    links = f"""flatten(transform({bylines}, b -> filter({_inside(tokens, 'b')},
+                                                       t -> {is_start('t', 'a')} AND t.last > t.pos + 1)))"""
+    child = f"filter({tokens}, t -> t.pos = link.pos + 1)[0]"
+    whole = f"filter({tokens}, t -> t.pos >= child.pos AND t.pos <= child.last)"
+    first = _let("child", child, f"CASE WHEN child.kind = 'text' THEN child.text ELSE {_render(whole)} END")
+    return F.expr(f"transform({links}, link -> {first})")
+
+
+def citation_text(tokens: str) -> Column:
     """First text of each citation div."""
-    divs = elements(tokens, lambda t: is_start(t, "div") & (t["attrs"]["id"] == "citationAuthor"))
-    texts = F.transform(divs, lambda d: F.filter(col(tokens), lambda t: (t["pos"] == d["pos"] + 1) & (t["kind"] == TEXT))[0]["text"])
-    return F.filter(texts, lambda x: x.isNotNull())
+    divs = _elements(tokens, lambda t: f"{is_start(t, 'div')} AND {t}.attrs['id'] = 'citationAuthor'")
+    first = f"filter({tokens}, t -> t.pos = d.pos + 1 AND t.kind = 'text')"
+    return F.expr(f"flatten(transform({divs}, d -> transform({first}, t -> t.text)))")
 
 
 # --- databoxes ------------------------------------------------------------------------------
 
-DATABOX_ROW = "struct<key: string, raw: string, parts: array<string>>"
 
-
-def databox_rows(text) -> Column:
+def _databox_rows(text: str) -> str:
     """`Key:value` lines to rows; a value with semicolons also as its trimmed, non-empty parts.
 
     Keys are lower-cased and one that occurs twice keeps its first place and its last value.
     """
-    lines = F.filter(F.transform(F.split(col(text), "\n"), strip), lambda x: F.contains(x, F.lit(":")))
-    pairs = F.transform(lines, lambda x: F.split(x, ":", 2))
-
-    def row(pair):
-        value = pair[1]
-        parts = F.filter(F.transform(F.split(value, ";"), strip), lambda x: x != "")
-        return F.struct(
-            F.lower(pair[0]).alias("key"),
-            value.alias("raw"),
-            F.when(F.contains(value, F.lit(";")), parts).alias("parts"),
-        )
+    lines = f"filter(transform(split({text}, '\\n'), line -> {_strip('line')}), line -> contains(line, ':'))"
+    parts = f"filter(transform(split(pair[1], ';'), part -> {_strip('part')}), part -> part <> '')"
+    rows = f"""transform(transform({lines}, line -> split(line, ':', 2)), pair -> named_struct(
+                 'key', lower(pair[0]), 'raw', pair[1], 'parts', if(contains(pair[1], ';'), {parts}, NULL)))"""
+    last_of_each = "transform(array_distinct(rows.key), k -> element_at(filter(rows, r -> r.key = k), -1))"
+    return _let("rows", rows, last_of_each)
 
-    def last_of_each(rows):
-        keys = F.array_distinct(F.transform(rows, lambda r: r["key"]))
-        return F.transform(keys, lambda k: F.element_at(F.filter(rows, lambda r: r["key"] == k), -1))
 
-    return let(F.transform(pairs, row), last_of_each)
-
-
-def databox_texts(tokens, ids=None) -> Column:
-    """Databoxes of a page: array<struct<databox, text>>, in the order of `ids` or of the page.
-
-    With `ids`, the first element of each id; without, every hidden div whose id names a databox.
-    The text is the markup inside the first paragraph, null if there is no paragraph.
-    """
-    tokens = col(tokens)
+def _databox_texts(tokens: str, ids=None) -> str:
     if ids:
-        found = F.transform(
-            F.array(*[F.lit(i) for i in ids]),
-            lambda i: F.try_element_at(elements(tokens, lambda t: is_start(t) & (t["attrs"]["id"] == i)), F.lit(1)),
-        )
-        found = F.filter(found, lambda t: t.isNotNull())
+        first = _elements(tokens, lambda t: f"{is_start(t)} AND {t}.attrs['id'] = id")
+        names = ", ".join(_text(i) for i in ids)
+        found = f"flatten(transform(array({names}), id -> slice({first}, 1, 1)))"
     else:
-        found = elements(
+        found = _elements(
             tokens,
-            lambda t: is_start(t, "div") & F.contains(t["attrs"]["id"], F.lit("databox")) & (t["attrs"]["style"] == "display:none;"),
+            lambda t: f"{is_start(t, 'div')} AND contains({t}.attrs['id'], 'databox') AND {t}.attrs['style'] = 'display:none;'",
         )
+    paragraph = f"try_element_at({_elements('body', lambda t: is_start(t, 'p'))}, 1)"
+    text = _let("body", _inside(tokens, "box"), _let("p", paragraph, f"if(p IS NULL, NULL, {_render(_inside('body', 'p'))})"))
+    return f"transform({found}, box -> named_struct('databox', box.attrs['id'], 'text', {text}))"
 
-    def box(element):
-        def text_in(body):
-            paragraph = F.try_element_at(elements(body, lambda t: is_start(t, "p")), F.lit(1))
-            return let(paragraph, lambda p: F.when(p.isNotNull(), render(inside(body, p))))
 
-        return F.struct(element["attrs"]["id"].alias("databox"), let(inside(tokens, element), text_in).alias("text"))
+def databox_texts(tokens: str, ids=None) -> Column:
+    """Databoxes of a page: array<struct<databox, text>>, in the order of `ids` or of the page.
 
-    return F.transform(found, box)
+    With `ids`, the first element of each id; without, every hidden div whose id names a databox.
+    The text is the markup inside the first paragraph, null if there is no paragraph.
+    """
+    return F.expr(_databox_texts(tokens, ids))
 
 
-def databoxes(tokens, ids=None) -> Column:
+def databoxes(tokens: str, ids=None) -> Column:
     """Databoxes of a page: array<struct<databox, rows>> as told for `databox_texts`."""
-    return F.transform(
-        databox_texts(tokens, ids),
-        lambda b: F.struct(b["databox"].alias("databox"), databox_rows(F.coalesce(b["text"], F.lit(""))).alias("rows")),
-    )
+    rows = _databox_rows("coalesce(b.text, '')")
+    return F.expr(f"transform({_databox_texts(tokens, ids)}, b -> named_struct('databox', b.databox, 'rows', {rows}))")
 
 
 # --- links ----------------------------------------------------------------------------------
@@ -303,229 +304,159 @@ def databoxes(tokens, ids=None) -> Column:
 LINK_CLASSES = ["offsite", "encyc", "rg", "notrg"]
 
 
-def link_title(href, base: str) -> Column:
-    """Title of the page that a link names; empty for a link that holds `http`."""
-    return let(href_title(href, base), lambda t: F.when(F.contains(t, F.lit("http")), F.lit("")).otherwise(t))
-
-
-def link_marks(href, in_guide) -> Column:
-    """Marker classes of a link, given whether its title is in the resource guide."""
-    href = col(href)
-
-    def mark(*names):
-        return F.array(*[F.lit(n) for n in names])
-
-    return (
-        F.when(href.startswith("#") | F.contains(href, F.lit("File")), F.array().cast("array<string>"))
-        .when(F.contains(href, F.lit("http:")) | F.contains(href, F.lit("https:")), mark("offsite"))
-        .when(in_guide, mark("encyc", "rg"))
-        .otherwise(mark("encyc", "notrg"))
-    )
-
+def _link_title(href: str, base: str) -> str:
+    title = f"regexp_replace({href}, '/$', '')"
+    if base:
+        title = f"replace({title}, {_text(base)}, '')"
+    return _let("title", f"regexp_replace({title}, '^/', '')", "if(contains(title, 'http'), '', title)")
 
-def rewrite_new_page(href) -> Column:
-    """Links that would create a page lead to the page itself."""
-    href = col(href)
-    plain = href
-    for old, new in (("?title=", "/"), ("&action=edit", ""), ("&redlink=1", "")):
-        plain = F.replace(plain, F.lit(old), F.lit(new))
-    return F.when(F.contains(href, F.lit("action=edit")), plain).otherwise(href)
 
+def _link_marks(href: str, in_guide: str) -> str:
+    return f"""CASE WHEN startswith({href}, '#') OR contains({href}, 'File') THEN cast(array() AS array<string>)
+                    WHEN contains({href}, 'http:') OR contains({href}, 'https:') THEN array('offsite')
+                    WHEN {in_guide} THEN array('encyc', 'rg') ELSE array('encyc', 'notrg') END"""
 
-def rewrite_prev_next(href) -> Column:
-    """Links that page through a listing keep only that parameter."""
 
-    def keep(link, name):
-        plain = F.replace(F.replace(link, F.lit("?title="), F.lit("/")), F.lit(f"&{name}="), F.lit(f"?{name}="))
-        return F.when(F.contains(link, F.lit(name + "=")), plain).otherwise(link)
+def _rewritten(href: str) -> str:
+    plain = f"replace(replace(replace({href}, '?title=', '/'), '&action=edit', ''), '&redlink=1', '')"
+    link = f"if(contains({href}, 'action=edit'), {plain}, {href})"
+    for name in ("pagefrom", "pageuntil"):
+        kept = f"replace(replace(link, '?title=', '/'), '&{name}=', '?{name}=')"
+        link = _let("link", link, f"if(contains(link, '{name}='), {kept}, link)")
+    return link
 
-    return let(keep(col(href), "pagefrom"), lambda link: keep(link, "pageuntil"))
 
+def link_title(href: str, base: str) -> Column:
+    """Title of the page that a link names; empty for a link that holds `http`."""
+    return F.expr(_link_title(href, base))
 
-def _escaped(value: Column) -> Column:
-    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        value = F.replace(value, F.lit(char), F.lit(name))
-    return value
 
+def link_marks(href: str, in_guide: str) -> Column:
+    """Marker classes of a link, given whether its title is in the resource guide."""
+    return F.expr(_link_marks(href, in_guide))
 
-def _written(value: Column) -> Column:
-    def quoted(text):
-        double, single = F.contains(text, F.lit('"')), F.contains(text, F.lit("'"))
-        return (
-            F.when(double & single, F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit("&quot;")), F.lit('"')))
-            .when(double, F.concat(F.lit("'"), text, F.lit("'")))
-            .otherwise(F.concat(F.lit('"'), text, F.lit('"')))
-        )
 
-    return let(_escaped(value), quoted)
+def rewrite_href(href: str) -> Column:
+    """Links that would create a page lead to the page itself; links that page through a listing
+    keep only that parameter.
+    """
+    return F.expr(_rewritten(href))
+
+
+def _written(value: str) -> str:
+    """An attribute value escaped and quoted."""
+    escaped = f"replace(replace(replace({value}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    both = """concat('"', replace(v, '"', '&quot;'), '"')"""
+    return _let(
+        "v",
+        escaped,
+        f"""CASE WHEN contains(v, '"') AND contains(v, "'") THEN {both}
+                 WHEN contains(v, '"') THEN concat("'", v, "'") ELSE concat('"', v, '"') END""",
+    )
 
 
-def mark_links(tokens, base: str, guide) -> Column:
+def mark_links(tokens: str, base: str, guide: str) -> Column:
     """Set the marker classes of every link and rewrite new-page and paging links.
 
-    `guide` is an array of the resource guide's titles, or at least those the page links to.
+    `guide` names an array of the resource guide's titles, or at least those the page links to.
     A link without an href is left as it is.
     """
-    tokens, guide = col(tokens), col(guide)
-
-    def in_guide(title):
-        spaced = F.translate(title, "_", " ")
-        return (title != "") & (F.array_contains(guide, title) | F.array_contains(guide, spaced))
-
-    def new_classes(t):
-        kept = F.filter(t["classes"], lambda c: ~c.isin(*LINK_CLASSES))
-        return F.concat(kept, link_marks(t["attrs"]["href"], let(link_title(t["attrs"]["href"], base), in_guide)))
-
-    def new_attrs(t, classes):
-        written = F.array_join(classes, " ")
-        target = let(rewrite_new_page(t["attrs"]["href"]), rewrite_prev_next)
-        changed = F.transform(
-            F.map_entries(t["attrs"]),
-            lambda e: F.struct(
-                e["key"].alias("key"),
-                F.when(e["key"] == "href", target).when(e["key"] == "class", written).otherwise(e["value"]).alias("value"),
-            ),
-        )
-        added = F.array(F.struct(F.lit("class").alias("key"), written.alias("value")))
-        return F.when(F.map_contains_key(t["attrs"], "class"), changed).otherwise(F.concat(changed, added))
-
-    def rebuilt(t, classes, attrs):
-        pairs = F.transform(attrs, lambda e: F.concat(F.lit(" "), e["key"], F.lit("="), _written(e["value"])))
-        raw = F.concat(F.lit("<a"), F.array_join(pairs, ""), F.lit(">"))
-        return _token(t, attrs=F.map_from_entries(attrs), classes=classes, raw=raw)
-
-    def marked(t):
-        return let(new_classes(t), lambda c: let(new_attrs(t, c), lambda a: rebuilt(t, c, a)))
-
-    return F.transform(
-        tokens, lambda t: F.when(is_start(t, "a") & t["attrs"]["href"].isNotNull(), marked(t)).otherwise(t)
-    )
-
-
-def _token(t: Column, **changed) -> Column:
-    names = ("pos", "kind", "tag", "attrs", "classes", "raw", "text", "last", "parent")
-    return F.struct(*[changed.get(n, t[n]).alias(n) for n in names])
-
-
-def _inserted(pos: Column, raw: Column) -> Column:
+    href = "t.attrs['href']"
+    known = f"name <> '' AND (array_contains({guide}, name) OR array_contains({guide}, translate(name, '_', ' ')))"
+    ours = ", ".join(_text(c) for c in LINK_CLASSES)
+    classes = f"concat(filter(t.classes, c -> c NOT IN ({ours})), {_link_marks(href, _let('name', _link_title(href, base), known))})"
+    changed = f"""transform(map_entries(t.attrs), e -> named_struct('key', e.key, 'value',
+                    CASE e.key WHEN 'href' THEN {_rewritten(href)} WHEN 'class' THEN array_join(classes, ' ') ELSE e.value END))"""
+    added = "array(named_struct('key', 'class', 'value', array_join(classes, ' ')))"
+    attrs = f"if(map_contains_key(t.attrs, 'class'), {changed}, concat({changed}, {added}))"
+    raw = f"concat('<a', array_join(transform(attrs, e -> concat(' ', e.key, '=', {_written('e.value')})), ''), '>')"
+    rebuilt = f"""named_struct('pos', t.pos, 'kind', t.kind, 'tag', t.tag, 'attrs', map_from_entries(attrs), 'classes', classes,
+                               'raw', {raw}, 'text', t.text, 'last', t.last, 'parent', t.parent)"""
+    marked = _let("classes", classes, _let("attrs", attrs, rebuilt))
+    return F.expr(f"transform({tokens}, t -> CASE WHEN {is_start('t', 'a')} AND {href} IS NOT NULL THEN {marked} ELSE t END)")
+
+
+def _inserted(pos: str, raw: str) -> str:
     """A piece of markup that belongs to the place `pos` but is no element of its own."""
-    return F.struct(
-        pos.alias("pos"),
-        F.lit(OTHER).alias("kind"),
-        F.lit(None).cast("string").alias("tag"),
-        F.lit(None).cast("map<string,string>").alias("attrs"),
-        F.lit(None).cast("array<string>").alias("classes"),
-        raw.alias("raw"),
-        F.lit(None).cast("string").alias("text"),
-        pos.alias("last"),
-        F.lit(-1).alias("parent"),
-    )
+    return f"""named_struct('pos', {pos}, 'kind', '{OTHER}', 'tag', cast(NULL AS string), 'attrs', cast(NULL AS map<string, string>),
+                            'classes', cast(NULL AS array<string>), 'raw', {raw}, 'text', cast(NULL AS string), 'last', {pos}, 'parent', -1)"""
 
 
 # --- removing elements ----------------------------------------------------------------------
 
 
-def drop(tokens, *tests) -> Column:
-    """Tokens less every element that passes one of the tests, with all it holds."""
-    tokens = col(tokens)
-    chosen = tests[0] if len(tests) == 1 else lambda t: _any(F.coalesce(x(t), F.lit(False)) for x in tests)
-
-    def without(gone):
-        kept = F.filter(tokens, lambda t: ~F.exists(gone, lambda g: (t["pos"] >= g["pos"]) & (t["pos"] <= g["last"])))
-        return F.when(F.size(gone) == 0, tokens).otherwise(kept)
+def _spans(tokens: str, *tests) -> str:
+    """Places of the elements that pass one of the tests."""
+    chosen = " OR ".join(f"coalesce({test('t')}, false)" for test in tests)
+    return f"transform(filter({tokens}, t -> t.kind = 'start' AND ({chosen})), t -> named_struct('pos', t.pos, 'last', t.last))"
 
-    spans = F.transform(
-        elements(tokens, lambda t: is_start(t) & chosen(t)),
-        lambda t: F.struct(t["pos"].alias("pos"), t["last"].alias("last")),
-    )
-    return let(spans, without)
 
-
-def _any(conditions) -> Column:
-    first, *rest = conditions
-    for condition in rest:
-        first = first | condition
-    return first
+def drop(tokens: str, *tests) -> Column:
+    """Tokens less every element that passes one of the tests, with all it holds."""
+    kept = f"filter({tokens}, t -> NOT exists(gone, g -> t.pos BETWEEN g.pos AND g.last))"
+    return F.expr(_let("gone", _spans(tokens, *tests), f"if(size(gone) = 0, {tokens}, {kept})"))
 
 
-def empty_paragraph(tokens):
+def empty_paragraph(tokens: str):
     """Test for paragraphs written exactly as `<p><br />`, line break, `</p>`; needs whole tokens."""
 
-    def test(t):
-        br, text = F.get(col(tokens), t["pos"] + 1), F.get(col(tokens), t["pos"] + 2)
+    def test(t: str) -> str:
+        br, text = f"get({tokens}, {t}.pos + 1)", f"get({tokens}, {t}.pos + 2)"
         return (
-            (t["tag"] == "p") & (t["text"] == "<p>") & (t["last"] == t["pos"] + 3)
-            & (br["text"] == "<br />") & (br["kind"] == START)
-            & (text["kind"] == TEXT) & (text["text"] == "\n")
+            f"{t}.tag = 'p' AND {t}.text = '<p>' AND {t}.last = {t}.pos + 3 AND {br}.kind = 'start' "
+            f"AND {br}.text = '<br />' AND {text}.kind = 'text' AND {text}.text = '\\n'"
         )
 
     return test
 
 
-def page_title(t) -> Column:
-    return t["tag"] == "h1"
+def page_title(t: str) -> str:
+    return f"{t}.tag = 'h1'"
 
 
-def edit_link(t) -> Column:
-    return (t["tag"] == "span") & has_class(t, "mw-editsection")
+def edit_link(t: str) -> str:
+    return f"{t}.tag = 'span' AND {has_class(t, 'mw-editsection')}"
 
 
-def status_marker(t) -> Column:
-    return (t["tag"] == "div") & has_class(t, "alert") & F.array_contains(t["classes"], "published")
+def status_marker(t: str) -> str:
+    return f"{t}.tag = 'div' AND {has_class(t, 'alert')} AND array_contains({t}.classes, 'published')"
 
 
-def front_hidden(t) -> Column:
-    return (t["tag"] == "div") & has_class(t, "nopublish-encycfront")
+def front_hidden(t: str) -> str:
+    return f"{t}.tag = 'div' AND {has_class(t, 'nopublish-encycfront')}"
 
 
-def upload_link(t) -> Column:
-    return (t["tag"] == "a") & has_class(t, "new")
+def upload_link(t: str) -> str:
+    return f"{t}.tag = 'a' AND {has_class(t, 'new')}"
 
 
-def source_image(tokens, source_ids):
+def source_image(tokens: str, source_ids: str):
     """Test for image links whose picture is one of the page's own media sources."""
-    ids = F.coalesce(col(source_ids), F.array().cast("array<string>"))
 
-    def test(t):
-        images = F.filter(col(tokens), lambda i: is_start(i, "img") & (i["pos"] > t["pos"]) & (i["pos"] < t["last"]))
-        source = F.try_element_at(images, F.lit(1))["attrs"]["src"]
-        named = let(image_id(source), lambda name: (name != "") & F.array_contains(ids, name))
-        return (t["tag"] == "a") & has_class(t, "image") & (F.size(ids) > 0) & named
+    def test(t: str) -> str:
+        image = f"try_element_at(filter({tokens}, i -> {is_start('i', 'img')} AND i.pos > {t}.pos AND i.pos < {t}.last), 1)"
+        named = _let("src", f"{image}.attrs['src']", _let("name", _image_id("src"), f"name <> '' AND array_contains({source_ids}, name)"))
+        return f"{t}.tag = 'a' AND {has_class(t, 'image')} AND size({source_ids}) > 0 AND {named}"
 
     return test
 
 
-def hide_tags(tokens, selector: str, comments: bool = True) -> Column:
+def hide_tags(tokens: str, selector: str, comments: bool = True) -> Column:
     """Elements that match `attribute=value` give way to a comment, or to nothing."""
     attr, value = selector.split("=")
-    tokens = col(tokens)
 
-    def chosen(t):
-        if attr == "class":
-            return has_class(t, value)
-        return t["attrs"][attr] == value
+    def chosen(t: str) -> str:
+        return has_class(t, value) if attr == "class" else f"{t}.attrs[{_text(attr)}] = {_text(value)}"
 
     if not comments:
         return drop(tokens, chosen)
-    note = F.lit(f'<!--"{value}" removed-->')
-
-    def outermost(hits):
-        return F.filter(hits, lambda h: ~F.exists(hits, lambda o: (o["pos"] < h["pos"]) & (o["last"] >= h["last"])))
-
-    def replaced(outer):
-        pieces = F.transform(
-            tokens,
-            lambda t: F.when(
-                F.exists(outer, lambda o: (o["pos"] == t["pos"]) & (t["kind"] == START)), _inserted(t["pos"], note)
-            ).when(~F.exists(outer, lambda o: (t["pos"] >= o["pos"]) & (t["pos"] <= o["last"])), t),
-        )
-        return F.when(F.size(outer) == 0, tokens).otherwise(F.filter(pieces, lambda t: t.isNotNull()))
-
-    spans = F.transform(
-        elements(tokens, lambda t: is_start(t) & chosen(t)),
-        lambda t: F.struct(t["pos"].alias("pos"), t["last"].alias("last")),
-    )
-    return let(let(spans, outermost), replaced)
+    outermost = "filter(hits, h -> NOT exists(hits, o -> o.pos < h.pos AND o.last >= h.last))"
+    note = _inserted("t.pos", _text(f'<!--"{value}" removed-->'))
+    pieces = f"""filter(transform({tokens}, t ->
+        CASE WHEN exists(gone, g -> g.pos = t.pos AND t.kind = 'start') THEN {note}
+             WHEN NOT exists(gone, g -> t.pos BETWEEN g.pos AND g.last) THEN t END), t -> t IS NOT NULL)"""
+    gone = _let("hits", _spans(tokens, chosen), outermost)
+    return F.expr(_let("gone", gone, f"if(size(gone) = 0, {tokens}, {pieces})"))
 
 
 # --- sections and top links -----------------------------------------------------------------
@@ -538,76 +469,48 @@ TOP_LINK = '<div class="toplink"><a href="#top"><i class="icon-chevron-up"></i>
 _END_OF_PAGE = 2147483647
 
 
-def section_bounds(tokens) -> Column:
+def section_bounds(tokens: str) -> Column:
     """Sections: array<struct<start, header_end, stop, id>> by token position.
 
     A section is a header that holds a headline, and what follows it under the same parent up
     to the next header or the parent's end.
     """
-    tokens = col(tokens)
-    headlines = elements(tokens, lambda t: is_start(t, "span") & has_class(t, "mw-headline") & (t["parent"] >= 0))
-    headers = let(
-        F.array_distinct(F.transform(headlines, lambda s: s["parent"])),
-        lambda parents: F.filter(tokens, lambda t: is_start(t) & F.array_contains(parents, t["pos"])),
+    headlines = _elements(tokens, lambda t: f"{is_start(t, 'span')} AND {has_class(t, 'mw-headline')} AND {t}.parent >= 0")
+    headers = _let(
+        "parents",
+        f"array_distinct(transform({headlines}, t -> t.parent))",
+        f"if(size(parents) = 0, slice({tokens}, 1, 0), filter({tokens}, t -> t.kind = 'start' AND array_contains(parents, t.pos)))",
     )
-
-    def bounds(h):
-        span = F.try_element_at(elements(inside(tokens, h), lambda t: is_start(t, "span")), F.lit(1))
-        following = F.filter(tokens, lambda t: is_start(t, *HEADERS) & (t["parent"] == h["parent"]) & (t["pos"] > h["last"]))
-        outer = F.try_element_at(F.filter(tokens, lambda t: is_start(t) & (t["pos"] == h["parent"])), F.lit(1))
-        stop = F.coalesce(F.try_element_at(following, F.lit(1))["pos"], outer["last"], F.lit(_END_OF_PAGE))
-        return F.struct(
-            h["pos"].alias("start"),
-            h["last"].alias("header_end"),
-            stop.alias("stop"),
-            F.coalesce(span["attrs"]["id"], F.lit("")).alias("id"),
-        )
-
-    return F.transform(headers, bounds)
-
-
-def wrap_sections(tokens, bounds) -> Column:
-    """Put every section into a div, and what follows its header into a content div."""
-    tokens, bounds = col(tokens), col(bounds)
-    close = F.lit("</div></div>")
-
-    def pieces(t):
-        closing = F.transform(F.filter(bounds, lambda b: b["stop"] == t["pos"]), lambda b: _inserted(t["pos"], close))
-        opening = F.transform(
-            F.filter(bounds, lambda b: b["start"] == t["pos"]),
-            lambda b: _inserted(t["pos"], F.concat(F.lit('<div class="section" id='), _written(b["id"]), F.lit(">"))),
-        )
-        content = F.transform(
-            F.filter(bounds, lambda b: b["header_end"] == t["pos"]),
-            lambda b: _inserted(t["pos"], F.lit('<div class="section_content">')),
-        )
-        return F.concat(closing, opening, F.array(t), content)
-
-    ending = F.transform(
-        F.filter(bounds, lambda b: b["stop"] == _END_OF_PAGE), lambda b: _inserted(F.lit(_END_OF_PAGE), close)
+    span = f"try_element_at(filter({tokens}, t -> {is_start('t', 'span')} AND t.pos > h.pos AND t.pos < h.last), 1)"
+    following = f"filter({tokens}, t -> {is_start('t', *HEADERS)} AND t.parent = h.parent AND t.pos > h.last)"
+    outer = f"filter({tokens}, t -> t.kind = 'start' AND t.pos = h.parent)"
+    stop = f"coalesce(try_element_at({following}, 1).pos, try_element_at({outer}, 1).last, {_END_OF_PAGE})"
+    return F.expr(
+        f"""transform({headers}, h -> named_struct('start', h.pos, 'header_end', h.last, 'stop', {stop},
+                                                   'id', coalesce({span}.attrs['id'], '')))"""
     )
-    wrapped = F.concat(F.flatten(F.transform(tokens, pieces)), ending)
-    return F.when(F.size(bounds) == 0, tokens).otherwise(wrapped)
 
 
-def add_top_links(tokens) -> Column:
+def wrap_sections(tokens: str, bounds: str) -> Column:
+    """Put every section into a div, and what follows its header into a content div."""
+    opening = f"""concat('<div class="section" id=', {_written('b.id')}, '>')"""
+    content = _inserted("t.pos", _text('<div class="section_content">'))
+    pieces = f"""concat(transform(filter({bounds}, b -> b.stop = t.pos), b -> {_inserted('t.pos', _text('</div></div>'))}),
+                        transform(filter({bounds}, b -> b.start = t.pos), b -> {_inserted('t.pos', opening)}),
+                        array(t),
+                        transform(filter({bounds}, b -> b.header_end = t.pos), b -> {content}))"""
+    ending = f"""transform(filter({bounds}, b -> b.stop = {_END_OF_PAGE}),
+                           b -> {_inserted(str(_END_OF_PAGE), _text('</div></div>'))})"""
+    return F.expr(f"if(size({bounds}) = 0, {tokens}, concat(flatten(transform({tokens}, t -> {pieces})), {ending}))")
+
+
+def add_top_links(tokens: str) -> Column:
     """A link to the top before the third and every later h2, and one at the end."""
-    tokens = col(tokens)
-    later = F.filter(
-        F.transform(elements(tokens, lambda t: is_start(t, "h2")), lambda t: t["pos"]), lambda pos, i: i >= 2
-    )
-
-    def linked(places):
-        pieces = F.transform(
-            tokens,
-            lambda t: F.when(
-                (t["kind"] == START) & F.array_contains(places, t["pos"]),
-                F.array(_inserted(t["pos"], F.lit(TOP_LINK)), t),
-            ).otherwise(F.array(t)),
-        )
-        return F.when(F.size(places) == 0, tokens).otherwise(F.flatten(pieces))
-
-    return F.concat(let(later, linked), F.array(_inserted(F.lit(_END_OF_PAGE), F.lit(TOP_LINK))))
+    places = f"filter(transform({_elements(tokens, lambda t: is_start(t, 'h2'))}, t -> t.pos), (pos, i) -> i >= 2)"
+    linked = f"""flatten(transform({tokens}, t -> CASE WHEN t.kind = 'start' AND array_contains(places, t.pos)
+                   THEN array({_inserted('t.pos', _text(TOP_LINK))}, t) ELSE array(t) END))"""
+    ending = _inserted(str(_END_OF_PAGE), _text(TOP_LINK))
+    return F.expr(f"concat({_let('places', places, f'if(size(places) = 0, {tokens}, {linked})')}, array({ending}))")
 
 
 # --- finished text --------------------------------------------------------------------------

@@ -17,20 +17,19 @@ TRUE_WORDS = ["y", "yes", "t", "true", "on", "1"]
 FALSE_WORDS = ["n", "no", "f", "false", "off", "0"]
 
 # Whitespace at either end, with the control characters that regex \s leaves out.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+
+# The folder that a thumbnail lies in, and a file name less its last extension.
+THUMBNAIL_FOLDER = "([^/]*)/+[^/]*$"
+IMAGE_EXTENSION = r"(?s)^(\.*[^.].*)\.[^.]*$"
 
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def let(value, use) -> Column:
-    """`use(value)` with `value` worked out once, also where `use` needs it many times."""
-    return F.transform(F.array(value), use)[0]
-
-
 def strip(text) -> Column:
-    return F.regexp_replace(col(text), _EDGE_SPACE, "")
+    return F.regexp_replace(col(text), EDGE_SPACE, "")
 
 
 def none_strip(text) -> Column:
@@ -76,9 +75,9 @@ def image_id(uri) -> Column:
     uri = col(uri)
     name = F.when(
         F.contains(uri, F.lit("thumb")),
-        F.regexp_extract(uri, "([^/]*)/+[^/]*$", 1),
+        F.regexp_extract(uri, THUMBNAIL_FOLDER, 1),
     ).otherwise(F.substring_index(uri, "/", -1))
-    return F.regexp_replace(name, r"(?s)^(\.*[^.].*)\.[^.]*$", "$1")
+    return F.regexp_replace(name, IMAGE_EXTENSION, "$1")
 
 
 def fix_external_url(url, base: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions import markup as M
+from folioflow.functions.text import strip
 from folioflow.session import spread
 from folioflow.settings import Site
 
@@ -20,8 +21,10 @@ def with_tokens(pages: DataFrame, html: str = "html", tokens: str = "tokens") ->
 
 def page_links(tokens: DataFrame, key: str, base: str) -> DataFrame:
     """Rows (key, pos, href, title): every link of every page."""
-    links = M.elements("tokens", lambda t: M.is_start(t, "a") & t["attrs"]["href"].isNotNull())
-    light = F.transform(links, lambda t: F.struct(t["pos"].alias("pos"), t["attrs"]["href"].alias("href")))
+    light = F.expr(
+        f"""transform(filter(tokens, t -> {M.is_start('t', 'a')} AND t.attrs['href'] IS NOT NULL),
+                      t -> named_struct('pos', t.pos, 'href', t.attrs['href']))"""
+    )
     rows = tokens.select(key, F.explode(light).alias("link")).select(key, "link.pos", "link.href")
     return rows.withColumn("title", M.link_title("href", base))
 
@@ -42,7 +45,7 @@ def classify_links(links: DataFrame, guide_titles: DataFrame, title: str = "id")
         .select("title", F.lit(True).alias("_in"))
     )
     out = links.join(looked_up, "title", "left").withColumn("in_guide", F.coalesce("_in", F.lit(False)))
-    return out.withColumn("class", F.array_join(M.link_marks("href", F.col("in_guide")), ",")).drop("_in")
+    return out.withColumn("class", F.array_join(M.link_marks("href", "in_guide"), ",")).drop("_in")
 
 
 def guide_titles_per_page(links: DataFrame, guide_titles: DataFrame, key: str) -> DataFrame:
@@ -121,16 +124,12 @@ def sections(tokens: DataFrame, key: str) -> DataFrame:
     """Rows (key, section_no, section_id, heading, content) of every section."""
     df = tokens.withColumn("sections", M.section_bounds("tokens"))
     cut = df.select(key, "tokens", F.posexplode("sections").alias("section_no", "s"))
-
-    def between(low, high):
-        return F.filter("tokens", lambda t: (t["pos"] > low) & (t["pos"] < high))
-
     return cut.select(
         key,
         F.col("section_no").cast("bigint").alias("section_no"),
         F.col("s.id").alias("section_id"),
-        M.plain_text(between(F.col("s.start"), F.col("s.header_end"))).alias("heading"),
-        M.render(between(F.col("s.header_end"), F.col("s.stop"))).alias("content"),
+        M.plain_text("filter(tokens, t -> t.pos > s.start AND t.pos < s.header_end)").alias("heading"),
+        M.render("filter(tokens, t -> t.pos > s.header_end AND t.pos < s.stop)").alias("content"),
     )
 
 
@@ -162,7 +161,7 @@ def raw_box_rows(tokens: DataFrame, key: str, ids=None) -> DataFrame:
     """
     boxes = tokens.select(key, F.explode(M.databox_texts("tokens", ids)).alias("box"))
     lines = boxes.select(key, "box.databox", F.posexplode(F.split("box.text", "\n")).alias("pos", "line"))
-    lines = lines.withColumn("line", M.strip("line")).filter(F.col("line") != "")
+    lines = lines.withColumn("line", strip("line")).filter(F.col("line") != "")
     return lines.select(
         key, "databox", F.col("pos").cast("bigint").alias("pos"), F.size(F.split("line", ":", 2)).alias("n_cells")
     )

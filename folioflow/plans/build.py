@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions import flags, markup as M, people
-from folioflow.functions.text import absolute_url, default_sort, let, none_strip, title_sort
+from folioflow.functions.text import absolute_url, default_sort, none_strip, title_sort
 from folioflow.operators import bodies, diff, index, links
 from folioflow.operators.links import flag_members
 from folioflow.settings import Site
@@ -36,37 +36,42 @@ def page_facts(pages: DataFrame, members: DataFrame, revisions: DataFrame, sourc
     return facts.join(categories, "url_title", "left").join(ids, "url_title", "left")
 
 
-def box_json(rows) -> Column:
-    """Databox rows as one JSON object; values are text, or lists where they had semicolons."""
+def box_json(rows: str) -> Column:
+    """Databox rows as one JSON object; values are text, or lists where they had semicolons.
 
+    `rows` is the SQL of an array of rows (key, raw, parts).
+    """
+    return F.expr(_box_json(rows))
+
+
+def _box_json(rows: str) -> str:
     def quoted(text):
-        return let(F.to_json(F.array(text)), lambda x: F.substring(x, F.lit(2), F.length(x) - 2))
+        return f"regexp_replace(to_json(array({text})), r'^\\[|\\]$', '')"
 
-    pairs = F.transform(
-        rows, lambda r: F.concat(quoted(r["key"]), F.lit(":"), F.coalesce(F.to_json(r["parts"]), quoted(r["raw"])))
-    )
-    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+    pairs = f"transform({rows}, r -> concat({quoted('r.key')}, ':', coalesce(to_json(r.parts), {quoted('r.raw')})))"
+    return f"concat('{{', array_join({pairs}, ','), '}}')"
 
 
-def _field(boxes, box: str, name: str):
+def _field(boxes: str, box: str, name: str) -> Column:
     """Values of one databox field: its parts, or its text as a list of one; null if not there."""
-    rows = F.flatten(F.transform(F.filter(boxes, lambda b: b["databox"] == box), lambda b: b["rows"]))
-    row = F.try_element_at(F.filter(rows, lambda r: r["key"] == name), F.lit(1))
-    return F.when(row.isNotNull(), F.coalesce(row["parts"], F.array(row["raw"])))
+    rows = f"flatten(filter({boxes}, b -> b.databox = '{box}').rows)"
+    values = f"transform(filter({rows}, r -> r.key = '{name}'), r -> coalesce(r.parts, array(r.raw)))"
+    return F.expr(f"try_element_at({values}, 1)")
 
 
 def flatten_databoxes(articles: DataFrame, site: Site, boxes: str = "boxes") -> DataFrame:
     """Databoxes as text columns: `BOX|json` strings, and `<prefix>_<field>` for prefixed boxes."""
-    kept = F.filter(boxes, lambda b: b["databox"].isin(list(site.databoxes)) & (F.size(b["rows"]) > 0))
-    texts = F.transform(kept, lambda b: F.concat(b["databox"], F.lit("|"), box_json(b["rows"])))
+    names = ", ".join(f"'{name}'" for name in site.databoxes)
+    kept = f"filter({boxes}, b -> b.databox IN ({names}) AND size(b.rows) > 0)"
+    texts = F.expr(f"transform({kept}, b -> concat(b.databox, '|', {_box_json('b.rows')}))")
     columns = {"databoxes": texts}
     for box, prefix in site.databoxes.items():
         if prefix:
-            columns.update({f"{prefix}_{name}": _field(F.col(boxes), box, name) for name in site.rg_fields})
+            columns.update({f"{prefix}_{name}": _field(boxes, box, name) for name in site.rg_fields})
     return articles.withColumns(columns)
 
 
-def published_rg(boxes) -> Column:
+def published_rg(boxes: str) -> Column:
     """The core databox names a media type."""
     values = _field(boxes, "rgdatabox-Core", "rgmediatype")
     return F.coalesce(F.exists(values, lambda v: v != ""), F.lit(False))
@@ -108,7 +113,7 @@ def build_pages(
     return df.withColumns(
         {
             "public": F.lit(False),
-            "published_rg": published_rg(F.col("boxes")),
+            "published_rg": published_rg("boxes"),
             "mw_api_url": absolute_url("page", "url_title"),
             "title": none_strip("displaytitle"),
         }

@@ -85,7 +85,7 @@ def test_sections_end_with_their_parent(spark):
 )
 def test_rewritten_links(spark, href, expected):
     df = spark.createDataFrame([(href,)], "h string")
-    assert df.select(M.rewrite_prev_next(M.rewrite_new_page("h"))).first()[0] == expected
+    assert df.select(M.rewrite_href("h")).first()[0] == expected
 
 
 @pytest.mark.parametrize(
@@ -130,7 +130,8 @@ def test_source_images(spark):
         f'<div><a href="/File:{n}.jpg" class="image"><img src="/images/thumb/a/a1/{n}.jpg/200px-{n}.jpg"  /></a></div>' for n in (one, two)
     )
     df = bodies.with_tokens(spark.createDataFrame([(html, [one, "x"])], "html string, ids array<string>"))
-    out = df.select(M.render(M.drop("tokens", M.source_image("tokens", "ids")))).first()[0]
+    df = df.withColumn("tokens", M.drop("tokens", M.source_image("tokens", "ids")))
+    out = df.select(M.render("tokens")).first()[0]
     assert out.startswith("<div></div><div><a") and two in out
 
 

@@ -28,7 +28,7 @@ def token_counts(spark, sf):
         "page_id",
         count(lambda t: M.is_start(t, "a")).alias("links"),
         count(lambda t: M.is_start(t, "p")).alias("paragraphs"),
-        count(lambda t: t["kind"] == M.COMMENT).alias("comments"),
+        count(lambda t: f"{t}.kind = 'comment'").alias("comments"),
         count(lambda t: M.is_start(t, "meta", "br")).alias("voids"),
     )
 
@@ -76,8 +76,8 @@ def descriptions(spark, sf):
     """SELECT doc_id, regexp_replace(string_split(text, chr(10))[1], '^[\\s]+|[\\s]+$', '', 'g') AS description FROM documents""",
 )
 def built_descriptions(spark, sf):
-    safe = F.transform(F.split("text", "\n"), M._escaped)
-    paragraphs = F.array_join(F.transform(safe, lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>\n"))), "")
+    safe = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    paragraphs = F.array_join(F.transform(F.split(safe, "\n"), lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>\n"))), "")
     html = F.concat(F.lit("<h1>x</h1><p></p><p>Title:x;\n</p>"), paragraphs)
     pages = table(spark, sf, "documents").select("doc_id", html.alias("html"))
     return bodies.with_tokens(pages).select("doc_id", M.description("tokens").alias("description"))
@@ -216,6 +216,7 @@ def databox_report(spark, sf):
 )
 def bylines(spark, sf):
     from folioflow.functions.people import parse_names
+    from folioflow.functions.text import strip
 
     html = F.concat(
         F.lit('<div id="authorByline"><b>Authored by <a href="/a">'), "s_name", F.lit('</a> and <a href="/b"><i>X</i> Y</a><a></a></b></div>'),
@@ -226,5 +227,5 @@ def bylines(spark, sf):
     return tokens.select(
         "url_title",
         F.array_join(M.byline_names("tokens"), "|").alias("display"),
-        F.array_join(F.transform(names, lambda n: F.array_join(F.transform(n, M.strip), ",")), "|").alias("parsed"),
+        F.array_join(F.transform(names, lambda n: F.array_join(F.transform(n, strip), ",")), "|").alias("parsed"),
     )

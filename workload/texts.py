@@ -218,11 +218,8 @@ def whole_numbers(spark, sf):
     """SELECT p_partkey, 'databox-Books|{"title":"' || p_name || '","brands":["' || p_brand || '","' || p_type || '"]}' AS databox FROM part""",
 )
 def databox_json(spark, sf):
-    none = F.lit(None).cast("array<string>")
-    rows = F.array(
-        F.struct(F.lit("title").alias("key"), F.col("p_name").alias("raw"), none.alias("parts")),
-        F.struct(F.lit("brands").alias("key"), F.lit("").alias("raw"), F.array("p_brand", "p_type").alias("parts")),
-    )
+    rows = """array(named_struct('key', 'title', 'raw', p_name, 'parts', cast(NULL AS array<string>)),
+                    named_struct('key', 'brands', 'raw', '', 'parts', array(p_brand, p_type)))"""
     return table(spark, sf, "part").select("p_partkey", F.concat(F.lit("databox-Books|"), box_json(rows)).alias("databox"))
 
 
