@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioflow.functions.text import col, strip
+from folioflow.functions.text import bind, col, strip
 
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 
@@ -24,7 +24,11 @@ def _month_number(name: Column) -> Column:
 
 def lenient_ts(text) -> Column:
     """Parse the common written forms of a date and time; anything else is null."""
-    text = strip(text)
+    return bind(strip(text), _iso_form).try_cast("timestamp_ntz")
+
+
+def _iso_form(text: Column) -> Column:
+    """Year to second in ISO order, for the forms that are known."""
     tail = r"[,T ]*(\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?.*$"
     word = r"^(?:[A-Za-z]{3,9},? +)?"
     iso = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ](\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?))?(?: ?(?:Z|[+-]\d{2}:?\d{2}))?$"
@@ -41,7 +45,7 @@ def lenient_ts(text) -> Column:
         full = F.when(clock.rlike(r"^\d:"), F.concat(F.lit("0"), clock)).otherwise(clock)
         return F.when(full == "", date).otherwise(F.concat_ws(" ", date, full))
 
-    shaped = (
+    return (
         F.when(text.rlike(iso), F.trim(F.concat_ws(" ", part(iso, 1), part(iso, 2))))
         .when(
             text.rlike(packed),
@@ -62,7 +66,6 @@ def lenient_ts(text) -> Column:
             stamp(part(month_first, 3), _month_number(part(month_first, 1)), part(month_first, 2), part(month_first, 4)),
         )
     )
-    return shaped.try_cast("timestamp_ntz")
 
 
 def iso_text(ts) -> Column:

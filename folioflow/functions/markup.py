@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioflow.functions.text import EDGE_SPACE, IMAGE_EXTENSION, THUMBNAIL_FOLDER, col
+from folioflow.functions.text import IMAGE_EXTENSION, THUMBNAIL_FOLDER, col, let, literal, strip_sql
 
 TOKEN = (
     "struct<pos: int, kind: string, tag: string, attrs: map<string, string>, classes: array<string>,"
@@ -162,20 +162,6 @@ def html_tokens(html) -> Column:
 # `t` is the SQL name of a token there. The others give columns.
 
 
-def _text(value: str) -> str:
-    """A SQL string literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
-
-
-def _let(name: str, value: str, use: str) -> str:
-    """`use` with `name` standing for `value`, which is worked out once."""
-    return f"transform(array({value}), {name} -> {use})[0]"
-
-
-def _strip(value: str) -> str:
-    return f"regexp_replace({value}, r'{EDGE_SPACE}', '')"
-
-
 def _image_id(uri: str) -> str:
     folder, name = f"regexp_extract({uri}, r'{THUMBNAIL_FOLDER}', 1)", f"substring_index({uri}, '/', -1)"
     return f"regexp_replace(if(contains({uri}, 'thumb'), {folder}, {name}), r'{IMAGE_EXTENSION}', '$1')"
@@ -183,11 +169,11 @@ def _image_id(uri: str) -> str:
 
 def has_class(t: str, name: str) -> str:
     """The element has class `name`, or its class attribute is exactly `name`."""
-    return f"coalesce(array_contains({t}.classes, {_text(name)}) OR {t}.attrs['class'] = {_text(name)}, false)"
+    return f"coalesce(array_contains({t}.classes, {literal(name)}) OR {t}.attrs['class'] = {literal(name)}, false)"
 
 
 def is_start(t: str, *tags: str) -> str:
-    named = f" AND {t}.tag IN ({', '.join(_text(x) for x in tags)})" if tags else ""
+    named = f" AND {t}.tag IN ({', '.join(literal(x) for x in tags)})" if tags else ""
     return f"({t}.kind = 'start'{named})"
 
 
@@ -227,11 +213,11 @@ def not_published_encyc(tokens: str) -> Column:
 
 def description(tokens: str) -> Column:
     """Text of the first paragraph that has any and is not databox lines; else empty."""
-    text_of = _let("x", _plain_text(_inside(tokens, "p")), r"if(contains(x, ';\n'), '', x)")
+    text_of = let("x", _plain_text(_inside(tokens, "p")), r"if(contains(x, ';\n'), '', x)")
     # Later paragraphs are not read once one has been found.
     found = f"""aggregate({_elements(tokens, lambda t: is_start(t, 'p'))}, '',
                           (found, p) -> CASE WHEN found <> '' THEN found ELSE {text_of} END)"""
-    return F.expr(_strip(found))
+    return F.expr(strip_sql(found))
 
 
 def byline_names(tokens: str) -> Column:
@@ -241,15 +227,15 @@ def byline_names(tokens: str) -> Column:
                                                        t -> {is_start('t', 'a')} AND t.last > t.pos + 1)))"""
     child = f"filter({tokens}, t -> t.pos = link.pos + 1)[0]"
     whole = f"filter({tokens}, t -> t.pos >= child.pos AND t.pos <= child.last)"
-    first = _let("child", child, f"CASE WHEN child.kind = 'text' THEN child.text ELSE {_render(whole)} END")
+    first = let("child", child, f"CASE WHEN child.kind = 'text' THEN child.text ELSE {_render(whole)} END")
     return F.expr(f"transform({links}, link -> {first})")
 
 
-def citation_text(tokens: str) -> Column:
-    """First text of each citation div."""
+def citation_texts(tokens: str) -> str:
+    """First text of each citation div, as SQL."""
     divs = _elements(tokens, lambda t: f"{is_start(t, 'div')} AND {t}.attrs['id'] = 'citationAuthor'")
     first = f"filter({tokens}, t -> t.pos = d.pos + 1 AND t.kind = 'text')"
-    return F.expr(f"flatten(transform({divs}, d -> transform({first}, t -> t.text)))")
+    return f"flatten(transform({divs}, d -> transform({first}, t -> t.text)))"
 
 
 # --- databoxes ------------------------------------------------------------------------------
@@ -260,18 +246,18 @@ def _databox_rows(text: str) -> str:
 
     Keys are lower-cased and one that occurs twice keeps its first place and its last value.
     """
-    lines = f"filter(transform(split({text}, '\\n'), line -> {_strip('line')}), line -> contains(line, ':'))"
-    parts = f"filter(transform(split(pair[1], ';'), part -> {_strip('part')}), part -> part <> '')"
+    lines = f"filter(transform(split({text}, '\\n'), line -> {strip_sql('line')}), line -> contains(line, ':'))"
+    parts = f"filter(transform(split(pair[1], ';'), part -> {strip_sql('part')}), part -> part <> '')"
     rows = f"""transform(transform({lines}, line -> split(line, ':', 2)), pair -> named_struct(
                  'key', lower(pair[0]), 'raw', pair[1], 'parts', if(contains(pair[1], ';'), {parts}, NULL)))"""
     last_of_each = "transform(array_distinct(rows.key), k -> element_at(filter(rows, r -> r.key = k), -1))"
-    return _let("rows", rows, last_of_each)
+    return let("rows", rows, last_of_each)
 
 
 def _databox_texts(tokens: str, ids=None) -> str:
     if ids:
         first = _elements(tokens, lambda t: f"{is_start(t)} AND {t}.attrs['id'] = id")
-        names = ", ".join(_text(i) for i in ids)
+        names = ", ".join(literal(i) for i in ids)
         found = f"flatten(transform(array({names}), id -> slice({first}, 1, 1)))"
     else:
         found = _elements(
@@ -279,7 +265,7 @@ def _databox_texts(tokens: str, ids=None) -> str:
             lambda t: f"{is_start(t, 'div')} AND contains({t}.attrs['id'], 'databox') AND {t}.attrs['style'] = 'display:none;'",
         )
     paragraph = f"try_element_at({_elements('body', lambda t: is_start(t, 'p'))}, 1)"
-    text = _let("body", _inside(tokens, "box"), _let("p", paragraph, f"if(p IS NULL, NULL, {_render(_inside('body', 'p'))})"))
+    text = let("body", _inside(tokens, "box"), let("p", paragraph, f"if(p IS NULL, NULL, {_render(_inside('body', 'p'))})"))
     return f"transform({found}, box -> named_struct('databox', box.attrs['id'], 'text', {text}))"
 
 
@@ -307,8 +293,8 @@ LINK_CLASSES = ["offsite", "encyc", "rg", "notrg"]
 def _link_title(href: str, base: str) -> str:
     title = f"regexp_replace({href}, '/$', '')"
     if base:
-        title = f"replace({title}, {_text(base)}, '')"
-    return _let("title", f"regexp_replace({title}, '^/', '')", "if(contains(title, 'http'), '', title)")
+        title = f"replace({title}, {literal(base)}, '')"
+    return let("title", f"regexp_replace({title}, '^/', '')", "if(contains(title, 'http'), '', title)")
 
 
 def _link_marks(href: str, in_guide: str) -> str:
@@ -322,7 +308,7 @@ def _rewritten(href: str) -> str:
     link = f"if(contains({href}, 'action=edit'), {plain}, {href})"
     for name in ("pagefrom", "pageuntil"):
         kept = f"replace(replace(link, '?title=', '/'), '&{name}=', '?{name}=')"
-        link = _let("link", link, f"if(contains(link, '{name}='), {kept}, link)")
+        link = let("link", link, f"if(contains(link, '{name}='), {kept}, link)")
     return link
 
 
@@ -347,7 +333,7 @@ def _written(value: str) -> str:
     """An attribute value escaped and quoted."""
     escaped = f"replace(replace(replace({value}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
     both = """concat('"', replace(v, '"', '&quot;'), '"')"""
-    return _let(
+    return let(
         "v",
         escaped,
         f"""CASE WHEN contains(v, '"') AND contains(v, "'") THEN {both}
@@ -363,8 +349,8 @@ def mark_links(tokens: str, base: str, guide: str) -> Column:
     """
     href = "t.attrs['href']"
     known = f"name <> '' AND (array_contains({guide}, name) OR array_contains({guide}, translate(name, '_', ' ')))"
-    ours = ", ".join(_text(c) for c in LINK_CLASSES)
-    classes = f"concat(filter(t.classes, c -> c NOT IN ({ours})), {_link_marks(href, _let('name', _link_title(href, base), known))})"
+    ours = ", ".join(literal(c) for c in LINK_CLASSES)
+    classes = f"concat(filter(t.classes, c -> c NOT IN ({ours})), {_link_marks(href, let('name', _link_title(href, base), known))})"
     changed = f"""transform(map_entries(t.attrs), e -> named_struct('key', e.key, 'value',
                     CASE e.key WHEN 'href' THEN {_rewritten(href)} WHEN 'class' THEN array_join(classes, ' ') ELSE e.value END))"""
     added = "array(named_struct('key', 'class', 'value', array_join(classes, ' ')))"
@@ -372,7 +358,7 @@ def mark_links(tokens: str, base: str, guide: str) -> Column:
     raw = f"concat('<a', array_join(transform(attrs, e -> concat(' ', e.key, '=', {_written('e.value')})), ''), '>')"
     rebuilt = f"""named_struct('pos', t.pos, 'kind', t.kind, 'tag', t.tag, 'attrs', map_from_entries(attrs), 'classes', classes,
                                'raw', {raw}, 'text', t.text, 'last', t.last, 'parent', t.parent)"""
-    marked = _let("classes", classes, _let("attrs", attrs, rebuilt))
+    marked = let("classes", classes, let("attrs", attrs, rebuilt))
     return F.expr(f"transform({tokens}, t -> CASE WHEN {is_start('t', 'a')} AND {href} IS NOT NULL THEN {marked} ELSE t END)")
 
 
@@ -394,7 +380,7 @@ def _spans(tokens: str, *tests) -> str:
 def drop(tokens: str, *tests) -> Column:
     """Tokens less every element that passes one of the tests, with all it holds."""
     kept = f"filter({tokens}, t -> NOT exists(gone, g -> t.pos BETWEEN g.pos AND g.last))"
-    return F.expr(_let("gone", _spans(tokens, *tests), f"if(size(gone) = 0, {tokens}, {kept})"))
+    return F.expr(let("gone", _spans(tokens, *tests), f"if(size(gone) = 0, {tokens}, {kept})"))
 
 
 def empty_paragraph(tokens: str):
@@ -435,7 +421,7 @@ def source_image(tokens: str, source_ids: str):
 
     def test(t: str) -> str:
         image = f"try_element_at(filter({tokens}, i -> {is_start('i', 'img')} AND i.pos > {t}.pos AND i.pos < {t}.last), 1)"
-        named = _let("src", f"{image}.attrs['src']", _let("name", _image_id("src"), f"name <> '' AND array_contains({source_ids}, name)"))
+        named = let("src", f"{image}.attrs['src']", let("name", _image_id("src"), f"name <> '' AND array_contains({source_ids}, name)"))
         return f"{t}.tag = 'a' AND {has_class(t, 'image')} AND size({source_ids}) > 0 AND {named}"
 
     return test
@@ -446,17 +432,17 @@ def hide_tags(tokens: str, selector: str, comments: bool = True) -> Column:
     attr, value = selector.split("=")
 
     def chosen(t: str) -> str:
-        return has_class(t, value) if attr == "class" else f"{t}.attrs[{_text(attr)}] = {_text(value)}"
+        return has_class(t, value) if attr == "class" else f"{t}.attrs[{literal(attr)}] = {literal(value)}"
 
     if not comments:
         return drop(tokens, chosen)
     outermost = "filter(hits, h -> NOT exists(hits, o -> o.pos < h.pos AND o.last >= h.last))"
-    note = _inserted("t.pos", _text(f'<!--"{value}" removed-->'))
+    note = _inserted("t.pos", literal(f'<!--"{value}" removed-->'))
     pieces = f"""filter(transform({tokens}, t ->
         CASE WHEN exists(gone, g -> g.pos = t.pos AND t.kind = 'start') THEN {note}
              WHEN NOT exists(gone, g -> t.pos BETWEEN g.pos AND g.last) THEN t END), t -> t IS NOT NULL)"""
-    gone = _let("hits", _spans(tokens, chosen), outermost)
-    return F.expr(_let("gone", gone, f"if(size(gone) = 0, {tokens}, {pieces})"))
+    gone = let("hits", _spans(tokens, chosen), outermost)
+    return F.expr(let("gone", gone, f"if(size(gone) = 0, {tokens}, {pieces})"))
 
 
 # --- sections and top links -----------------------------------------------------------------
@@ -476,7 +462,7 @@ def section_bounds(tokens: str) -> Column:
     to the next header or the parent's end.
     """
     headlines = _elements(tokens, lambda t: f"{is_start(t, 'span')} AND {has_class(t, 'mw-headline')} AND {t}.parent >= 0")
-    headers = _let(
+    headers = let(
         "parents",
         f"array_distinct(transform({headlines}, t -> t.parent))",
         f"if(size(parents) = 0, slice({tokens}, 1, 0), filter({tokens}, t -> t.kind = 'start' AND array_contains(parents, t.pos)))",
@@ -494,13 +480,13 @@ def section_bounds(tokens: str) -> Column:
 def wrap_sections(tokens: str, bounds: str) -> Column:
     """Put every section into a div, and what follows its header into a content div."""
     opening = f"""concat('<div class="section" id=', {_written('b.id')}, '>')"""
-    content = _inserted("t.pos", _text('<div class="section_content">'))
-    pieces = f"""concat(transform(filter({bounds}, b -> b.stop = t.pos), b -> {_inserted('t.pos', _text('</div></div>'))}),
+    content = _inserted("t.pos", literal('<div class="section_content">'))
+    pieces = f"""concat(transform(filter({bounds}, b -> b.stop = t.pos), b -> {_inserted('t.pos', literal('</div></div>'))}),
                         transform(filter({bounds}, b -> b.start = t.pos), b -> {_inserted('t.pos', opening)}),
                         array(t),
                         transform(filter({bounds}, b -> b.header_end = t.pos), b -> {content}))"""
     ending = f"""transform(filter({bounds}, b -> b.stop = {_END_OF_PAGE}),
-                           b -> {_inserted(str(_END_OF_PAGE), _text('</div></div>'))})"""
+                           b -> {_inserted(str(_END_OF_PAGE), literal('</div></div>'))})"""
     return F.expr(f"if(size({bounds}) = 0, {tokens}, concat(flatten(transform({tokens}, t -> {pieces})), {ending}))")
 
 
@@ -508,9 +494,9 @@ def add_top_links(tokens: str) -> Column:
     """A link to the top before the third and every later h2, and one at the end."""
     places = f"filter(transform({_elements(tokens, lambda t: is_start(t, 'h2'))}, t -> t.pos), (pos, i) -> i >= 2)"
     linked = f"""flatten(transform({tokens}, t -> CASE WHEN t.kind = 'start' AND array_contains(places, t.pos)
-                   THEN array({_inserted('t.pos', _text(TOP_LINK))}, t) ELSE array(t) END))"""
-    ending = _inserted(str(_END_OF_PAGE), _text(TOP_LINK))
-    return F.expr(f"concat({_let('places', places, f'if(size(places) = 0, {tokens}, {linked})')}, array({ending}))")
+                   THEN array({_inserted('t.pos', literal(TOP_LINK))}, t) ELSE array(t) END))"""
+    ending = _inserted(str(_END_OF_PAGE), literal(TOP_LINK))
+    return F.expr(f"concat({let('places', places, f'if(size(places) = 0, {tokens}, {linked})')}, array({ending}))")
 
 
 # --- finished text --------------------------------------------------------------------------

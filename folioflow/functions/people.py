@@ -1,142 +1,124 @@
-"""Author names and the six citation styles over `array<array<string>>` name lists."""
+"""Author names and the six citation styles over `array<array<string>>` name lists.
+
+The forms are SQL text over the SQL of a name (`[surname, given]`) or of a list of names.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioflow.functions.text import col, strip
-
-STYLES = ["apa", "bibtex", "chicago", "cse", "mhra", "mla"]
+from folioflow.functions.text import let, literal, strip_sql
 
 
-def parse_names(text) -> Column:
+def names_sql(text: str) -> str:
     """`Surname, Given; Surname, Given` to [[surname, given], ...].
 
     A part that holds " and " is cut at every "and". A name without exactly one comma
     is kept whole as a one-item list.
     """
-    parts = F.split(col(text), ";")
-    names = F.flatten(
-        F.transform(
-            parts,
-            lambda p: F.when(F.contains(p, F.lit(" and ")), F.transform(F.split(p, "and"), strip)).otherwise(F.array(p)),
-        )
+    pieces = f"if(contains(part, ' and '), transform(split(part, 'and'), x -> {strip_sql('x')}), array(part))"
+    pair = let(
+        "halves",
+        f"split({strip_sql('name')}, ',')",
+        f"if(size(halves) = 2, transform(halves, x -> {strip_sql('x')}), array(name))",
     )
+    return f"transform(flatten(transform(split({text}, ';'), part -> {pieces})), name -> {pair})"
 
-    def pair(name):
-        pieces = F.split(strip(name), ",")
-        return F.when(F.size(pieces) == 2, F.transform(pieces, strip)).otherwise(F.array(name))
-
-    return F.transform(names, pair)
 
+def parse_names(text: str) -> Column:
+    return F.expr(names_sql(text))
 
-def _given(name: Column) -> Column:
-    return F.split(name[1], " ")
 
+def _given(name: str) -> str:
+    return f"split({name}[1], ' ')"
 
-def _initial(word: Column) -> Column:
-    return F.left(word, F.lit(1))
 
-
-def _whole(name: Column, form: Column) -> Column:
+def _whole(name: str, form: str) -> str:
     """Names of one part have no given name to shorten and stay as they are."""
-    return F.when(F.size(name) < 2, name[0]).otherwise(form)
-
+    return f"if(size({name}) < 2, {name}[0], {form})"
 
-def surname_given(name) -> Column:
-    return F.array_join(name, ", ")
 
-
-def surname_given_initials(name) -> Column:
-    given = F.transform(
-        _given(name), lambda g, i: F.when(i == 0, g).otherwise(F.concat(_initial(g), F.lit(".")))
-    )
-    return _whole(name, F.concat(name[0], F.lit(", "), F.array_join(given, " ")))
+def surname_given(name: str) -> str:
+    return f"array_join({name}, ', ')"
 
 
-def given_surname(name) -> Column:
-    return F.array_join(F.reverse(name), " ")
+def surname_given_initials(name: str) -> str:
+    given = f"transform({_given(name)}, (g, i) -> if(i = 0, g, concat(left(g, 1), '.')))"
+    return _whole(name, f"concat({name}[0], ', ', array_join({given}, ' '))")
 
 
-def surname_initials(name) -> Column:
-    given = F.transform(_given(name), lambda g: F.concat(_initial(g), F.lit(".")))
-    return _whole(name, F.concat(name[0], F.lit(", "), F.array_join(given, " ")))
+def given_surname(name: str) -> str:
+    return f"array_join(reverse({name}), ' ')"
 
 
-def surname_initials_plain(name) -> Column:
-    return _whole(name, F.concat(name[0], F.lit(" "), F.array_join(F.transform(_given(name), _initial), " ")))
+def surname_initials(name: str) -> str:
+    given = f"transform({_given(name)}, g -> concat(left(g, 1), '.'))"
+    return _whole(name, f"concat({name}[0], ', ', array_join({given}, ' '))")
 
 
-def _stop(text: Column) -> Column:
-    return F.when((text != "") & ~text.endswith("."), F.concat(text, F.lit("."))).otherwise(text)
+def surname_initials_plain(name: str) -> str:
+    return _whole(name, f"concat({name}[0], ' ', array_join(transform({_given(name)}, g -> left(g, 1)), ' '))")
 
 
-def _all_but_last(names: Column) -> Column:
-    return F.slice(names, F.lit(1), F.size(names) - 1)
+def _each(names: str, form) -> str:
+    return f"transform({names}, n -> {form('n')})"
 
 
-def _last(names: Column) -> Column:
-    return F.element_at(names, -1)
+def _listed(forms: str, before_last: str) -> str:
+    return let(
+        "f", forms, f"concat(array_join(slice(f, 1, size(f) - 1), ', '), '{before_last}', element_at(f, -1))"
+    )
 
 
-def _listed(names: Column, before_last: str) -> Column:
-    return F.concat(F.array_join(_all_but_last(names), ", "), F.lit(before_last), _last(names))
+def _stopped(text: str) -> str:
+    return let("x", text, "if(x <> '' AND NOT endswith(x, '.'), concat(x, '.'), x)")
 
 
-def cite_apa(names) -> Column:
-    names = col(names)
-    short = F.transform(names, surname_given_initials)
-    return _stop(F.when(F.size(names) == 1, surname_given(names[0])).otherwise(_listed(short, ", and ")))
+def _apa(names: str) -> str:
+    listed = _listed(_each(names, surname_given_initials), ", and ")
+    return _stopped(f"if(size({names}) = 1, {surname_given(names + '[0]')}, {listed})")
 
 
-def cite_bibtex(names) -> Column:
-    return _stop(F.array_join(F.transform(col(names), surname_initials), " and "))
+def _bibtex(names: str) -> str:
+    return _stopped(f"array_join({_each(names, surname_initials)}, ' and ')")
 
 
-def _up_to_three(names: Column, more: str) -> Column:
-    full = F.transform(names, given_surname)
-    return _stop(
-        F.when(F.size(names) == 1, full[0])
-        .when(F.size(names) < 4, _listed(full, " and "))
-        .otherwise(F.concat(full[0], F.lit(more)))
+def _up_to_three(names: str, more: str) -> str:
+    first = given_surname(names + "[0]")
+    return _stopped(
+        f"""CASE WHEN size({names}) = 1 THEN {first}
+                 WHEN size({names}) < 4 THEN {_listed(_each(names, given_surname), ' and ')}
+                 ELSE concat({first}, '{more}') END"""
     )
 
 
-def cite_chicago(names) -> Column:
-    return _up_to_three(col(names), " et al")
+def _chicago(names: str) -> str:
+    return _up_to_three(names, " et al")
 
 
-def cite_cse(names) -> Column:
-    return _stop(F.array_join(F.transform(col(names), surname_initials_plain), ", "))
+def _cse(names: str) -> str:
+    return _stopped(f"array_join({_each(names, surname_initials_plain)}, ', ')")
 
 
-def cite_mhra(names) -> Column:
-    return _up_to_three(col(names), " and others")
+def _mhra(names: str) -> str:
+    return _up_to_three(names, " and others")
 
 
-def cite_mla(names) -> Column:
-    names = col(names)
-    listed = F.transform(names, lambda n, i: F.when(i == 0, surname_given(n)).otherwise(given_surname(n)))
-    text = (
-        F.when(F.size(names) == 1, listed[0])
-        .when(F.size(names) < 4, _listed(listed, ", and "))
-        .otherwise(F.concat(listed[0], F.lit(", et al")))
-    )
-    return F.when(text != "", F.concat(text, F.lit("."))).otherwise(text)
+def _mla(names: str) -> str:
+    first = surname_given(names + "[0]")
+    forms = f"transform({names}, (n, i) -> if(i = 0, {surname_given('n')}, {given_surname('n')}))"
+    text = f"""CASE WHEN size({names}) = 1 THEN {first}
+                    WHEN size({names}) < 4 THEN {_listed(forms, ', and ')}
+                    ELSE concat({first}, ', et al') END"""
+    return let("x", text, "if(x <> '', concat(x, '.'), x)")
+
 
+_FORMATS = {"apa": _apa, "bibtex": _bibtex, "chicago": _chicago, "cse": _cse, "mhra": _mhra, "mla": _mla}
 
-_FORMATS = {
-    "apa": cite_apa,
-    "bibtex": cite_bibtex,
-    "chicago": cite_chicago,
-    "cse": cite_cse,
-    "mhra": cite_mhra,
-    "mla": cite_mla,
-}
+STYLES = list(_FORMATS)
 
 
-def cite(style: str, names, default_authors: str) -> Column:
-    """Author list in one style; an empty list gives the site's default."""
-    some = F.size(F.coalesce(col(names), F.array().cast("array<array<string>>"))) > 0
-    return F.when(some, _FORMATS[style](names)).otherwise(F.lit(default_authors))
+def cite(style: str, names: str, default_authors: str) -> Column:
+    """Author list in one style; an empty list gives the site's default. `names` is SQL."""
+    return F.expr(f"CASE WHEN size({names}) > 0 THEN {_FORMATS[style](names)} ELSE {literal(default_authors)} END")

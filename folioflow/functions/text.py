@@ -28,6 +28,25 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, use) -> Column:
+    """`use(value)` with `value` worked out once, also where `use` needs it several times."""
+    return F.transform(F.array(value), use)[0]
+
+
+def let(name: str, value: str, use: str) -> str:
+    """The same in SQL: `use` with `name` standing for `value`."""
+    return f"transform(array({value}), {name} -> {use})[0]"
+
+
+def literal(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
+
+
+def strip_sql(value: str) -> str:
+    return f"regexp_replace({value}, r'{EDGE_SPACE}', '')"
+
+
 def strip(text) -> Column:
     return F.regexp_replace(col(text), EDGE_SPACE, "")
 
@@ -72,12 +91,12 @@ def join_path(base, path) -> Column:
 
 def image_id(uri) -> Column:
     """Id of a media file: its name without extension, or for a thumbnail its folder's."""
-    uri = col(uri)
-    name = F.when(
-        F.contains(uri, F.lit("thumb")),
-        F.regexp_extract(uri, THUMBNAIL_FOLDER, 1),
-    ).otherwise(F.substring_index(uri, "/", -1))
-    return F.regexp_replace(name, IMAGE_EXTENSION, "$1")
+
+    def name(uri):
+        folder = F.regexp_extract(uri, THUMBNAIL_FOLDER, 1)
+        return F.when(F.contains(uri, F.lit("thumb")), folder).otherwise(F.substring_index(uri, "/", -1))
+
+    return F.regexp_replace(name(col(uri)), IMAGE_EXTENSION, "$1")
 
 
 def fix_external_url(url, base: str) -> Column:

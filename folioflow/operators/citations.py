@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.people import STYLES, cite
 from folioflow.functions.text import absolute_url
+from folioflow.session import spread
 from folioflow.settings import Site
 
 
@@ -20,12 +21,11 @@ def cite_articles(articles: DataFrame, site: Site | None = None, retrieved=None)
     site = site or Site()
     filled = [c for c in ("title", "caption") if c in articles.columns]
     title = F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in filled])
-    names = F.col("authors_data.parsed")
-    return articles.select(
+    return spread(articles).select(
         "url_title",
         absolute_url("page", "url_title").alias("uri"),
         title.alias("title"),
         _first_of(articles, "lastmod", "modified").alias("lastmod"),
         (F.localtimestamp() if retrieved is None else F.lit(retrieved)).alias("retrieved"),
-        *[cite(style, names, site.default_authors).alias(style) for style in STYLES],
+        *[cite(style, "authors_data.parsed", site.default_authors).alias(style) for style in STYLES],
     )

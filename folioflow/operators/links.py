@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.text import image_id
 from folioflow.operators.positions import with_position
+from folioflow.session import spread
 
 # Longest list kept inside one document; longer ones go on in further list rows.
 LIST_SIZE = 10_000
@@ -32,8 +33,9 @@ def backlink_lists(edges: DataFrame, target: str = "target", source: str = "sour
 
 def primary_sources(pages: DataFrame, sources: DataFrame, key: str = "url_title") -> DataFrame:
     """Rows (key, pos, encyclopedia_id): page images that are media sources, in page order."""
-    images = pages.select(key, F.posexplode("images").alias("pos", "image"))
-    ids = images.select(key, "pos", image_id("image").alias("encyclopedia_id")).filter(F.col("encyclopedia_id") != "")
+    # Ids are made inside the array: a filter on them would otherwise make them twice.
+    found = spread(pages.select(key, "images")).select(key, F.posexplode(F.transform("images", image_id)).alias("pos", "encyclopedia_id"))
+    ids = found.filter(F.col("encyclopedia_id") != "")
     first = ids.groupBy(key, "encyclopedia_id").agg(F.min("pos").alias("pos"))
     return first.join(sources.select("encyclopedia_id"), "encyclopedia_id", "left_semi").select(key, "pos", "encyclopedia_id")
 

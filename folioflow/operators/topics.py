@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.text import join_path, url_title, url_unquote
 from folioflow.operators.positions import top_per_group, with_position
+from folioflow.session import spread
 
 # Vocabulary names of either kind.
 TOPICS = ["topics", "topic"]
@@ -24,15 +25,15 @@ def build_terms(terms: DataFrame) -> DataFrame:
     topic, facility = F.col("facet_id").isin(TOPICS), F.col("facet_id").isin(FACILITIES)
     none = F.array().cast("array<struct<url_title: string, title: string>>")
     named = F.transform(
-        "encyc_urls",
-        lambda u: F.struct(url_title(u).alias("url_title"), url_unquote(url_title(u)).alias("title")),
+        F.transform("encyc_urls", url_title),
+        lambda u: F.struct(u.alias("url_title"), url_unquote(u).alias("title")),
     )
     labelled = F.transform(
         "elinks", lambda e: F.struct(url_title(e["url"]).alias("url_title"), e["label"].alias("title"))
     )
     key = F.concat_ws("-", "facet_id", F.col("id").cast("string"))
     only_topics = {c: F.when(topic, F.col(c)) for c in ("_title", "description", "path", "ancestors", "siblings", "children")}
-    return terms.select(
+    return spread(terms).select(
         key.alias("id"),
         "facet_id",
         F.col("id").alias("term_id"),

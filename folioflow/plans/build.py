@@ -13,6 +13,7 @@ from folioflow.functions import flags, markup as M, people
 from folioflow.functions.text import absolute_url, default_sort, none_strip, title_sort
 from folioflow.operators import bodies, diff, index, links
 from folioflow.operators.links import flag_members
+from folioflow.session import cut
 from folioflow.settings import Site
 
 NO_STRINGS = "array<string>"
@@ -23,9 +24,13 @@ def page_facts(pages: DataFrame, members: DataFrame, revisions: DataFrame, sourc
     published = diff.published_pages(members, revisions)
     authors = members.filter((F.col("category") == "Authors") & ~F.col("is_category")).select("title").distinct()
     beside = index.neighbours(index.articles_a_z(published, authors))
-    found = pages.filter("status_code = 200")
-    names = found.select("url_title", F.transform("categories", lambda c: c["*"]).alias("categories"))
-    shown = index.whitelisted_categories(names, index.category_names(members))
+    # The page records are read once for all narrow joins, and once more for their text.
+    found = cut(
+        pages.filter("status_code = 200").select(
+            "url_title", "title", F.transform("categories", lambda c: c["*"]).alias("categories"), "images"
+        )
+    )
+    shown = index.whitelisted_categories(found.select("url_title", "categories"), index.category_names(members))
     lists = shown.groupBy("url_title").agg(F.array_sort(F.collect_list(F.struct("pos", "category"))).alias("_c"))
     categories = lists.select("url_title", F.transform("_c", lambda x: x["category"]).alias("categories"))
     ids = links.source_id_lists(links.primary_sources(found.select("url_title", "images"), sources))
@@ -104,7 +109,7 @@ def build_pages(
             "boxes": M.databoxes("tokens", list(site.databoxes)),
             "authors_data": F.struct(
                 M.byline_names("tokens").alias("display"),
-                F.flatten(F.transform(M.citation_text("tokens"), people.parse_names)).alias("parsed"),
+                F.expr(f"flatten(transform({M.citation_texts('tokens')}, x -> {people.names_sql('x')}))").alias("parsed"),
             ),
         }
     )

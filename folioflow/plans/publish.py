@@ -81,7 +81,7 @@ def publish_articles(
     stored = sinks.read_table(spark, path, STORED_PAGE)
     authors = diff.published_authors(wiki.members)
     published = diff.published_pages(wiki.members, wiki.revisions)
-    changes = diff.articles_to_update(authors, published, stored.select("title", "modified"))
+    changes = _staged(spark, diff.articles_to_update(authors, published, stored.select("title", "modified")), "changes")
     plan = _planned(changes, stored, "title", force, title)
     wanted = wiki.pages.join(plan.select(F.col("title").alias("url_title")), "url_title", "left_semi")
     built = build.build_articles(wanted, wiki.members, wiki.revisions, wiki.sources, guide, site)
@@ -95,7 +95,6 @@ def publish_articles(
         gone = gone.unionByName(_staged(spark, stored.join(deleted, "title", "left_semi").select("url_title"), "deleted"))
     missing = plan.select(F.col("title").alias("url_title")).join(docs.select("url_title"), "url_title", "left_anti")
     missing = _staged(spark, missing, "missing")
-    changes = _staged(spark, changes, "changes")
     errors = _write(spark, path, "url_title", posted, gone, dryrun)
     return Outcome(changes, posted, unpublished, missing, errors)
 

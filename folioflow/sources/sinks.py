@@ -1,9 +1,10 @@
 """Writing document tables by key.
 
-A stored table is spread over `bucket=` folders by a hash of its key. An upsert or a delete
-reads and rewrites only the folders that its keys fall into, with Spark's dynamic partition
-overwrite: task output is staged and swapped in when the job commits, so a lost executor
-costs a task retry and never a half-written table.
+A stored table is spread over `buckets=<count>/bucket=<number>` folders by a hash of its key. An
+upsert or a delete reads and rewrites only the folders that its keys fall into, with Spark's
+dynamic partition overwrite: task output is staged and swapped in when the job commits, so a lost
+executor costs a task retry and never a half-written table. The number of buckets is chosen when
+the table is made and found again in its folder names.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 64
+BUCKETS = 32
+PLACE = ["buckets", "bucket"]
 
 
 def upsert(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
@@ -33,8 +35,23 @@ def verify_published(expected: DataFrame, target: DataFrame, key: str) -> DataFr
     return expected.select(key).join(target.select(key), key, "left_anti")
 
 
-def _bucket(key: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+def _folder(spark: SparkSession, path: str):
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def _bucket_count(spark: SparkSession, path: str) -> int:
+    files, location = _folder(spark, path)
+    for entry in files.listStatus(location):
+        name = entry.getPath().getName()
+        if name.startswith("buckets="):
+            return int(name.partition("=")[2])
+    return BUCKETS
+
+
+def _placed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    number = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    return df.withColumns({"buckets": F.lit(buckets), "bucket": number})
 
 
 def _write(df: DataFrame, path: str, key: str, files_per_bucket: int) -> None:
@@ -44,46 +61,45 @@ def _write(df: DataFrame, path: str, key: str, files_per_bucket: int) -> None:
         df.repartition("bucket", part)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
+        .partitionBy(*PLACE)
         .parquet(path)
     )
 
 
 def create_table(df: DataFrame, path: str, key: str, buckets: int = BUCKETS, files_per_bucket: int = 1) -> None:
-    _write(df.withColumn("bucket", _bucket(key, buckets)), path, key, files_per_bucket)
+    _write(_placed(df, key, buckets), path, key, files_per_bucket)
 
 
 def _stored(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """The table with its bucket column. Files written at different times may differ in columns,
+    """The table with its place columns. Files written at different times may differ in columns,
     so without a schema the columns of all files are put together.
     """
     if schema is None:
         return spark.read.option("mergeSchema", True).parquet(path)
     columns = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    fields = [f for f in columns if f.name != "bucket"] + [T.StructField("bucket", T.IntegerType())]
+    fields = [f for f in columns if f.name not in PLACE] + [T.StructField(c, T.IntegerType()) for c in PLACE]
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """The table at `path`; with a schema, an empty table can be read and no file footer is looked at."""
-    return _stored(spark, path, schema).drop("bucket")
+    return _stored(spark, path, schema).drop(*PLACE)
 
 
 def _touched(keys: DataFrame) -> list[int]:
-    # At most `buckets` numbers reach the driver.
+    # At most as many numbers as there are buckets reach the driver.
     return sorted(r[0] for r in keys.select("bucket").distinct().collect())
 
 
 def save_docs(
-    spark: SparkSession, path: str, rows: DataFrame, key: str, schema: str | None = None,
-    buckets: int = BUCKETS, files_per_bucket: int = 1,
+    spark: SparkSession, path: str, rows: DataFrame, key: str, schema: str | None = None, files_per_bucket: int = 1
 ) -> None:
     """Put `rows` into the table at `path`, rewriting the touched buckets only.
 
     `schema` is that of the stored table; without it the table's files are asked. The columns of
     both sides are kept.
     """
-    rows = rows.withColumn("bucket", _bucket(key, buckets))
+    rows = _placed(rows, key, _bucket_count(spark, path))
     touched = _touched(rows)
     if touched:
         try:
@@ -93,13 +109,13 @@ def save_docs(
                 raise
             old = _stored(spark, path, rows.schema)  # a table without files
         old = old.filter(F.col("bucket").isin(touched))
-        kept = old.join(rows.select("bucket", key), ["bucket", key], "left_anti")
+        kept = old.join(rows.select(*PLACE, key), [*PLACE, key], "left_anti")
         _write(kept.unionByName(rows, allowMissingColumns=True), path, key, files_per_bucket)
 
 
 def remove_docs(
-    spark: SparkSession, path: str, keys: DataFrame, key: str, schema: str | None = None, confirm: bool = False,
-    buckets: int = BUCKETS, files_per_bucket: int = 1,
+    spark: SparkSession, path: str, keys: DataFrame, key: str, schema: str | None = None,
+    confirm: bool = False, files_per_bucket: int = 1,
 ) -> None:
     """Delete by key from the table at `path`, rewriting the touched buckets only.
 
@@ -108,18 +124,15 @@ def remove_docs(
     """
     if not confirm:
         raise ValueError("Confirmation required.")
-    keys = keys.select(key).distinct().withColumn("bucket", _bucket(key, buckets))
+    count = _bucket_count(spark, path)
+    keys = _placed(keys.select(key).distinct(), key, count)
     touched = _touched(keys)
     if not touched:
         return
-    kept = _stored(spark, path, schema).filter(F.col("bucket").isin(touched)).join(keys, ["bucket", key], "left_anti")
+    kept = _stored(spark, path, schema).filter(F.col("bucket").isin(touched)).join(keys, [*PLACE, key], "left_anti")
     left = set(_touched(kept))
     _write(kept, path, key, files_per_bucket)
     for number in touched:
         if number not in left:
-            _drop_bucket(spark, f"{path}/bucket={number}")
-
-
-def _drop_bucket(spark: SparkSession, folder: str) -> None:
-    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+            files, folder = _folder(spark, f"{path}/buckets={count}/bucket={number}")
+            files.delete(folder, True)

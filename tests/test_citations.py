@@ -73,7 +73,7 @@ def test_styles_do_not_disturb_one_another(spark):
 )
 def test_name_forms(spark, form, harry, kenny):
     names = spark.createDataFrame([(["Scheiber", "Harry"],), (["Endo", "Kenny Butthead"],), (["Solo"],)], "n array<string>")
-    assert [r[0] for r in names.select(form(F.col("n"))).collect()] == [harry, kenny, "Solo"]
+    assert [r[0] for r in names.select(F.expr(form("n"))).collect()] == [harry, kenny, "Solo"]
 
 
 @pytest.mark.parametrize(

@@ -215,17 +215,16 @@ def databox_report(spark, sf):
     """SELECT s_suppkey AS url_title, s_name || '|<i>X</i>' AS display, 'Sur' || s_suppkey || ',Given|Solo' AS parsed FROM supplier""",
 )
 def bylines(spark, sf):
-    from folioflow.functions.people import parse_names
-    from folioflow.functions.text import strip
+    from folioflow.functions.people import names_sql
 
     html = F.concat(
         F.lit('<div id="authorByline"><b>Authored by <a href="/a">'), "s_name", F.lit('</a> and <a href="/b"><i>X</i> Y</a><a></a></b></div>'),
         F.lit('<div id="citationAuthor" style="display:none;"> Sur'), "s_suppkey", F.lit(", Given; Solo</div>"),
     )
     tokens = bodies.with_tokens(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("url_title"), html.alias("html")))
-    names = F.flatten(F.transform(M.citation_text("tokens"), parse_names))
+    names = F.expr(f"flatten(transform({M.citation_texts('tokens')}, x -> {names_sql('x')}))")
     return tokens.select(
         "url_title",
         F.array_join(M.byline_names("tokens"), "|").alias("display"),
-        F.array_join(F.transform(names, lambda n: F.array_join(F.transform(n, strip), ",")), "|").alias("parsed"),
+        F.array_join(F.transform(names, lambda n: F.array_join(F.transform(n, lambda x: F.trim(x)), ",")), "|").alias("parsed"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import people
 from folioflow.operators.citations import cite_articles
+from folioflow.session import spread
 from workload.registry import query, table
 
 DEFAULT = "Encyclopedia contributors."
@@ -51,7 +52,7 @@ def cited(spark, sf):
     names = F.when(F.col("l_quantity") < 4, F.array().cast("array<array<string>>")).otherwise(
         F.transform(F.sequence(F.lit(1), i), name)
     )
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", names.alias("names"))
+    return spread(table(spark, sf, "lineitem")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", names.alias("names"))
 
 
 def _style(style):
@@ -100,7 +101,7 @@ BYLINE = """CASE WHEN s_acctbal > 6000 THEN 'Ander' || s_suppkey || ' and Brand,
                               ELSE 'One, Two, Three' || s_suppkey END AS names FROM supplier""",
 )
 def byline_names(spark, sf):
-    parsed = people.parse_names(F.expr(BYLINE))
+    parsed = people.parse_names(BYLINE)
     return table(spark, sf, "supplier").select(
         "s_suppkey", F.array_join(F.transform(parsed, lambda n: F.array_join(n, "/")), "|").alias("names")
     )

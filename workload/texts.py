@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import dates, flags, media as X, text as T
 from folioflow.plans.build import box_json
+from folioflow.session import spread
 from workload.registry import query, table
 
 HREF = r'<a [^>]*href="([^"]*)"'
@@ -177,7 +178,7 @@ def date_forms(spark, sf):
         .when(F.col("o_orderpriority") == "5-LOW", F.date_format(ts, "yyyyMMdd"))
         .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
     )
-    rows = table(spark, sf, "orders").withColumn("written", written)
+    rows = spread(table(spark, sf, "orders")).withColumn("written", written)
     return rows.select(
         "o_orderkey", dates.revision_ts("written").alias("revision"), dates.lenient_ts("written").alias("lenient"),
         dates.record_text(ts).alias("record_text"), dates.iso_text(ts).alias("iso_text"),
