@@ -11,14 +11,19 @@ void elements never open; `script` and `style` hold raw text.
 
 from __future__ import annotations
 
+import sys
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import IMAGE_EXTENSION, THUMBNAIL_FOLDER, col, let, literal, strip_sql
 
+# Executors get the tokenizer with the task and need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOKEN = (
     "struct<pos: int, kind: string, tag: string, attrs: map<string, string>, classes: array<string>,"
     " raw: string, text: string, last: int, parent: int>"

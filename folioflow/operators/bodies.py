@@ -34,18 +34,17 @@ def classify_links(links: DataFrame, guide_titles: DataFrame, title: str = "id")
 
     A title counts as in the guide as written or with its underscores as spaces.
     """
-    guide = guide_titles.select(F.col(title).alias("_title")).distinct().withColumn("_known", F.lit(True))
-    spaced = guide.select(F.col("_title").alias("_spaced"), F.col("_known").alias("_known_spaced"))
-    # Links repeat the same few titles: look every distinct title up once.
-    titles = links.select("title").filter(F.col("title") != "").distinct()
-    looked_up = (
-        titles.join(guide, F.col("title") == F.col("_title"), "left")
-        .join(spaced, F.translate("title", "_", " ") == F.col("_spaced"), "left")
-        .filter(F.coalesce("_known", "_known_spaced", F.lit(False)))
-        .select("title", F.lit(True).alias("_in"))
+    # One row per title with its underscores as spaces, so that one join answers both questions.
+    given = guide_titles.select(F.col(title).alias("_given"), F.translate(title, "_", " ").alias("_spaced"))
+    guide = given.groupBy("_spaced").agg(
+        F.max(F.col("_given") == F.col("_spaced")).alias("_plain"),
+        # Only the ways one title is written with underscores.
+        F.collect_set(F.when(F.col("_given") != F.col("_spaced"), F.col("_given"))).alias("_written"),
     )
-    out = links.join(looked_up, "title", "left").withColumn("in_guide", F.coalesce("_in", F.lit(False)))
-    return out.withColumn("class", F.array_join(M.link_marks("href", "in_guide"), ",")).drop("_in")
+    joined = links.join(guide, F.translate("title", "_", " ") == F.col("_spaced"), "left")
+    known = (F.col("title") != "") & (F.col("_plain") | F.array_contains("_written", F.col("title")))
+    out = joined.withColumn("in_guide", F.coalesce(known, F.lit(False))).select(*links.columns, "in_guide")
+    return out.withColumn("class", F.array_join(M.link_marks("href", "in_guide"), ","))
 
 
 def guide_titles_per_page(links: DataFrame, guide_titles: DataFrame, key: str) -> DataFrame:

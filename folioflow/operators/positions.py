@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from folioflow.session import cut, range_partitions
 
 
-def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
-    ranges = range_partitions(df)
-    return cut(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+def _ranged(df: DataFrame, order: list[str], group: list[str]) -> DataFrame:
+    ranges = df.repartitionByRange(range_partitions(df), *order)
+    return cut(ranges.withColumn("_key", F.struct(F.spark_partition_id().alias("_range"), *group)))
 
 
 def with_position(df: DataFrame, order: list[str], group: list[str] | None = None, name: str = "pos", total: str | None = None) -> DataFrame:
@@ -25,22 +25,17 @@ def with_position(df: DataFrame, order: list[str], group: list[str] | None = Non
     `group` and `order` columns together must identify a row.
     """
     group = group or []
-    rows = _ranged(df, group + order)
-    local = Window.partitionBy("_range", *group).orderBy(*order)
-    numbered = rows.withColumn("_local", F.row_number().over(local))
-    sizes = rows.groupBy("_range", *group).agg(F.count("*").alias("_n"))
+    # Range and group as one column: the window and the join below then share one shuffle.
+    rows = _ranged(df, group + order, group)
+    numbered = rows.withColumn("_local", F.row_number().over(Window.partitionBy("_key").orderBy(*order)))
     # One row per range and group: at most as many rows for a group as there are ranges.
-    across = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    before = across.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_key").agg(F.count("*").alias("_n"))
+    across = Window.partitionBy(*[F.col("_key")[c] for c in group]) if group else Window.partitionBy(F.lit(0))
+    before = across.orderBy(F.col("_key")["_range"]).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     if total:
         starts = starts.withColumn(total, F.sum("_n").over(across))
-    keys = [F.col(c).alias("_g_" + c) for c in group]
-    starts = starts.select(F.col("_range").alias("_r"), *keys, "_start", *([total] if total else []))
-    same = F.col("_range") == F.col("_r")
-    for c in group:
-        same = same & F.col(c).eqNullSafe(F.col("_g_" + c))
-    placed = numbered.join(starts, same)
+    placed = numbered.join(starts.drop("_n"), "_key")
     position = (F.col("_start") + F.col("_local") - 1).cast("bigint").alias(name)
     return placed.select(*df.columns, position, *([total] if total else []))
 
@@ -51,22 +46,22 @@ def with_neighbours(df: DataFrame, order: str, previous: str, following: str, wr
     The value after the last is empty. The value before the first is the last one if `wrap`,
     else empty.
     """
-    rows = _ranged(df, [order])
-    inside = Window.partitionBy("_range").orderBy(order)
+    rows = _ranged(df, [order], [])
+    inside = Window.partitionBy("_key").orderBy(order)
     linked = rows.select(
         "*", F.lag(order).over(inside).alias("_before"), F.lead(order).over(inside).alias("_after")
     )
     # One row per range.
-    ends = rows.groupBy("_range").agg(F.min(order).alias("_low"), F.max(order).alias("_high"))
-    across = Window.orderBy("_range")
+    ends = rows.groupBy("_key").agg(F.min(order).alias("_low"), F.max(order).alias("_high"))
+    across = Window.partitionBy(F.lit(0)).orderBy("_key")
     edges = ends.select(
-        F.col("_range").alias("_r"),
+        "_key",
         F.lag("_high").over(across).alias("_edge_before"),
         F.lead("_low").over(across).alias("_edge_after"),
         F.max("_high").over(Window.partitionBy(F.lit(0))).alias("_final"),
     )
     first = F.col("_final") if wrap else F.lit("")
-    return linked.join(edges, F.col("_range") == F.col("_r")).select(
+    return linked.join(edges, "_key").select(
         *df.columns,
         F.coalesce("_before", "_edge_before", first).alias(previous),
         F.coalesce("_after", "_edge_after", F.lit("")).alias(following),

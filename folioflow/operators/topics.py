@@ -90,6 +90,24 @@ def objects_by_term(topics: DataFrame, related: DataFrame) -> DataFrame:
     return topics.join(nested, "term_id", "left")
 
 
+def article_term_objects(topics_of: DataFrame, related: DataFrame) -> DataFrame:
+    """Rows (url_title, pos, term_id, …, rank, obj_id, img_url_local): the related objects of every
+    term of every article, in order; a term without objects has one row with nulls.
+    """
+    return topics_of.join(related.select("term_id", "rank", "obj_id", "img_url_local"), "term_id", "left")
+
+
+def article_objects(topics_of: DataFrame, related: DataFrame, size: int) -> DataFrame:
+    """One object for every term of an article: the last of the term's related ones.
+
+    That object is the same for all articles, so it is picked once per term before the join.
+    """
+    last = related.groupBy("term_id").agg(F.max_by(F.struct("obj_id", "img_url_local"), "rank").alias("_o"))
+    picked = last.select("term_id", "_o.obj_id", "_o.img_url_local")
+    rows = topics_of.select("url_title", "pos", "term_id").join(picked, "term_id")
+    return rows if size >= 1 else rows.filter(F.lit(False))
+
+
 def distribute(objects: DataFrame, terms: DataFrame, limit: int, by: list[str] | None = None) -> DataFrame:
     """Share out up to `limit` objects evenly: one of each term in turn, from the front.
 
@@ -108,12 +126,15 @@ def distribute(objects: DataFrame, terms: DataFrame, limit: int, by: list[str] |
     # Rounds past `limit` can never be reached, whatever the number of terms.
     drawn = top_per_group(objects, by + ["term_id"], ["pos"], limit, rank="round")
     drawn = drawn.join(terms.select(*by, "term_id", "term_pos"), by + ["term_id"])
-    # One row per round and sharing: at most `limit` of them.
-    hits = drawn.groupBy(*by, "round").agg(F.count("*").alias("_hits"))
-    rounds = hits.join(terms.groupBy(*by).agg(F.count("*").alias("_terms")), by)
-    earlier = Window.partitionBy(*by).orderBy("round").rowsBetween(Window.unboundedPreceding, -1)
-    misses = F.coalesce(F.sum(F.col("_terms") - F.col("_hits")).over(earlier), F.lit(0))
-    open_rounds = rounds.withColumn("_misses", misses).filter(F.col("_misses") < limit).select(*by, "round")
+    # One row per round and sharing, at most `limit` of them, after one (round 0) that counts the terms.
+    hits = drawn.groupBy(*by, "round").agg(F.count("*").alias("_n"))
+    counted = terms.groupBy(*by).agg(F.lit(0).alias("round"), F.count("*").alias("_n"))
+    rounds = counted.unionByName(hits)
+    sharing = Window.partitionBy(*by).orderBy("round")
+    n_terms = F.first("_n").over(sharing)
+    earlier = F.sum("_n").over(sharing.rowsBetween(Window.unboundedPreceding, -1)) - n_terms
+    misses = n_terms * (F.col("round") - 1) - earlier
+    open_rounds = rounds.withColumn("_misses", misses).filter((F.col("round") > 0) & (F.col("_misses") < limit)).select(*by, "round")
     reached = drawn.join(open_rounds, by + ["round"], "left_semi")
     placed = top_per_group(reached, by, ["round", "term_pos"], limit, rank="place")
     return placed.select(*kept, "term_id", "term_pos", "round", "place", "obj_id")

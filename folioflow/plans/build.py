@@ -84,9 +84,12 @@ def published_rg(boxes: str) -> Column:
 
 def build_pages(
     pages: DataFrame, members: DataFrame, revisions: DataFrame, sources: DataFrame,
-    guide=(), site: Site | None = None, migration: bool = False,
+    guide=(), site: Site | None = None, migration: bool = False, where: str = "true",
 ) -> DataFrame:
-    """Every found page with all columns that article and author documents are made of."""
+    """Every found page with all columns that article and author documents are made of.
+
+    `where` is a condition on the facts about a page; it is applied before any page text is read.
+    """
     site = site or Site()
     facts = page_facts(pages, members, revisions, sources)
     rows = pages.filter("status_code = 200").select(
@@ -96,7 +99,7 @@ def build_pages(
         title_sort(default_sort("properties"), "title").alias("title_sort"),
         "html",
     )
-    rows = rows.join(facts, "url_title", "left").withColumn("guide", _guide_titles(guide))
+    rows = rows.join(facts.filter(where), "url_title").withColumn("guide", _guide_titles(guide))
     if isinstance(guide, DataFrame):
         found = bodies.page_links(bodies.with_tokens(pages.select("url_title", "html")), "url_title", site.guide_base)
         known = bodies.guide_titles_per_page(found, guide, "url_title")
@@ -175,7 +178,7 @@ def build_authors(
     """Author documents. `article_titles` holds up to 10,000 titles; `n_articles` counts them all,
     and `backlink_lists` has the lists that go on beyond that.
     """
-    df = build_pages(pages, members, revisions, sources, guide, site, migration).filter("is_author")
+    df = build_pages(pages, members, revisions, sources, guide, site, migration, where="is_author")
     wanted = pages.select(F.col("title").alias("target"))
     lists = links.backlink_lists(edges.join(wanted, "target", "left_semi")).filter("part = 0")
     titles = lists.select(F.col("target").alias("displaytitle"), F.col("titles").alias("article_titles"), F.col("n").alias("n_articles"))

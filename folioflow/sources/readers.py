@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.functions.dates import iso_text
+from folioflow.operators.positions import with_position
 from folioflow.sources import schemas
 
 
@@ -114,6 +116,12 @@ def search_docs(docs: DataFrame, params: dict) -> DataFrame:
     return list_docs(docs)
 
 
+def listing_lines(docs: DataFrame, key: str) -> DataFrame:
+    """Lines `n/total| key` of a document table in key order, numbered from 0."""
+    placed = with_position(docs.select(key), [key], name="_n", total="_total")
+    return placed.select(key, F.concat(F.col("_n"), F.lit("/"), F.col("_total"), F.lit("| "), F.col(key)).alias("line"))
+
+
 def _matches(column: Column, kind: str, value) -> Column:
     values = list(value) if isinstance(value, (list, tuple, set)) else [value]
     if kind.startswith("array"):
@@ -129,8 +137,6 @@ def rg_titles(guide_articles: DataFrame, limit: int | None = 1000) -> DataFrame:
 
 def get_doc(docs: DataFrame, key_column: str, key, body: bool = False) -> DataFrame:
     """One document by key, without its body unless asked; timestamps as ISO text."""
-    from folioflow.functions.dates import iso_text
-
     found = docs.filter(F.col(key_column) == F.lit(key))
     if not body and "body" in found.columns:
         found = found.drop("body")

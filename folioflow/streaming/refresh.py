@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.operators import diff
+from folioflow.session import cut
 from folioflow.sources import sinks
 
 
@@ -19,9 +20,10 @@ def refresh_batch(spark: SparkSession, revisions: DataFrame, path: str, key: str
     """
     newest = diff.latest_revision(revisions, key=key)
     stored = sinks.read_table(spark, path, f"{key} string, modified timestamp_ntz")
-    changed = newest.join(stored, key, "left").filter(
+    newer = newest.join(stored, key, "left").filter(
         F.col("modified").isNull() | (F.col("lastmod") > F.col("modified"))
-    ).select(key, F.col("lastmod").alias("modified"))
+    )
+    changed = cut(newer.select(key, F.col("lastmod").alias("modified")))
     sinks.save_docs(spark, path, build(changed) if build else changed, key)
 
 

@@ -223,3 +223,10 @@ def test_migration_keeps_status_markers(spark):
 def test_scrub(spark):
     docs = spark.createDataFrame([("p", '<div class="alert published">x</div><p>y</p>'), ("q", None)], "url_title string, body string")
     assert {r.url_title: r.body for r in bodies.scrub_bodies(docs).collect()} == {"p": "<p>y</p>", "q": None}
+
+
+def test_guide_titles_with_underscores(spark):
+    links = spark.createDataFrame([(t, "/" + t) for t in ("A_b", "A b", "C_d", "C d", "E_f_g", "")], "title string, href string")
+    guide = spark.createDataFrame([("A b",), ("C_d",), ("E_f g",), ("",)], "id string")
+    out = {r.title: r.in_guide for r in bodies.classify_links(links, guide).collect()}
+    assert out == {"A_b": True, "A b": True, "C_d": True, "C d": False, "E_f_g": False, "": False}

@@ -77,6 +77,16 @@ def search_documents(spark, sf):
     return readers.search_docs(stored_documents(spark, sf), params).select("url_title", "title")
 
 
+@query(
+    "listing_lines",
+    """SELECT o_orderkey::VARCHAR AS url_title,
+              (row_number() OVER (ORDER BY o_orderkey::VARCHAR) - 1) || '/' || count(*) OVER () || '| ' || o_orderkey AS line FROM orders""",
+)
+def listing_lines(spark, sf):
+    docs = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("url_title"))
+    return readers.listing_lines(docs, "url_title")
+
+
 @query("guide_titles", "SELECT c_name AS id FROM customer ORDER BY 1 LIMIT 1000")
 def guide_titles(spark, sf):
     return readers.rg_titles(table(spark, sf, "customer").select(F.col("c_name").alias("id")))

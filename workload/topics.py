@@ -157,6 +157,43 @@ def topic_objects(spark, sf):
     return nested.select("term_id", F.array_join(F.transform("objects", lambda o: o["obj_id"]), ",").alias("objects"))
 
 
+ARTICLE_OBJECTS = """
+  WITH t AS (SELECT c_name AS url_title, c_nationkey AS term_id, 0::BIGINT AS pos FROM customer
+             UNION ALL SELECT c_name, c_nationkey + 1, 1 FROM customer),
+       r AS (SELECT s_nationkey AS term_id, s_name AS obj_id, 'http://media.example.org/media/' || s_suppkey || '.jpg' AS img_url_local,
+                    row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS rank FROM supplier),
+       top AS (SELECT * FROM r WHERE rank <= 3)
+"""
+
+
+def article_objects_input(spark, sf):
+    """Customers are the articles; their nation and the next one are the terms, suppliers the objects."""
+    numbers = F.array(F.col("c_nationkey"), F.col("c_nationkey") + 1)
+    articles = table(spark, sf, "customer").select(F.col("c_name").alias("url_title"), F.posexplode(numbers).alias("pos", "term_id"))
+    objects = table(spark, sf, "supplier").select(
+        F.col("s_nationkey").alias("term_id"), F.col("s_name").alias("obj_id"),
+        F.concat("s_suppkey", F.lit(".jpg")).alias("img_path"), "s_acctbal", "s_suppkey",
+    )
+    return articles, topics.related_objects(objects, 3, "http://media.example.org/media/", ["s_acctbal", "s_suppkey"])
+
+
+@query(
+    "article_term_objects",
+    ARTICLE_OBJECTS + "SELECT url_title, pos, t.term_id, rank, obj_id, img_url_local FROM t LEFT JOIN top ON top.term_id = t.term_id",
+)
+def article_term_objects(spark, sf):
+    return topics.article_term_objects(*article_objects_input(spark, sf))
+
+
+@query(
+    "article_objects",
+    ARTICLE_OBJECTS + """SELECT url_title, pos, t.term_id, obj_id, img_url_local FROM t JOIN top ON top.term_id = t.term_id
+       WHERE (top.term_id, rank) IN (SELECT (term_id, max(rank)) FROM top GROUP BY term_id)""",
+)
+def article_objects(spark, sf):
+    return topics.article_objects(*article_objects_input(spark, sf), size=5)
+
+
 SHARE = """
   WITH terms AS (SELECT s_nationkey AS term_id, s_nationkey::BIGINT AS term_pos FROM supplier GROUP BY 1),
        obj AS (SELECT c_nationkey AS term_id, c_name AS obj_id, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r
