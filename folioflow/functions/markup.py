@@ -14,6 +14,7 @@ from __future__ import annotations
 import sys
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -30,15 +31,17 @@ TOKEN = (
 )
 
 # Elements that never have content.
-VOID = (
+VOID = frozenset(
     "area base basefont bgsound br col command embed frame hr image img input isindex keygen link "
-    "menuitem meta nextid param source spacer track wbr"
-).split()
+    "menuitem meta nextid param source spacer track wbr".split()
+)
 
 START, END, TEXT, COMMENT, OTHER = "start", "end", "text", "comment", "other"
 
 
 def _escape(text: str) -> str:
+    if "&" not in text and "<" not in text and ">" not in text:
+        return text
     return text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
 
 
@@ -50,50 +53,60 @@ def _quoted(value: str) -> str:
 
 
 class _Tokenizer(HTMLParser):
-    """Appends the tokens of one text after another to shared column lists."""
+    """Appends the tokens of one text after another to one list."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.columns = {name: [] for name in ("pos", "kind", "tag", "attrs", "classes", "raw", "text", "last", "parent")}
+        self.tokens = []  # (kind, tag, raw, text, parent, number of attributes, number of classes)
+        self.last = []
+        self.attributes = []  # (name, value), token after token
+        self.classes = []
         self.offsets = [0]
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def tokenize(self, text):
         self.reset()
-        self.base = len(self.columns["pos"])
+        self.base = len(self.tokens)
         self.open = []
+        self.count = {}
+        self.parent = -1
         self.feed(text)
         self.close()
         while self.open:
             self._close_top()
-        self.offsets.append(len(self.columns["pos"]))
-
-    def _add(self, kind, tag=None, attrs=None, raw="", text=None):
-        columns = self.columns
-        pos = len(columns["pos"]) - self.base
-        columns["pos"].append(pos)
-        columns["kind"].append(kind)
-        columns["tag"].append(tag)
-        columns["attrs"].append(attrs)
-        columns["classes"].append(None if attrs is None else dict(attrs).get("class", "").split())
-        columns["raw"].append(raw)
-        columns["text"].append(text)
-        columns["last"].append(pos)
-        columns["parent"].append(self.open[-1][0] if self.open else -1)
+        self.offsets.append(len(self.tokens))
+
+    def _add(self, kind, tag=None, raw="", text=None, attributes=0, classes=0):
+        pos = len(self.tokens) - self.base
+        self.tokens.append((kind, tag, raw, text, self.parent, attributes, classes))
+        self.last.append(pos)
         return pos
 
     def _close_top(self):
         pos, tag = self.open.pop()
-        self.columns["last"][self.base + pos] = self._add(END, tag, raw=f"</{tag}>")
+        self.count[tag] -= 1
+        self.last[self.base + pos] = self._add(END, tag, raw=f"</{tag}>")
+        self.parent = self.open[-1][0] if self.open else -1
 
     def _start(self, tag, attrs, empty):
-        attrs = list({name: value or "" for name, value in attrs}.items())
-        written = "".join(f" {name}={_quoted(value)}" for name, value in attrs)
-        source = self.get_starttag_text()
-        if tag in VOID:
-            self._add(START, tag, attrs, f"<{tag}{written}/>", source)
+        classes = ()
+        written = f"<{tag}"
+        if attrs:
+            attrs = {name: value or "" for name, value in attrs}
+            classes = attrs.get("class", "").split()
+            self.attributes.extend(attrs.items())
+            self.classes.extend(classes)
+            written += "".join([f" {name}={_quoted(value)}" for name, value in attrs.items()])
+        void = tag in VOID
+        raw = written + ("/>" if void else ">")
+        pos = self._add(START, tag, raw, self.get_starttag_text(), len(attrs), len(classes))
+        if void:
             return
-        pos = self._add(START, tag, attrs, f"<{tag}{written}>", source)
         self.open.append((pos, tag))
+        self.count[tag] = self.count.get(tag, 0) + 1
+        self.parent = pos
         if empty:
             self._close_top()
 
@@ -104,7 +117,7 @@ class _Tokenizer(HTMLParser):
         self._start(tag, attrs, True)
 
     def handle_endtag(self, tag):
-        if any(name == tag for _, name in self.open):
+        if self.count.get(tag):
             while self.open[-1][1] != tag:
                 self._close_top()
             self._close_top()
@@ -142,13 +155,34 @@ _ARROW_TOKEN = pa.struct(
 )
 
 
+def _offsets(counts) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(counts, dtype=np.int32)]).astype(np.int32))
+
+
+def _strings(values) -> pa.Array:
+    return pa.array(values, type=pa.string())
+
+
 def _tokens_of(html: pa.Array) -> pa.Array:
     tokenizer = _Tokenizer()
-    for text in html:
-        tokenizer.tokenize(text.as_py() or "")
-    arrays = [pa.array(tokenizer.columns[f.name], type=f.type) for f in _ARROW_TOKEN]
-    tokens = pa.StructArray.from_arrays(arrays, fields=list(_ARROW_TOKEN))
-    return pa.ListArray.from_arrays(pa.array(tokenizer.offsets, type=pa.int32()), tokens)
+    for text in html.to_pylist():
+        tokenizer.tokenize(text or "")
+    ends = np.array(tokenizer.offsets, dtype=np.int32)
+    pos = np.arange(ends[-1], dtype=np.int32) - np.repeat(ends[:-1], np.diff(ends))
+    kind, tag, raw, text, parent, attributes, classes = zip(*tokenizer.tokens) if tokenizer.tokens else ((),) * 7
+    names, values = zip(*tokenizer.attributes) if tokenizer.attributes else ((), ())
+    arrays = [
+        pa.array(pos),
+        _strings(kind),
+        _strings(tag),
+        pa.MapArray.from_arrays(_offsets(attributes), _strings(names), _strings(values)),
+        pa.ListArray.from_arrays(_offsets(classes), _strings(tokenizer.classes)),
+        _strings(raw),
+        _strings(text),
+        pa.array(tokenizer.last, type=pa.int32()),
+        pa.array(parent, type=pa.int32()),
+    ]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(arrays, fields=list(_ARROW_TOKEN)))
 
 
 def html_tokens(html) -> Column:
@@ -413,8 +447,12 @@ def status_marker(t: str) -> str:
     return f"{t}.tag = 'div' AND {has_class(t, 'alert')} AND array_contains({t}.classes, 'published')"
 
 
+# Fixed value: the class of what is kept off the front site.
+FRONT_HIDDEN = "nopublish-encycfront"
+
+
 def front_hidden(t: str) -> str:
-    return f"{t}.tag = 'div' AND {has_class(t, 'nopublish-encycfront')}"
+    return f"{t}.tag = 'div' AND {has_class(t, FRONT_HIDDEN)}"
 
 
 def upload_link(t: str) -> str:

@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioflow.session import estimated_bytes
+
 BUCKETS = 32
+MOST_BUCKETS = 50_000
 PLACE = ["buckets", "bucket"]
 
 
@@ -66,8 +69,21 @@ def _write(df: DataFrame, path: str, key: str, files_per_bucket: int) -> None:
     )
 
 
-def create_table(df: DataFrame, path: str, key: str, buckets: int = BUCKETS, files_per_bucket: int = 1) -> None:
-    _write(_placed(df, key, buckets), path, key, files_per_bucket)
+def create_table(
+    df: DataFrame, path: str, key: str, buckets: int | None = None, files_per_bucket: int = 1
+) -> None:
+    """Write a new table. Without a count of buckets, one is made for every 512 MB estimated, 32 at least.
+
+    For a table that will grow, choose `buckets` for its later size: a bucket is what one change rewrites.
+    """
+    _write(_placed(df, key, buckets or _buckets_for(df)), path, key, files_per_bucket)
+
+
+def _buckets_for(df: DataFrame) -> int:
+    size = estimated_bytes(df)
+    if size > 2**53:  # Catalyst does not know
+        return BUCKETS
+    return min(MOST_BUCKETS, max(BUCKETS, size // (512 * 1024 * 1024)))
 
 
 def _stored(spark: SparkSession, path: str, schema=None) -> DataFrame:

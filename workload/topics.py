@@ -195,9 +195,10 @@ def article_objects(spark, sf):
 
 
 SHARE = """
-  WITH terms AS (SELECT s_nationkey AS term_id, s_nationkey::BIGINT AS term_pos FROM supplier GROUP BY 1),
+  WITH terms AS (SELECT DISTINCT s_nationkey AS term_id, s_nationkey::BIGINT AS term_pos FROM supplier
+                 UNION ALL SELECT 100 + r_regionkey, 100 + r_regionkey FROM region),
        obj AS (SELECT c_nationkey AS term_id, c_name AS obj_id, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r
-               FROM customer WHERE c_nationkey NOT IN (4, 9) AND c_nationkey IN (SELECT term_id FROM terms)),
+               FROM customer WHERE c_nationkey IN (SELECT term_id FROM terms)),
        per AS (SELECT r, (SELECT count(*) FROM terms) - count(*) AS missed FROM obj GROUP BY r),
        opened AS (SELECT r, coalesce(sum(missed) OVER (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS m FROM per),
        placed AS (SELECT term_id, term_pos, obj_id, r, row_number() OVER (ORDER BY r, term_pos) AS place
@@ -207,11 +208,14 @@ SHARE = """
 
 
 def sharing(spark, sf):
-    """Nations are the terms, customers their objects; two nations are left without any."""
-    terms = table(spark, sf, "supplier").select(
-        F.col("s_nationkey").alias("term_id"), F.col("s_nationkey").cast("bigint").alias("term_pos")
-    ).distinct()
-    customers = table(spark, sf, "customer").filter("c_nationkey not in (4, 9)").select(
+    """Nations and regions are the terms, customers the objects of nations; regions have none."""
+
+    def term(key):
+        return key.cast("int").alias("term_id"), key.cast("bigint").alias("term_pos")
+
+    nations = table(spark, sf, "supplier").select(*term(F.col("s_nationkey"))).distinct()
+    terms = nations.unionByName(table(spark, sf, "region").select(*term(F.col("r_regionkey") + 100)))
+    customers = table(spark, sf, "customer").select(
         F.col("c_nationkey").alias("term_id"), F.col("c_custkey").alias("pos"), F.col("c_name").alias("obj_id")
     )
     return customers, terms

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioflow.plans.publish import Wiki
+from folioflow.session import spread
 from folioflow.sources.readers import parse_pages
 from workload import media
 from workload.registry import table
@@ -19,7 +20,7 @@ LANG = "regexp_extract(html, 'lang=\"([a-z]+)\"', 1)"
 
 def raw_pages(spark, sf):
     """(url_title, json): every page of the given table as a wiki record."""
-    pages = table(spark, sf, "pages").withColumn("lang", F.expr(LANG)).withColumn("title", F.concat(F.lit("Page_"), "page_id"))
+    pages = spread(table(spark, sf, "pages")).withColumn("lang", F.expr(LANG)).withColumn("title", F.concat(F.lit("Page_"), "page_id"))
 
     def named(value):
         return F.struct(value.alias("*"))
