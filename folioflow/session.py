@@ -47,8 +47,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def range_partitions(df: DataFrame) -> int:
-    """How many ranges to cut `df` into: one per 4 MB, at most the session's setting."""
-    by_size = math.ceil(estimated_bytes(df) / (4 * 1024 * 1024))
+    """How many ranges to cut `df` into: one per 256 KB estimated, at most the session's setting."""
+    by_size = math.ceil(estimated_bytes(df) / (256 * 1024))
     return max(1, min(shuffle_partitions(df.sparkSession), by_size))
 
 
