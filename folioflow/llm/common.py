@@ -34,11 +34,10 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, weight: str) -> Data
     `weight` is the number of rows of a key. Keys above a 1/1000 of the total number at most 1000, so their facts
     are broadcast and their rows stay where they are; all other keys meet in an ordinary join. `facts` must be a staged table.
     """
-    total = facts.agg(F.sum(weight).alias("_total"))
-    marked = facts.join(F.broadcast(total), F.lit(True))
-    hot = F.col(weight) * HOT_PARTS > F.col("_total")
-    heavy = F.broadcast(marked.filter(hot).drop("_total"))
-    light = marked.filter(~hot).drop("_total")
+    total = facts.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight) * HOT_PARTS > total
+    heavy = F.broadcast(facts.filter(hot))
+    light = facts.filter(~hot)
     return rows.join(heavy, key).unionByName(rows.join(heavy.select(key), key, "left_anti").join(light, key))
 
 

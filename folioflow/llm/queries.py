@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import decontaminate, exact, packing, tokens
+from folioflow.llm import decontaminate, exact, packing, pii, quality, tokens
 from folioflow.llm.common import table
 from folioflow.session import work_dir
 
@@ -93,3 +93,20 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_token_counts")
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"), byte_bpe(), limit=512)
+
+
+@query("op7_personal_data")
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    field = pii.train(pii.labelled_words(spark))
+    found = pii.personal_data(table(spark, folder, "documents"), field)
+    joined = {c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",") for c in ("base", "spans")}
+    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined["base"], 256).alias("base_sha256"), joined["spans"].alias("spans"))
+
+
+@query("op10_quality")
+def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.train(docs, table(spark, folder, "labels"), held_out_fold=0)
+    rows = quality.scored(docs.select("doc_id", "text"), model, threshold=0.3)
+    return rows.select("doc_id", (quality.fold("doc_id") == 0).alias("held_out"), "score", "predicted")
