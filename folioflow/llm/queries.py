@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import decontaminate, exact, packing, pii, quality, tokens
+from folioflow.llm import decontaminate, exact, near, packing, pii, quality, tokens
 from folioflow.llm.common import table
 from folioflow.session import work_dir
 
@@ -110,3 +110,9 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.train(docs, table(spark, folder, "labels"), held_out_fold=0)
     rows = quality.scored(docs.select("doc_id", "text"), model, threshold=0.3)
     return rows.select("doc_id", (quality.fold("doc_id") == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op8_near_duplicates")
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = near.near_duplicates(table(spark, folder, "documents"), percent=85, size=5)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
