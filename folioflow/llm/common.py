@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from folioflow.session import shuffle_partitions, work_dir
 # A key counts as hot above this share of all rows, so at most HOT_PARTS keys are hot.
 HOT_PARTS = 1000
 
+# Column that `keep_marked` adds and takes away again.
+ROW_KEY = "__row_key"
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -51,7 +56,27 @@ def numbered(rows: DataFrame, keys: list[str], order: list[str], name: str) -> D
     split = rows.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int"))
     local = split.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order)))
     sizes = split.groupBy(*keys, "_part").agg(F.count("*").alias("_size"))
+    # One row per part of a key.
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
     placed = local.join(starts, [*keys, "_part"])
     return placed.withColumn(name, (F.col("_start") + F.col("_local") - 1).cast("bigint")).drop("_part", "_local", "_start")
+
+
+def keep_marked(docs: DataFrame, marks: DataFrame, id_col: str, key_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of `docs` that `marks` (staged: _id, _key, _kept; one row for each row of `docs`) keeps, all columns as they are.
+
+    Ids with only dropped rows leave by an anti-join on the id. Only where an id repeats, with kept and dropped rows, does
+    `key_of` (adds ROW_KEY) tell the rows apart; one row of each kept key stays.
+    """
+    by_id = marks.groupBy("_id").agg(F.min("_kept").alias("all"), F.max("_kept").alias("any"))
+    gone = staged(by_id.filter(~F.col("all")), "dropped-ids")
+    own = docs[id_col].cast("bigint")
+    plain = docs.join(gone, own.eqNullSafe(gone["_id"]), "left_anti")
+    mixed = gone.filter("any")
+    if mixed.isEmpty():
+        return plain
+    again = key_of(docs.join(mixed, own.eqNullSafe(mixed["_id"]), "left_semi"))
+    kept = marks.filter("_kept").select("_id", F.col("_key").alias("_kept_key")).distinct()
+    match = again[id_col].cast("bigint").eqNullSafe(kept["_id"]) & (again[ROW_KEY] == kept["_kept_key"])
+    return plain.unionByName(again.join(kept, match, "left_semi").dropDuplicates([id_col, ROW_KEY]).select(*docs.columns))

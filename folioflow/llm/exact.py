@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import join_facts, plain_text, staged
+from folioflow.llm.common import ROW_KEY, join_facts, keep_marked, plain_text, staged
 from folioflow.session import shuffle_partitions
 
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -75,8 +75,6 @@ class DigestIndex:
 
 def deduplicated(docs: DataFrame, index: DigestIndex, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
-    marked = index.add(docs, batch, id_col, text_col).filter("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
-    # Ids that repeat with equal text and null ids: one row of each survives.
-    keyed = docs.withColumn("_id", F.col(id_col).cast("bigint")).withColumn("_sha", F.lower(F.hex(digest(plain_text(text_col)))))
-    same = keyed["_id"].eqNullSafe(marked["_id"]) & (keyed["_sha"] == marked["_sha"])
-    return keyed.join(marked, same, "left_semi").dropDuplicates(["_id", "_sha"]).select(*docs.columns)
+    marks = index.add(docs, batch, id_col, text_col)
+    marks = staged(marks.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_key"), F.col("kept").alias("_kept")), "digest-marks")
+    return keep_marked(docs, marks, id_col, lambda rows: rows.withColumn(ROW_KEY, F.lower(F.hex(digest(plain_text(text_col))))))

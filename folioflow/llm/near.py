@@ -14,8 +14,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from folioflow.llm.common import join_facts, plain_text, staged
+from folioflow.llm.common import ROW_KEY, join_facts, keep_marked, plain_text, staged
 from folioflow.llm.tokens import by_bytes, text_sizes
 from folioflow.llm.words import batch_hashes, mixed, shingles
 from folioflow.session import shuffle_partitions
@@ -287,3 +288,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, id_col: s
     out = ["id", "n_shingles", F.col("name.id").alias("component_id"), (F.col("row") == F.col("name.row")).alias("kept"), "key"]
     empty = prints.filter("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"), F.lit(True).alias("kept"), "key")
     return named.select(out).unionByName(empty).withColumnRenamed("id", id_col)
+
+
+def deduplicated(docs: DataFrame, percent: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, with all its columns."""
+
+    def with_key(rows: DataFrame) -> DataFrame:
+        at = rows.columns.index(text_col)
+
+        def run(batches):
+            for batch in batches:
+                keys = [set_key(s) for t in batch.column(at).to_pylist() for s in _sets([t or ""], size)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, ROW_KEY])
+
+        return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(ROW_KEY, T.BinaryType())]))
+
+    found = near_duplicates(docs, percent, size, id_col, text_col)
+    marks = staged(found.select(F.col(id_col).alias("_id"), F.col("key").alias("_key"), F.col("kept").alias("_kept")), "near-marks")
+    return keep_marked(docs, marks, id_col, with_key)

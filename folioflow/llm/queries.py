@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import decontaminate, exact, near, packing, pii, quality, tokens
+import corpus_pipeline
+from folioflow.llm import decontaminate, exact, near, packing, pii, quality, shards, tokens
 from folioflow.llm.common import table
 from folioflow.session import work_dir
 
@@ -116,3 +117,12 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = near.near_duplicates(table(spark, folder, "documents"), percent=85, size=5)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
+
+
+@query("op5_balanced_shards")
+def balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards.balanced_shards(table(spark, folder, "documents"), n_shards=16)
+    return placed.withColumn("grown_shard", F.lit(None).cast("int"))
