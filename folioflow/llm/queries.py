@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from folioflow.llm import decontaminate, exact, near, packing, pii, quality, shards, tokens
+from folioflow.llm import decontaminate, exact, katz, near, packing, pii, quality, shards, tokens
 from folioflow.llm.common import table
 from folioflow.session import work_dir
 
@@ -126,3 +126,8 @@ query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
 def balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = shards.balanced_shards(table(spark, folder, "documents"), n_shards=16)
     return placed.withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+@query("op6_katz_scores")
+def katz_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.katz_scores(table(spark, folder, "documents"), quality.fold("doc_id") == 1)
