@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from folioflow.llm import decontaminate, exact, katz, near, packing, pii, quality, shards, tokens
+from folioflow.llm import decontaminate, exact, katz, near, packing, pii, quality, repeats, shards, tokens
 from folioflow.llm.common import table
 from folioflow.session import work_dir
 
@@ -131,3 +131,10 @@ def balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_katz_scores")
 def katz_scores(spark: SparkSession, folder: str) -> DataFrame:
     return katz.katz_scores(table(spark, folder, "documents"), quality.fold("doc_id") == 1)
+
+
+@query("op2_repeated_strings")
+def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, folder, "documents"), size=50)
+    n_removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
