@@ -101,7 +101,7 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     field = pii.train(pii.labelled_words(spark))
     found = pii.personal_data(table(spark, folder, "documents"), field)
     joined = {c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",") for c in ("base", "spans")}
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    counts = [F.expr(f"CAST(size(filter(base, x -> x.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined["base"], 256).alias("base_sha256"), joined["spans"].alias("spans"))
 
 
