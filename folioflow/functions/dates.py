@@ -29,21 +29,30 @@ def lenient_ts(text) -> Column:
 
 def _iso_form(text: Column) -> Column:
     """Year to second in ISO order, for the forms that are known."""
-    tail = r"[,T ]*(\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?.*$"
+    clock = r"(\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)"
+    # The clock is taken as written: zones and offsets are accepted and not applied.
+    zone = r"(?: ?(?:Z|UTC|GMT|[+-]\d{2}:?\d{2}))?"
+    tail = r"(?:(?:, ?| at |T| )" + clock + r" ?([AaPp]\.?[Mm]\.?)?" + zone + r")?$"
     word = r"^(?:[A-Za-z]{3,9},? +)?"
     iso = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ](\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?))?(?: ?(?:Z|[+-]\d{2}:?\d{2}))?$"
     packed = r"^(\d{4})(\d{2})(\d{2})(?:T?(\d{2})(\d{2})(\d{2}))?Z?$"
     slash = r"^(\d{1,2})/(\d{1,2})/(\d{4})" + tail
     day_first = word + r"(\d{1,2}) ([A-Za-z]{3,9})\.?,? (\d{4})" + tail
     month_first = word + r"([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4})" + tail
+    year_last = r"^[A-Za-z]{3,9},? +([A-Za-z]{3,9}) +(\d{1,2}) " + clock + zone + r" (\d{4})$"
 
     def part(pattern, n):
         return F.regexp_extract(text, pattern, n)
 
-    def stamp(year, month, day, clock):
+    def stamp(year, month, day, clock, half=None):
         date = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-        full = F.when(clock.rlike(r"^\d:"), F.concat(F.lit("0"), clock)).otherwise(clock)
-        return F.when(full == "", date).otherwise(F.concat_ws(" ", date, full))
+        hour = F.regexp_extract(clock, r"^(\d{1,2})", 1).try_cast("int")
+        if half is not None:
+            # 12 AM is midnight and 12 PM noon; an hour beyond 12 cannot have a half.
+            twelve = hour % 12 + F.when(half.rlike("^[Pp]"), 12).otherwise(0)
+            hour = F.when(half == "", hour).when(hour.between(1, 12), twelve)
+        full = F.concat(F.lpad(hour.cast("string"), 2, "0"), F.regexp_extract(clock, r"^\d{1,2}(.*)$", 1))
+        return F.when(clock == "", date).otherwise(F.concat(date, F.lit(" "), full))
 
     return (
         F.when(text.rlike(iso), F.trim(F.concat_ws(" ", part(iso, 1), part(iso, 2))))
@@ -56,14 +65,18 @@ def _iso_form(text: Column) -> Column:
                 ),
             ),
         )
-        .when(text.rlike(slash), stamp(part(slash, 3), part(slash, 1), part(slash, 2), part(slash, 4)))
+        .when(text.rlike(slash), stamp(part(slash, 3), part(slash, 1), part(slash, 2), part(slash, 4), part(slash, 5)))
         .when(
             text.rlike(day_first),
-            stamp(part(day_first, 3), _month_number(part(day_first, 2)), part(day_first, 1), part(day_first, 4)),
+            stamp(part(day_first, 3), _month_number(part(day_first, 2)), part(day_first, 1), part(day_first, 4), part(day_first, 5)),
         )
         .when(
             text.rlike(month_first),
-            stamp(part(month_first, 3), _month_number(part(month_first, 1)), part(month_first, 2), part(month_first, 4)),
+            stamp(part(month_first, 3), _month_number(part(month_first, 1)), part(month_first, 2), part(month_first, 4), part(month_first, 5)),
+        )
+        .when(
+            text.rlike(year_last),
+            stamp(part(year_last, 4), _month_number(part(year_last, 1)), part(year_last, 2), part(year_last, 3)),
         )
     )
 

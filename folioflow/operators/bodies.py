@@ -70,14 +70,13 @@ def clean_bodies(
     site = site or Site()
     ids = F.col(source_ids) if source_ids else F.array().cast("array<string>")
     rows = pages.select(key, "html", ids.alias("source_ids"))
+    if not isinstance(guide, DataFrame) and len(list(guide)) > LITERAL_TITLES:
+        guide = pages.sparkSession.createDataFrame([(t,) for t in guide], "id string")
     if isinstance(guide, DataFrame):
         links = page_links(with_tokens(rows.select(key, "html")), key, site.guide_base)
         rows = rows.join(guide_titles_per_page(links, guide, key), key, "left")
         rows = rows.withColumn("guide", F.coalesce("guide", F.array().cast("array<string>")))
     else:
-        guide = list(guide)
-        if len(guide) > LITERAL_TITLES:
-            raise ValueError("pass a long list of guide titles as a table")
         rows = rows.withColumn("guide", F.array(*[F.lit(t) for t in guide]).cast("array<string>"))
     df = with_tokens(rows)
     return clean_tokens(df, site, printed, migration).select(key, body_text("tokens").alias("body"))

@@ -9,7 +9,7 @@ from folioflow.functions.text import image_id
 from folioflow.operators.positions import with_position
 from folioflow.session import spread
 
-# Longest list kept inside one document; longer ones go on in further list rows.
+# Titles in one list row; longer lists go on in further rows.
 LIST_SIZE = 10_000
 
 
@@ -31,6 +31,17 @@ def backlink_lists(edges: DataFrame, target: str = "target", source: str = "sour
     )
 
 
+def whole_lists(lists: DataFrame, target: str = "target") -> DataFrame:
+    """(target, n, titles): the rows of `backlink_lists` of each page put together, as a document holds them."""
+    parts = F.array_sort(F.collect_list(F.struct("part", "titles")))
+    return lists.groupBy(target).agg(F.max("n").alias("n"), F.flatten(F.transform(parts, lambda x: x["titles"])).alias("titles"))
+
+
+def author_titles(edges: DataFrame, target: str = "target", source: str = "source") -> DataFrame:
+    """Rows (target, pos, source): the pages that link to a page, in order, however many."""
+    return with_position(edges.select(target, source), [source], [target])
+
+
 def primary_sources(pages: DataFrame, sources: DataFrame, key: str = "url_title") -> DataFrame:
     """Rows (key, pos, encyclopedia_id): page images that are media sources, in page order."""
     # Ids are made inside the array: a filter on them would otherwise make them twice.

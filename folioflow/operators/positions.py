@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.session import cut, range_partitions
+from folioflow.session import cut, range_partitions, shuffle_partitions
 
 
 def _ranged(df: DataFrame, order: list[str], group: list[str]) -> DataFrame:
@@ -70,7 +70,6 @@ def with_neighbours(df: DataFrame, order: str, previous: str, following: str, wr
 
 # Up to this many rows per group Spark prunes each partition before the shuffle (WindowGroupLimit).
 PRUNED_RANK = 999
-SALTS = 64
 
 
 def top_per_group(df: DataFrame, group: list[str], order: list, k: int, rank: str = "rank") -> DataFrame:
@@ -80,7 +79,7 @@ def top_per_group(df: DataFrame, group: list[str], order: list, k: int, rank: st
     `k`, and by a first pass over salted sub-groups for a large one.
     """
     if k > PRUNED_RANK:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(shuffle_partitions(df.sparkSession)))
         parts = Window.partitionBy(*group, "_salt").orderBy(*order)
         df = df.withColumn("_salt", salt).withColumn(rank, F.row_number().over(parts)).filter(F.col(rank) <= k).drop("_salt", rank)
     whole = Window.partitionBy(*group).orderBy(*order)

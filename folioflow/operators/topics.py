@@ -159,13 +159,15 @@ def balance(objects: DataFrame, terms: DataFrame, size: int, by: list[str] | Non
     return picked if size >= 1 else picked.filter(F.lit(False))
 
 
-def page_slice(items: DataFrame, order: list[str], start: int = 0, num: int = 1_000_000) -> DataFrame:
-    """Items after the one at index `start`: `posted` marks the first `num` published ones.
+def page_slice(items: DataFrame, order: list[str], start: int = 0, num: int | None = None) -> DataFrame:
+    """Items after the one at index `start`: `posted` marks the first `num` published ones, all without `num`.
 
     Published items beyond `num` are left out, as are unpublished ones after the last posted
     item has filled the quota.
     """
     placed = with_position(items, order, name="idx").filter(F.col("idx") > start)
+    if num is None:
+        return placed.withColumn("posted", F.coalesce("published", F.lit(False)))
     # Quota by position among the published ones: a second numbering over the published rows only.
     published = with_position(placed.filter("published").select("idx"), ["idx"], name="_nth")
     posted = published.filter(F.col("_nth") < num)

@@ -27,16 +27,17 @@ def page_facts(pages: DataFrame, members: DataFrame, revisions: DataFrame, sourc
     # The page records are read once for all narrow joins, and once more for their text.
     found = cut(
         pages.filter("status_code = 200").select(
-            "url_title", "title", F.transform("categories", lambda c: c["*"]).alias("categories"), "images"
+            "url_title", F.transform("categories", lambda c: c["*"]).alias("categories"), "images"
         )
     )
     shown = index.whitelisted_categories(found.select("url_title", "categories"), index.category_names(members))
     lists = shown.groupBy("url_title").agg(F.array_sort(F.collect_list(F.struct("pos", "category"))).alias("_c"))
     categories = lists.select("url_title", F.transform("_c", lambda x: x["category"]).alias("categories"))
     ids = links.source_id_lists(links.primary_sources(found.select("url_title", "images"), sources))
-    facts = flag_members(found.select("url_title", "title"), published, "title", "is_article")
-    facts = flag_members(facts, authors, "title", "is_author")
-    facts = facts.join(beside, "title", "left").drop("title")
+    # The wiki's lists name pages by their key; a display title may differ from it.
+    facts = flag_members(found.select("url_title"), published, "url_title", "is_article", "title")
+    facts = flag_members(facts, authors, "url_title", "is_author", "title")
+    facts = facts.join(beside.withColumnRenamed("title", "url_title"), "url_title", "left")
     facts = facts.join(diff.latest_revision(revisions).withColumnRenamed("title", "url_title"), "url_title", "left")
     return facts.join(categories, "url_title", "left").join(ids, "url_title", "left")
 
@@ -99,6 +100,8 @@ def build_pages(
         title_sort(default_sort("properties"), "title").alias("title_sort"),
         "html",
     )
+    if not isinstance(guide, DataFrame) and len(list(guide)) > bodies.LITERAL_TITLES:
+        guide = pages.sparkSession.createDataFrame([(t,) for t in guide], "id string")
     rows = rows.join(facts.filter(where), "url_title").withColumn("guide", _guide_titles(guide))
     if isinstance(guide, DataFrame):
         found = bodies.page_links(bodies.with_tokens(pages.select("url_title", "html")), "url_title", site.guide_base)
@@ -131,9 +134,6 @@ def build_pages(
 def _guide_titles(guide):
     if isinstance(guide, DataFrame):
         guide = ()
-    guide = list(guide)
-    if len(guide) > bodies.LITERAL_TITLES:
-        raise ValueError("pass a long list of guide titles as a table")
     return F.array(*[F.lit(t) for t in guide]).cast(NO_STRINGS)
 
 
@@ -167,7 +167,7 @@ def build_articles(
 def page_links(pages: DataFrame) -> DataFrame:
     """Edges (source, target) from the link lists of the page records."""
     return pages.filter("status_code = 200").select(
-        F.col("title").alias("source"), F.explode("links").alias("link")
+        F.col("url_title").alias("source"), F.explode("links").alias("link")
     ).select("source", F.col("link")["*"].alias("target"))
 
 
@@ -175,14 +175,14 @@ def build_authors(
     pages: DataFrame, members: DataFrame, revisions: DataFrame, sources: DataFrame,
     edges: DataFrame, guide=(), site: Site | None = None, migration: bool = False,
 ) -> DataFrame:
-    """Author documents. `article_titles` holds up to 10,000 titles; `n_articles` counts them all,
-    and `backlink_lists` has the lists that go on beyond that.
+    """Author documents. `article_titles` holds all titles that link to the author, `n_articles` their number;
+    `links.author_titles` has the same as rows.
     """
     df = build_pages(pages, members, revisions, sources, guide, site, migration, where="is_author")
-    wanted = pages.select(F.col("title").alias("target"))
-    lists = links.backlink_lists(edges.join(wanted, "target", "left_semi")).filter("part = 0")
-    titles = lists.select(F.col("target").alias("displaytitle"), F.col("titles").alias("article_titles"), F.col("n").alias("n_articles"))
-    return df.join(titles, "displaytitle", "left").select(
+    wanted = pages.select(F.col("url_title").alias("target"))
+    lists = links.whole_lists(links.backlink_lists(edges.join(wanted, "target", "left_semi")))
+    titles = lists.select(F.col("target").alias("url_title"), F.col("titles").alias("article_titles"), F.col("n").alias("n_articles"))
+    return df.join(titles, "url_title", "left").select(
         "url_title", "public", "published", F.col("lastmod").alias("modified"), "mw_api_url",
         "title_sort", "title", "body",
         F.coalesce("article_titles", F.array().cast(NO_STRINGS)).alias("article_titles"),

@@ -22,7 +22,7 @@ from folioflow.sources import sinks
 
 
 # What the change test needs of a stored page.
-STORED_PAGE = "url_title string, title string, modified timestamp_ntz"
+STORED_PAGE = "url_title string, modified timestamp_ntz"
 
 
 @dataclass
@@ -81,8 +81,8 @@ def publish_articles(
     stored = sinks.read_table(spark, path, STORED_PAGE)
     authors = diff.published_authors(wiki.members)
     published = diff.published_pages(wiki.members, wiki.revisions)
-    changes = _staged(spark, diff.articles_to_update(authors, published, stored.select("title", "modified")), "changes")
-    plan = _planned(changes, stored, "title", force, title)
+    changes = _staged(spark, diff.articles_to_update(authors, published, stored.select(F.col("url_title").alias("title"), "modified")), "changes")
+    plan = _planned(changes, stored.select(F.col("url_title").alias("title")), "title", force, title)
     wanted = wiki.pages.join(plan.select(F.col("title").alias("url_title")), "url_title", "left_semi")
     built = build.build_articles(wanted, wiki.members, wiki.revisions, wiki.sources, guide, site)
     docs = _staged(spark, built, "articles")
@@ -91,8 +91,8 @@ def publish_articles(
     unpublished = docs.filter(~shown).select("url_title").join(stored.select("url_title"), "url_title", "left_semi")
     gone = unpublished = _staged(spark, unpublished, "unpublished")
     if apply_deletes:
-        deleted = changes.filter(F.col("change") == diff.DELETED).select("title")
-        gone = gone.unionByName(_staged(spark, stored.join(deleted, "title", "left_semi").select("url_title"), "deleted"))
+        deleted = changes.filter(F.col("change") == diff.DELETED).select(F.col("title").alias("url_title"))
+        gone = gone.unionByName(_staged(spark, stored.select("url_title").join(deleted, "url_title", "left_semi"), "deleted"))
     missing = plan.select(F.col("title").alias("url_title")).join(docs.select("url_title"), "url_title", "left_anti")
     missing = _staged(spark, missing, "missing")
     errors = _write(spark, path, "url_title", posted, gone, dryrun)
@@ -107,16 +107,16 @@ def publish_authors(
     stored = sinks.read_table(spark, path, STORED_PAGE)
     authors = diff.published_authors(wiki.members)
     published = diff.published_pages(wiki.members, wiki.revisions)
-    changes = _staged(spark, diff.authors_to_update(authors, published, stored.select("title", "modified")), "changes")
-    plan = _planned(changes, stored, "title", force, title)
+    changes = _staged(spark, diff.authors_to_update(authors, published, stored.select(F.col("url_title").alias("title"), "modified")), "changes")
+    plan = _planned(changes, stored.select(F.col("url_title").alias("title")), "title", force, title)
     wanted = wiki.pages.join(plan.select(F.col("title").alias("url_title")), "url_title", "left_semi")
     edges = links.backlinks(build.page_links(wiki.pages))
     built = build.build_authors(wanted, wiki.members, wiki.revisions, wiki.sources, edges, guide, site)
     docs = _staged(spark, built, "authors")
     gone = None
     if apply_deletes:
-        deleted = changes.filter(F.col("change") == diff.DELETED).select("title")
-        gone = _staged(spark, stored.join(deleted, "title", "left_semi").select("url_title"), "deleted")
+        deleted = changes.filter(F.col("change") == diff.DELETED).select(F.col("title").alias("url_title"))
+        gone = _staged(spark, stored.select("url_title").join(deleted, "url_title", "left_semi"), "deleted")
     missing = plan.select(F.col("title").alias("url_title")).join(docs.select("url_title"), "url_title", "left_anti")
     missing = _staged(spark, missing, "missing")
     errors = _write(spark, path, "url_title", docs, gone, dryrun)

@@ -47,9 +47,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def range_partitions(df: DataFrame) -> int:
-    """How many ranges to cut `df` into: one per 256 KB estimated, at most the session's setting."""
-    by_size = math.ceil(estimated_bytes(df) / (256 * 1024))
-    return max(1, min(shuffle_partitions(df.sparkSession), by_size))
+    """How many ranges to cut `df` into: the session's setting, fewer for a small table (256 KB in a range at least),
+    more for a large one (128 MB at most), both as estimated. A plan of unknown size gets the setting."""
+    size, usual = estimated_bytes(df), shuffle_partitions(df.sparkSession)
+    if size > 2**53:
+        return usual
+    return max(1, min(usual, math.ceil(size / (256 * 1024))), math.ceil(size / (128 * 1024 * 1024)))
 
 
 def spread(df: DataFrame) -> DataFrame:

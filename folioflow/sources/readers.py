@@ -129,8 +129,8 @@ def _matches(column: Column, kind: str, value) -> Column:
     return column.isin(values)
 
 
-def rg_titles(guide_articles: DataFrame, limit: int | None = 1000) -> DataFrame:
-    """Ids of the resource guide's articles, the first `limit` in id order."""
+def rg_titles(guide_articles: DataFrame, limit: int | None = None) -> DataFrame:
+    """Ids of the resource guide's articles: all, or the first `limit` in id order."""
     ids = guide_articles.select("id")
     return ids if limit is None else ids.orderBy("id").limit(limit)
 

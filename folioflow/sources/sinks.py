@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioflow.operators.diff import latest_per_key
 from folioflow.session import estimated_bytes
 
 BUCKETS = 32
-MOST_BUCKETS = 50_000
 PLACE = ["buckets", "bucket"]
 
 
@@ -74,8 +74,12 @@ def create_table(
 ) -> None:
     """Write a new table. Without a count of buckets, one is made for every 512 MB estimated, 32 at least.
 
-    For a table that will grow, choose `buckets` for its later size: a bucket is what one change rewrites.
+    For a table that will grow, choose `buckets` for its later size: a bucket is what one change rewrites. A path that
+    holds a table already is refused.
     """
+    files, location = _folder(df.sparkSession, path)
+    if files.exists(location) and any(e.getPath().getName().startswith("buckets=") for e in files.listStatus(location)):
+        raise ValueError(f"there is a table at {path}")
     _write(_placed(df, key, buckets or _buckets_for(df)), path, key, files_per_bucket)
 
 
@@ -83,7 +87,7 @@ def _buckets_for(df: DataFrame) -> int:
     size = estimated_bytes(df)
     if size > 2**53:  # Catalyst does not know
         return BUCKETS
-    return min(MOST_BUCKETS, max(BUCKETS, size // (512 * 1024 * 1024)))
+    return max(BUCKETS, size // (512 * 1024 * 1024))
 
 
 def _stored(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -108,13 +112,19 @@ def _touched(keys: DataFrame) -> list[int]:
 
 
 def save_docs(
-    spark: SparkSession, path: str, rows: DataFrame, key: str, schema: str | None = None, files_per_bucket: int = 1
+    spark: SparkSession, path: str, rows: DataFrame, key: str, schema: str | None = None, files_per_bucket: int = 1,
+    newest_by: list[str] | None = None,
 ) -> None:
     """Put `rows` into the table at `path`, rewriting the touched buckets only.
 
     `schema` is that of the stored table; without it the table's files are asked. The columns of
-    both sides are kept.
+    both sides are kept. Of rows that repeat a key the last by `newest_by` is stored; without it
+    repeated keys are refused.
     """
+    if newest_by:
+        rows = latest_per_key(rows, key, newest_by)
+    elif not rows.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        raise ValueError(f"rows repeat a {key}; say by which columns the newest is found")
     rows = _placed(rows, key, _bucket_count(spark, path))
     touched = _touched(rows)
     if touched:

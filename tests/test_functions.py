@@ -87,6 +87,14 @@ def test_dates(spark):
         "29 August 2012": d(2012, 8, 29),
         "Wed, 29 Aug 2012 10:11:12 GMT": d(2012, 8, 29, 10, 11, 12),
         "Aug 29, 2012": d(2012, 8, 29),
+        "8/5/2013 3:30 PM": d(2013, 8, 5, 15, 30),
+        "June 5, 2013 12:30 am": d(2013, 6, 5, 0, 30),
+        "5 June 2013, 12:00:01 p.m.": d(2013, 6, 5, 12, 0, 1),
+        "8/5/2013 13:30 PM": None,
+        "5 June 2013 10:11 +09:00": d(2013, 6, 5, 10, 11),
+        "Mon Aug 5 10:11:12 2013": d(2013, 8, 5, 10, 11, 12),
+        "5 June 2013 garbage": None,
+        "8/29/2012x": None,
         "2012-13-45": None,
         "soon": None,
     }

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from folioflow.operators import links
 from folioflow.plans import build, publish
 from folioflow.settings import Site
 from folioflow.sources import readers, schemas, sinks
@@ -209,3 +210,42 @@ def test_refresh_stream_in_batches(spark, tmp_path):
         assert rows == {"a": D(2020, 1, 3), "b": D(2020, 1, 5), "c": D(2020, 1, 1)}
     refresh.refresh_batch(spark, spark.createDataFrame(batches[1], schemas.REVISIONS), path)
     assert {r.title: r.modified for r in sinks.read_table(spark, path).collect()} == rows
+
+
+def test_display_titles_are_for_show(spark, wiki, tmp_path):
+    """A page whose display title has markup is found again by its key: posted once, then the same."""
+    shown = wiki.pages.withColumn("title", F.concat(F.lit("<i>"), "title", F.lit("</i>")))
+    other = publish.Wiki(shown, wiki.members, wiki.revisions, wiki.sources)
+    row = build.build_articles(shown, wiki.members, wiki.revisions, wiki.sources).filter("url_title = 'Amache'").first()
+    assert (row.title, row.prev_page, row.categories) == ("<i>Amache</i>", "Poston", ["Camps"])
+    authors = build.build_authors(shown, wiki.members, wiki.revisions, wiki.sources, build.page_links(shown)).collect()
+    assert [(r.url_title, r.article_titles) for r in authors] == [("Ann", ["Amache", "Poston"])]
+    path, author_path = str(tmp_path / "articles"), make_authors(spark, tmp_path)
+    sinks.create_table(spark.createDataFrame([], "url_title string, title string, modified timestamp_ntz"), path, "url_title")
+    for turn in range(2):
+        _, articles = publish.publish_all(spark, other, author_path, path)
+        assert articles.posted.count() == (2 if turn == 0 else 0) and articles.errors.count() == 0
+        assert set(stored(spark, path)) == {"Amache", "Poston"}
+    assert {r.title: r.change for r in articles.changes.collect()} == {"Amache": "same", "Poston": "same", "Gone": "new"}
+
+
+def test_repeated_keys_and_existing_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("1", 1), ("2", 1)], "k string, v int")
+    sinks.create_table(rows, path, "k", buckets=4)
+    with pytest.raises(ValueError, match="there is a table"):
+        sinks.create_table(rows, path, "k", buckets=8)
+    twice = spark.createDataFrame([("1", 2), ("1", 3), ("3", 1)], "k string, v int")
+    with pytest.raises(ValueError, match="repeat"):
+        sinks.save_docs(spark, path, twice, "k")
+    sinks.save_docs(spark, path, twice, "k", newest_by=["v"])
+    assert {r.k: r.v for r in sinks.read_table(spark, path).collect()} == {"1": 3, "2": 1, "3": 1}
+    assert sinks.read_table(spark, path).count() == 3
+
+
+def test_lists_are_whole(spark):
+    edges = spark.createDataFrame([("Hub", f"p{i:03}") for i in range(105)] + [("Other", "x")], "target string, source string")
+    lists = {r.target: r for r in links.whole_lists(links.backlink_lists(edges, size=10)).collect()}
+    assert lists["Hub"].titles == [f"p{i:03}" for i in range(105)] and lists["Hub"].n == 105
+    rows = links.author_titles(edges).filter("target = 'Hub'").collect()
+    assert sorted((r.pos, r.source) for r in rows) == [(i, f"p{i:03}") for i in range(105)]

@@ -87,7 +87,7 @@ def listing_lines(spark, sf):
     return readers.listing_lines(docs, "url_title")
 
 
-@query("guide_titles", "SELECT c_name AS id FROM customer ORDER BY 1 LIMIT 1000")
+@query("guide_titles", "SELECT c_name AS id FROM customer")
 def guide_titles(spark, sf):
     return readers.rg_titles(table(spark, sf, "customer").select(F.col("c_name").alias("id")))
 
