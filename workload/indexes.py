@@ -51,13 +51,11 @@ def columns_layout(spark, sf):
 
 
 def headings(spark, sf):
-    """Documents by their first line."""
-    return table(spark, sf, "documents").select(
-        F.col("doc_id").cast("string").alias("title"), F.lower(F.split("text", "\n")[0]).alias("title_sort")
-    )
+    """Parts by their names."""
+    return table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("title"), F.lower("p_name").alias("title_sort"))
 
 
-HEADINGS = "WITH h AS (SELECT doc_id::VARCHAR AS title, lower(string_split(text, chr(10))[1]) AS title_sort FROM documents)"
+HEADINGS = "WITH h AS (SELECT p_partkey::VARCHAR AS title, lower(p_name) AS title_sort FROM part)"
 
 
 @query(

@@ -162,6 +162,42 @@ def stored_upsert(spark, sf):
     return sinks.read_table(spark, path)
 
 
+@query(
+    "upsert_newest",
+    """SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY 1""",
+)
+def upsert_newest(spark, sf):
+    """A feed that repeats keys, saved into a table that holds the first half of them."""
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    path = work_dir(spark, "orders-table")
+    first = diff.latest_per_key(orders.filter("o_custkey % 2 = 0"), "o_custkey", ["o_orderkey"])
+    sinks.create_table(first, path, "o_custkey")
+    sinks.save_docs(spark, path, orders, "o_custkey", schema=orders.schema, newest_by=["o_orderdate", "o_orderkey"])
+    return sinks.read_table(spark, path).select("o_custkey", "o_orderkey")
+
+
+@query(
+    "publish_all",
+    wiki.WIKI + """, old AS (SELECT 'Page_' || o_custkey AS title, max(o_orderdate) AS modified FROM orders
+                              WHERE o_orderdate < TIMESTAMP '2000-01-01' GROUP BY 1)
+       SELECT title AS url_title, CASE WHEN modified IS NULL OR lastmod > modified THEN '<i>' || title || '</i>' ELSE title END AS title,
+              lastmod AS modified, 0::BIGINT AS posted_again
+       FROM pub JOIN rev USING (title) LEFT JOIN old USING (title) WHERE title NOT IN (SELECT title FROM auth)""",
+)
+def publish_all(spark, sf):
+    """Twice, with deletes, for pages whose display titles have markup: the second run posts nothing."""
+    plain = wiki.wiki(spark, sf)
+    pages = plain.pages.withColumn("title", F.concat(F.lit("<i>"), "title", F.lit("</i>")))
+    shown = publish.Wiki(pages, plain.members, plain.revisions, plain.sources)
+    author_path, path = work_dir(spark, "author-table"), work_dir(spark, "article-table")
+    for p in (author_path, path):
+        stored_pages(spark, sf, p)
+    for _ in range(2):
+        _, articles = publish.publish_all(spark, shown, author_path, path)
+    again = F.lit(articles.posted.count()).cast("bigint").alias("posted_again")
+    return spark.read.schema(schemas.ARTICLE).parquet(path).select("url_title", "title", "modified", again)
+
+
 @query("stream_refresh", "SELECT user_id::VARCHAR AS title, max(ts) AS modified FROM events GROUP BY 1")
 def stream_refresh(spark, sf):
     path = work_dir(spark, "stream-table")

@@ -283,6 +283,18 @@ def page_slice(spark, sf):
     return topics.page_slice(items, ["o_orderdate", "o_orderkey"], start=10, num=700).drop("o_orderdate")
 
 
+@query(
+    "page_slice_all",
+    """SELECT o_orderkey, o_orderstatus <> 'P' AS published, idx, o_orderstatus <> 'P' AS posted
+       FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS idx FROM orders) WHERE idx > 0""",
+)
+def page_slice_all(spark, sf):
+    items = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderdate", (F.col("o_orderstatus") != "P").alias("published")
+    )
+    return topics.page_slice(items, ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+
+
 @query(
     "large_topk",
     """SELECT l_returnflag, l_orderkey, l_extendedprice, rank FROM (SELECT *, row_number() OVER (
