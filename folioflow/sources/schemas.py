@@ -72,7 +72,7 @@ MEDIA_FILES = "path string"
 
 AUTHOR = """
   url_title string, public boolean, published boolean, modified timestamp_ntz, mw_api_url string,
-  title_sort string, title string, body string, article_titles array<string>
+  title_sort string, title string, body string, article_titles array<string>, n_articles bigint
 """
 
 ARTICLE = """

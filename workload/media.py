@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioflow.operators import links, media
+from folioflow.session import work_dir
 from folioflow.settings import Site
 from folioflow.sources import readers
 from workload.registry import query, table
@@ -66,11 +67,30 @@ def records(spark, sf):
     return part.select(*[F.expr(e.replace("p_size / 2", "p_size div 2")).alias(n) for n, e in RECORD.items()])
 
 
-@query("source_documents", STORED + "SELECT *, CASE WHEN filename = '' THEN '' ELSE 'sources/' || filename END AS img_path FROM src")
+DOCUMENTS = STORED + "SELECT *, CASE WHEN filename = '' THEN '' ELSE 'sources/' || filename END AS img_path FROM src"
+
+
+@query("source_documents", DOCUMENTS)
 def source_documents(spark, sf):
     return media.build_sources(records(spark, sf), SITE)
 
 
+@query("source_files", DOCUMENTS)
+def source_files(spark, sf):
+    """The same records from feed files that name the repository's id in their own way."""
+    path = work_dir(spark, "source-files")
+    records(spark, sf).withColumnRenamed("repository_id", "partner_id").write.json(path)
+    return media.build_sources(readers.read_sources(spark, path, repository_id="partner_id"), SITE)
+
+
+@query(
+    "whole_numbers",
+    "SELECT p_partkey::BIGINT AS id, CASE WHEN p_size <= 45 THEN p_size::BIGINT * 1000 END AS original_size FROM part",
+)
+def whole_numbers(spark, sf):
+    return media.build_sources(records(spark, sf), SITE).select(F.col("psms_id").alias("id"), "original_size")
+
+
 @query(
     "published_sources",
     f"WITH r AS ({RAW}) SELECT encyclopedia_id, headword FROM r WHERE published",

@@ -14,15 +14,13 @@ from workload.registry import query, table
 from workload.texts import HREF
 
 
-@query(
-    "raw_pages",
-    """WITH p AS (SELECT 'Page_' || page_id AS url_title, regexp_extract(html, 'lang="([a-z]+)"', 1) AS lang, html FROM pages)
+RAW_PAGES = """WITH p AS (SELECT 'Page_' || page_id AS url_title, regexp_extract(html, 'lang="([a-z]+)"', 1) AS lang, html FROM pages)
        SELECT url_title, CASE WHEN lang = 'es' THEN 404 ELSE 200 END AS status_code, CASE WHEN lang = 'es' THEN 'missingtitle' END AS error,
               CASE WHEN lang <> 'es' THEN url_title END AS title, lang IN ('en', 'fr', 'de') AS published,
-              CASE WHEN lang <> 'es' THEN contains(html, '<article>') END AS has_article FROM p""",
-)
-def raw_pages(spark, sf):
-    pages = readers.parse_pages(wiki.raw_pages(spark, sf))
+              CASE WHEN lang <> 'es' THEN contains(html, '<article>') END AS has_article FROM p"""
+
+
+def page_columns(pages):
     return pages.select(
         "url_title", "status_code", "error", "title",
         flags.is_published("categories").alias("published"),
@@ -30,6 +28,19 @@ def raw_pages(spark, sf):
     )
 
 
+@query("raw_pages", RAW_PAGES)
+def raw_pages(spark, sf):
+    return page_columns(readers.parse_pages(wiki.raw_pages(spark, sf)))
+
+
+@query("page_files", RAW_PAGES)
+def page_files(spark, sf):
+    """The same pages from files of one record a line."""
+    path = work_dir(spark, "page-files")
+    wiki.raw_pages(spark, sf).write.json(path)
+    return page_columns(readers.read_pages(spark, path))
+
+
 @query(
     "publishable_pages",
     """SELECT 'Page_' || page_id AS url_title FROM pages WHERE regexp_extract(html, 'lang="([a-z]+)"', 1) IN ('en', 'fr', 'de')""",

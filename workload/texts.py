@@ -200,19 +200,6 @@ def coordinates(spark, sf):
     return rows.select("c_custkey", "at.lng", "at.lat")
 
 
-@query(
-    "whole_numbers",
-    """SELECT p_partkey, p_size::BIGINT AS size, NULL::BIGINT AS brand,
-              CASE WHEN p_size > 10 THEN p_size::BIGINT END AS weight FROM part""",
-)
-def whole_numbers(spark, sf):
-    return table(spark, sf, "part").select(
-        "p_partkey",
-        F.col("p_size").cast("string").try_cast("bigint").alias("size"),
-        F.col("p_brand").try_cast("bigint").alias("brand"),
-        F.when(F.col("p_size") > 10, F.col("p_size").cast("string")).otherwise("").try_cast("bigint").alias("weight"),
-    )
-
 
 @query(
     "databox_json",
