@@ -16,9 +16,10 @@ from folioflow.operators import diff, links
 from folioflow.operators.media import build_sources, transfer_plan
 from folioflow.operators.topics import build_terms
 from folioflow.plans import build
-from folioflow.session import work_dir
+from folioflow.session import cut, work_dir
 from folioflow.settings import Site
 from folioflow.sources import sinks
+from folioflow.sources.readers import parse_pages
 
 
 # What the change test needs of a stored page.
@@ -27,12 +28,17 @@ STORED_PAGE = "url_title string, modified timestamp_ntz"
 
 @dataclass
 class Wiki:
-    """The wiki's tables: parsed pages, category members, revisions, media records."""
+    """The wiki's tables: parsed pages, category members, revisions, media records.
+
+    With `raw`, the records (url_title, json) that `pages` comes from, a job picks the changed records first and parses
+    only these, once.
+    """
 
     pages: DataFrame
     members: DataFrame
     revisions: DataFrame
     sources: DataFrame
+    raw: DataFrame | None = None
 
 
 @dataclass
@@ -62,6 +68,17 @@ def _staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def changed_pages(raw: DataFrame, keys: DataFrame) -> DataFrame:
+    """Parsed pages of the given keys: the records are joined as text and parsed after that."""
+    return parse_pages(cut(raw.join(keys, "url_title", "left_semi")))
+
+
+def _wanted(spark: SparkSession, wiki: Wiki, keys: DataFrame) -> DataFrame:
+    if wiki.raw is None:
+        return wiki.pages.join(keys, "url_title", "left_semi")
+    return _staged(spark, changed_pages(wiki.raw, keys), "pages")
+
+
 def _write(spark, path, key, posted, gone, dryrun) -> DataFrame:
     """Upsert and delete by key; returns the keys that did not arrive."""
     if dryrun:
@@ -83,7 +100,7 @@ def publish_articles(
     published = diff.published_pages(wiki.members, wiki.revisions)
     changes = _staged(spark, diff.articles_to_update(authors, published, stored.select(F.col("url_title").alias("title"), "modified")), "changes")
     plan = _planned(changes, stored.select(F.col("url_title").alias("title")), "title", force, title)
-    wanted = wiki.pages.join(plan.select(F.col("title").alias("url_title")), "url_title", "left_semi")
+    wanted = _wanted(spark, wiki, plan.select(F.col("title").alias("url_title")))
     built = build.build_articles(wanted, wiki.members, wiki.revisions, wiki.sources, guide, site)
     docs = _staged(spark, built, "articles")
     shown = publishable("published", site.show_unpublished)
@@ -109,7 +126,7 @@ def publish_authors(
     published = diff.published_pages(wiki.members, wiki.revisions)
     changes = _staged(spark, diff.authors_to_update(authors, published, stored.select(F.col("url_title").alias("title"), "modified")), "changes")
     plan = _planned(changes, stored.select(F.col("url_title").alias("title")), "title", force, title)
-    wanted = wiki.pages.join(plan.select(F.col("title").alias("url_title")), "url_title", "left_semi")
+    wanted = _wanted(spark, wiki, plan.select(F.col("title").alias("url_title")))
     edges = links.backlinks(build.page_links(wiki.pages))
     built = build.build_authors(wanted, wiki.members, wiki.revisions, wiki.sources, edges, guide, site)
     docs = _staged(spark, built, "authors")

@@ -249,3 +249,26 @@ def test_lists_are_whole(spark):
     assert lists["Hub"].titles == [f"p{i:03}" for i in range(105)] and lists["Hub"].n == 105
     rows = links.author_titles(edges).filter("target = 'Hub'").collect()
     assert sorted((r.pos, r.source) for r in rows) == [(i, f"p{i:03}") for i in range(105)]
+
+
+def test_only_changed_records_are_parsed(spark, wiki):
+    raw = spark.createDataFrame([page("Amache"), page("Poston"), page("Old")], "url_title string, json string")
+    keys = spark.createDataFrame([("Poston",)], "url_title string")
+    parsed = publish.changed_pages(raw, keys)
+    assert [r.url_title for r in parsed.collect()] == ["Poston"]
+    # What is parsed is a checkpoint of the chosen records: no join and no other record below the parsing.
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" in plan and "Join" not in plan
+
+
+def test_jobs_from_raw_records(spark, wiki, tmp_path):
+    raw = spark.createDataFrame([page("Amache"), page("Poston")], "url_title string, json string")
+    with_raw = publish.Wiki(readers.parse_pages(raw), wiki.members, wiki.revisions, wiki.sources, raw)
+    without = publish.Wiki(with_raw.pages, wiki.members, wiki.revisions, wiki.sources)
+    found = []
+    for k, own in enumerate((with_raw, without)):
+        path = str(tmp_path / f"articles{k}")
+        sinks.create_table(spark.createDataFrame([], "url_title string, title string, modified timestamp_ntz"), path, "url_title")
+        publish.publish_articles(spark, own, path)
+        found.append(sorted(spark.read.schema(schemas.ARTICLE).parquet(path).select("url_title", "body", "modified").collect()))
+    assert found[0] == found[1] and found[0]

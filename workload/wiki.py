@@ -62,7 +62,8 @@ def revisions(spark, sf):
 
 
 def wiki(spark, sf) -> Wiki:
-    return Wiki(parse_pages(raw_pages(spark, sf)), members(spark, sf), revisions(spark, sf), media.records(spark, sf))
+    raw = raw_pages(spark, sf)
+    return Wiki(parse_pages(raw), members(spark, sf), revisions(spark, sf), media.records(spark, sf), raw)
 
 
 # The same wiki for SQL.
