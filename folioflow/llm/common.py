@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,6 +29,17 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, purpose: str) -> DataFrame:
+    """Like `staged`, in one bucket of `key` for each shuffle partition: what joins or cogroups with it by `key` comes to it,
+    and its own rows are not shuffled. The catalog forgets the table at once; the files stay."""
+    spark, name = df.sparkSession, f"{purpose}_{uuid.uuid4().hex}".replace("-", "_")
+    writer = df.write.option("compression", "none").option("path", work_dir(spark, purpose))
+    writer.bucketBy(shuffle_partitions(spark), key).format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def plain_text(column: str = "text") -> Column:
     """A text column as string; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -9,8 +9,6 @@ depth, then a blind trie for each group that still shares its prefix. Equal neig
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -18,14 +16,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import plain_text, staged
+from folioflow.llm.common import bucketed, plain_text, staged
 from folioflow.llm.tokens import text_sizes
 from folioflow.llm.words import mixed
-from folioflow.session import shuffle_partitions, work_dir
+from folioflow.session import shuffle_partitions
 
-BLOCK_BYTES = 12 << 20
-CHUNK = 1 << 21
-PART_ANCHORS = 1 << 20
+BLOCK_BYTES = 4 << 20
+CHUNK = 1 << 19
+PART_ANCHORS = 1 << 18
+SLICES = 16  # a part's stretches are sorted in so many turns, by anchor
 SHALLOW = 24  # bytes; a multiple of 8
 
 _BASE = 0x9E3779B97F4A7C15
@@ -78,7 +77,8 @@ def anchors(data: np.ndarray, ends: np.ndarray, size: int, piece: int) -> tuple[
         at, start = at[valid], start[valid]
         if len(at):
             new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            found.append((hashes[at[new]], start[new], start[np.concatenate([new[1:] - 1, [len(start) - 1]])]))
+            # Anchors are small hashes: stirred again, they fill the parts evenly.
+            found.append((mixed(~hashes[at[new]]), start[new], start[np.concatenate([new[1:] - 1, [len(start) - 1]])]))
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -92,7 +92,7 @@ def shallow_groups(text: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np
     group of equal ones at each place. Each pass sorts the open groups, those of more than one suffix, by their next character."""
     order = np.arange(len(starts))
     group = np.zeros(len(starts), np.int64)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    end = len(text) - 1
     for at in range(0, depth, 8):
         size = np.bincount(group)
         places = np.flatnonzero(size[group] > 1)
@@ -101,7 +101,8 @@ def shallow_groups(text: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np
         own = starts[order[places]] + at
         character = np.zeros(len(own), np.uint64)
         for k in range(8):
-            character = (character << np.uint64(8)) | padded[own + k]
+            place = own + k
+            character = (character << np.uint64(8)) | np.where(place <= end, text[np.minimum(place, end)], 0).astype(np.uint64)
         by = np.lexsort((character, group[places]))
         order[places] = order[places][by]
         after = character[by]
@@ -327,7 +328,9 @@ def _ask_stretches(size: int, piece: int, parts: int):
                 i = order[at[p] : at[p + 1]]
                 if len(i):
                     mine = [texts[k] for k in i.tolist()]
-                    rows.append([p, row["block"], _squeeze(b"".join(mine)), np.array([len(t) for t in mine], np.uint16).tobytes(), _squeeze(keys[i].tobytes())])
+                    turn = ((hashes[i] >> np.uint64(8)) % np.uint64(SLICES)).astype(np.uint8)
+                    lengths = np.array([len(t) for t in mine], np.uint16)
+                    rows.append([p, row["block"], _squeeze(b"".join(mine)), lengths.tobytes() + turn.tobytes(), _squeeze(keys[i].tobytes())])
         return _table(rows)
 
     return run
@@ -337,7 +340,8 @@ def _judge(size: int):
     def run(asked: pa.Table) -> pa.Table:
         """For each stretch, a bit for each of its strings: whether a document with a smaller key has that string."""
         rows = asked.to_pylist()
-        lengths = [np.frombuffer(r["b"], np.uint16).astype(np.int64) for r in rows]
+        lengths = [np.frombuffer(r["b"][: len(r["b"]) // 3 * 2], np.uint16).astype(np.int64) for r in rows]
+        turns = np.concatenate([np.frombuffer(r["b"][len(r["b"]) // 3 * 2 :], np.uint8) for r in rows])
         keys = [np.frombuffer(_expand(r["c"]), np.int64) for r in rows]
         # Equal stretches of several blocks are one, with the smallest key.
         index: dict[bytes, int] = {}
@@ -351,13 +355,20 @@ def _judge(size: int):
         size_of = np.array([len(t) for t in index], np.int64)
         begin = np.cumsum(size_of) - size_of
         strings = size_of - size + 1
-        owner = np.repeat(np.arange(len(index)), strings)
         first = np.cumsum(strings) - strings
-        offset = np.arange(len(owner)) - first[owner]
-        order, group = sorted_classes(text, begin[owner] + offset, size)
-        least = np.minimum.reduceat(key[owner[order]], np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])))
-        smallest = np.empty(len(owner), np.int64)
-        smallest[order] = least[group]
+        smallest = np.empty(int(strings.sum()), np.int64)
+        turn = np.zeros(len(index), np.uint8)
+        turn[np.concatenate(which)] = turns
+        # Equal strings have one anchor, so they meet in one turn.
+        for k in range(SLICES):
+            own = np.flatnonzero(turn == k)
+            if not len(own):
+                continue
+            owner = np.repeat(own, strings[own])
+            offset = np.arange(len(owner)) - np.repeat(np.cumsum(strings[own]) - strings[own], strings[own])
+            order, group = sorted_classes(text, begin[owner] + offset, size)
+            least = np.minimum.reduceat(key[owner[order]], np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])))
+            smallest[(first[owner] + offset)[order]] = least[group]
         out = []
         for r, w, k in zip(rows, which, keys, strict=True):
             n = strings[w]
@@ -429,13 +440,8 @@ def without_repeats(docs: DataFrame, size: int = 50, piece: int = 24, id_col: st
     An empty table gives an empty one. Texts are kept once, in blocks, and never shuffled.
     """
     spark = docs.sparkSession
-    name = f"repeat_blocks_{uuid.uuid4().hex}"
+    blocks = bucketed(_blocks(docs, id_col, text_col), "block", "repeat-blocks")
     parts = shuffle_partitions(spark)
-    (
-        _blocks(docs, id_col, text_col).write.option("compression", "none").option("path", work_dir(spark, "repeat-blocks"))
-        .bucketBy(parts, "block").format("parquet").saveAsTable(name)
-    )
-    blocks = spark.table(name)
     # About one anchor in half of size - piece bytes.
     n_bytes = docs.select(F.sum(F.octet_length(plain_text(text_col)))).first()[0] or 0
     parts = max(parts, -(-2 * n_bytes // (size - piece) // PART_ANCHORS))
