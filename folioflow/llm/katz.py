@@ -8,7 +8,6 @@ training tokens has its pairs dealt by the second word, so that no part gathers
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,10 +17,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import HOT_PARTS, plain_text, staged
+from folioflow.llm.common import HOT_PARTS, bucketed, plain_text, staged
 from folioflow.llm.tokens import by_bytes, text_sizes
 from folioflow.llm.words import batch_hashes
-from folioflow.session import shuffle_partitions, work_dir
+from folioflow.session import shuffle_partitions
 
 K = 5  # counts up to K are discounted
 BLOCK_TOKENS = 3_000_000
@@ -401,13 +400,8 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     keys = staged(numbered.select("row", F.col(id_col).alias("id")), "katz-ids")
     rows = keys.count()
     # Bucketed by block, so that the blocks are not shuffled when answers come in.
-    blocks_name = f"katz_blocks_{uuid.uuid4().hex}"
+    blocks = bucketed(_blocks(numbered, held_out, text_col), "block", "katz-blocks")
     buckets = shuffle_partitions(spark)
-    (
-        _blocks(numbered, held_out, text_col).write.option("compression", "none").option("path", work_dir(spark, "katz-blocks"))
-        .bucketBy(buckets, "block").format("parquet").saveAsTable(blocks_name)
-    )
-    blocks = spark.table(blocks_name)
     asked = blocks.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     parts = max(1, buckets if rows else 1, -(-asked // 8 // PART_WORDS))
     unigrams = blocks.select("block", "words", "counts").mapInArrow(_ask_words(parts), ASK_WORDS).groupBy("part").applyInArrow(_count_words, ANSWER)
