@@ -25,6 +25,7 @@ TREES = 16
 DEPTH = 8  # values of a tree's label
 SHALLOWEST = 3  # values that candidates share at least: a pair of similarity 0.85 is missed by 16 trees with probability 2e-7
 NEIGHBOURS = 6  # candidates on one side in each order
+CROWD = 2048  # classes in a block of a crowded region
 SIGNATURE = TREES * DEPTH
 BATCH = 1 << 20
 
@@ -173,9 +174,8 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
     return inside.unionByName(across).groupBy("a", "b").agg(F.sum("shared").cast("int").alias("shared")).filter("a < b")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int, size: int, id_col: str, text_col: str) -> DataFrame:
-    """Of the pairs (a, b) of class rows, those with 100 * intersection >= percent * union on full sets."""
-    ends = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
+def shingle_sets(docs: DataFrame, ends: DataFrame, classes: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(row, shingles) of the class rows in `ends`, computed from their texts once."""
     wanted = staged(ends.join(classes.select("row", "id", "key"), "row"), "near-ends")
 
     def sets(batches):
@@ -189,8 +189,12 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: in
     chosen = texts.join(ids, texts["id"].eqNullSafe(ids["id"]), "left_semi").select("text")
     # Ids may repeat with other texts: the key says which set is meant; equal keys have equal sets.
     full = chosen.mapInArrow(sets, "key binary, shingles binary").join(wanted.select("row", "key"), "key").dropDuplicates(["row"]).select("row", "shingles")
-    full = staged(full, "near-sets")
-    both = pairs.select("a", "b").join(full.toDF("a", "left"), "a").join(full.toDF("b", "right"), "b")
+    return staged(full, "near-sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) of class rows, those with 100 * intersection >= percent * union on full sets."""
+    both = pairs.select("a", "b").join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
 
     def test(batches):
         for batch in batches:
@@ -210,12 +214,8 @@ def components(links: DataFrame) -> DataFrame:
     Rounds of large-star and small-star steps; each round's edges are written to the shared folder.
     """
     edges = staged(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "edges")
-
-    def state(df):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
-
-    before = state(edges)
-    while before[0]:
+    # Done when every edge leads to a node that leads nowhere: stars.
+    while not edges.select("b").join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty() or not edges.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
         least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")), "stars")
         large = join_facts(both, least, "u", "n").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -223,13 +223,18 @@ def components(links: DataFrame) -> DataFrame:
         least = staged(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "stars")
         small = join_facts(large, least, "u", "n").filter("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         edges = staged(small.union(least.select("u", "m")).distinct(), "edges")
-        after = state(edges)
-        if after == before:
-            break
-        before = after
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) after more links: the links join whole components, so only their roots are gone through."""
+    left, right = roots.toDF("a", "root_a"), roots.toDF("b", "root_b")
+    ends = links.join(left, "a", "left").join(right, "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    more = staged(components(ends), "near-joined")
+    moved = roots.join(more.toDF("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    return staged(moved.unionByName(more), "near-roots")
+
+
 def _crossing(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs whose ends are not yet in one component."""
     left = roots.toDF("a", "root_a")
@@ -238,10 +243,15 @@ def _crossing(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(pairs.columns)
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose signatures agree on a share of values that is less than five standard errors below the limit."""
+def _least_agreement(percent: int) -> float:
+    """Share of equal signature values five standard errors below the limit: what links does not fall below it."""
     limit = percent / 100
-    least = limit - 5 * (limit * (1 - limit) / SIGNATURE) ** 0.5
+    return limit - 5 * (limit * (1 - limit) / SIGNATURE) ** 0.5
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose whole signatures agree well enough."""
+    least = _least_agreement(percent)
     own = classes.select("row", "signature")
     both = pairs.select("a", "b").join(own.toDF("a", "left"), "a").join(own.toDF("b", "right"), "b").select("a", "b", "left", "right")
 
@@ -253,6 +263,76 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def crowded_links(classes: DataFrame, roots: DataFrame, sets: DataFrame, missing_sets, percent: int) -> DataFrame:
+    """Links between components that no order shows as near neighbours: in regions (classes that share the first SHALLOWEST values in a
+    tree) of more classes than an order compares, if they still fall into several components.
+
+    There each class outside the region's largest component is compared with every class of another component, in blocks
+    of about CROWD by CROWD: by signature, then on full sets. A block gives at most one link for two components that it
+    joins, so what it gives does not grow with its pairs. A pair is compared in the first tree in which it shares a region.
+    `missing_sets` makes the sets of rows that `sets` does not hold.
+    """
+    least = _least_agreement(percent)
+    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
+    prefix = F.expr(f"substring(signature, 1 + {4 * DEPTH} * tree, {4 * SHALLOWEST})")
+    rows = classes.select("row", "signature", tree.alias("tree")).select("row", F.struct("tree", prefix.alias("prefix")).alias("region"))
+    sizes = rows.groupBy("region").agg(F.count("*").alias("n")).filter(F.col("n") > NEIGHBOURS + 1)
+    sizes = staged(sizes, "near-regions")
+    rows = join_facts(rows, sizes, "region", "n").select("row", "region", "n")
+    rooted = staged(rows.join(roots.toDF("row", "root"), "row", "left").withColumn("root", F.coalesce("root", "row")), "near-crowds")
+    parts = rooted.groupBy("region", "n", "root").agg(F.count("*").alias("m"))
+    mixed = parts.groupBy("region", "n").agg(F.max(F.struct("m", "root")).alias("top")).filter("top.m < n")
+    # Blocks of members and of outsiders.
+    members, others = (F.ceil(F.col(c) / CROWD).cast("int") for c in ("n", "left"))
+    mixed = mixed.select("region", "n", F.col("top.root").alias("top"), (F.col("n") - F.col("top.m")).alias("left"))
+    mixed = staged(mixed.withColumns({"members": members, "others": others}), "near-mixed")
+    rows = staged(join_facts(rooted.drop("n"), mixed, "region", "n"), "near-crowded")
+    missing = staged(rows.select("row").distinct().join(sets, "row", "left_anti"), "near-missing")
+    if not missing.isEmpty():
+        sets = sets.unionByName(missing_sets(missing))
+    rows = rows.join(classes.select("row", "n_shingles", "signature"), "row").join(sets, "row")
+    own_block = lambda c: F.pmod(F.xxhash64("row", F.lit(c)), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    columns = ["region", "i", "j", "row", "root", "n_shingles", "signature", "shingles"]
+    left = rows.withColumn("i", own_block("members")).withColumn("j", every("others")).select(columns)
+    right = rows.filter("root != top").withColumn("j", own_block("others")).withColumn("i", every("members")).select(columns).toDF(*columns)
+
+    def compare(key, members: pa.Table, others: pa.Table) -> pa.Table:
+        x, y = (
+            (t.column("row").to_numpy(), t.column("root").to_numpy(), t.column("n_shingles").to_numpy(), np.frombuffer(b"".join(t.column("signature").to_pylist()), ">u4").astype(np.uint32).reshape(-1, SIGNATURE), t.column("shingles").to_pylist())
+            for t in (members, others)
+        )
+        now = key[0].as_py()["tree"] if others.num_rows else 0
+        above: dict[int, int] = {}
+
+        def find(node):
+            while node in above:
+                node = above[node]
+            return node
+
+        a, b = [], []
+        for row, root, n, signature, shingles in zip(*y, strict=True):
+            fine = np.flatnonzero((x[1] != root) & (100 * np.minimum(x[2], n) >= percent * np.maximum(x[2], n)))
+            same = x[3][fine] == signature
+            first = same.reshape(-1, TREES, DEPTH)[:, :, :SHALLOWEST].all(2).argmax(1)
+            likely = (same.mean(1) >= least) & (first == now)
+            own = np.frombuffer(shingles, np.uint64)
+            for i in fine[likely].tolist():
+                left, right = find(int(x[1][i])), find(int(root))
+                if left == right:
+                    continue
+                other = np.frombuffer(x[4][i], np.uint64)
+                shared = int((other[np.minimum(np.searchsorted(other, own), len(other) - 1)] == own).sum())
+                if 100 * shared >= percent * (len(own) + len(other) - shared):
+                    above[max(left, right)] = min(left, right)
+                    a.append(min(int(x[0][i]), int(row)))
+                    b.append(max(int(x[0][i]), int(row)))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    place = ["region", "i", "j"]
+    return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(compare, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of `docs`: id, n_shingles, component_id (smallest id it reaches by links, itself included), kept.
 
@@ -269,15 +349,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, id_col: s
     classes = staged(groups.select(F.col("first.row").alias("row")).join(full, "row").select("row", "id", "key", "n_shingles", "signature"), "near-reps")
     pairs = staged(candidates(classes, percent), "near-pairs")
 
-    # First the best candidates of each class; what they leave apart is then tried in full.
+    # First the best candidates of each class; what they leave apart is then tried in full, and then what regions too
+    # crowded for their orders hold.
     ways = pairs.select("a", "b", "shared").union(pairs.select(F.col("b"), F.col("a"), "shared")).toDF("u", "v", "shared")
     best = ways.groupBy("u").agg(F.max(F.struct("shared", (-F.col("v")).alias("v"))).alias("best")).select("u", (-F.col("best.v")).alias("v"))
     tree = staged(best.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "near-tree")
-    links = confirmed(docs, tree, classes, percent, size, id_col, text_col)
-    rest = staged(_likely(_crossing(pairs.join(tree, ["a", "b"], "left_anti"), components(links)), classes, percent), "near-rest")
+    sets = shingle_sets(docs, best.select(F.col("u").alias("row")), classes, size, id_col, text_col)
+    roots = staged(components(confirmed(tree, sets, percent)), "near-roots")
+    rest = staged(_likely(_crossing(pairs.join(tree, ["a", "b"], "left_anti"), roots), classes, percent), "near-rest")
     if not rest.isEmpty():
-        links = links.union(confirmed(docs, rest, classes, percent, size, id_col, text_col))
-    roots = staged(components(links), "near-roots")
+        links = confirmed(rest, sets, percent)
+        roots = roots if links.isEmpty() else _joined(roots, links)
+    fetch = lambda rows: shingle_sets(docs, rows, classes, size, id_col, text_col)
+    links = staged(crowded_links(classes, roots, sets, fetch, percent), "near-links")
+    roots = roots if links.isEmpty() else _joined(roots, links)
 
     # A component is named by the smallest place among its classes.
     firsts = groups.select(F.col("first.row").alias("node"), "key", "first", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -118,3 +118,24 @@ def test_word_hashes(monkeypatch):
         for word, h in zip([w for s in split for w in s], hashes.tolist(), strict=True):
             assert len(word) > 60 or seen.setdefault(word, h) == h
     assert len(set(seen.values())) == len(seen)
+
+
+def test_crowded_region(spark, monkeypatch):
+    """Many texts of one family that mostly do not link: the few links are found, in blocks too."""
+    monkeypatch.setattr(near, "CROWD", 40)
+    r = random.Random(9)
+    pool = [f"w{i}" for i in range(5000)]
+    base, rows = [r.choice(pool) for _ in range(300)], []
+    for i in range(160):
+        own = list(base)
+        for _ in range(13):
+            own[r.randrange(len(own))] = r.choice(pool)
+        rows.append((i, " ".join(own)))
+    for i in range(0, 160, 8):
+        own = rows[i][1].split()
+        for k in range(20, 300, 60):
+            own[k] = "changed"
+        rows.append((200 + i, " ".join(own)))
+    for neighbours in (6, 1):
+        monkeypatch.setattr(near, "NEIGHBOURS", neighbours)
+        check(spark, rows, 85)
