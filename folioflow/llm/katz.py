@@ -1,14 +1,16 @@
-"""Scoring texts by a Katz bigram model: Good-Turing discounted counts, exactly normalised backoff weights.
+"""Scoring texts by a Katz model of any order: Good-Turing discounted counts, exactly normalised backoff weights.
 
 Words enter as 64-bit hashes. Tasks gather their documents in blocks of a bounded number of tokens and ask for each
-distinct word and word pair of a block once: requests are dealt into parts by word, counted there, and answered block by
-block. Counts are kept as two tables in parts, `unigrams` and `bigrams`. A context that holds more than 1/1000 of the
-training tokens has its pairs dealt by the second word, so that no part gathers a hot context.
+distinct word of a block once: requests are dealt into parts by word, counted there, and answered block by block. Then come
+the pairs, the triples … up to the order, each level in the same way: a gram is a context, which is a gram of the level
+below, and a word, and is dealt to the part of its context. Its request carries the probability that the level below
+gives the word, so that the part can sum up what a context's followers take from it. A context that holds more than 1/1000
+of the training tokens has its grams dealt by their last word, so that no part gathers a hot context.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,7 @@ BLOCK_TOKENS = 3_000_000
 PART_WORDS = 250_000  # requested words of a part, about
 START, END = np.uint64(0), np.uint64(1)  # no word: START only stands before the first word
 PART_BITS = 24  # of the number of a word within its part
+GRAM_BITS = 32  # of the number of a longer gram within its part
 HOT = np.uint64(1 << 62)  # marks a hot context in requests
 
 
@@ -42,6 +45,15 @@ def _unpack(raw: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(data.reshape(size, -1).T).view(dtype).reshape(-1)
 
 
+def _pack_steps(x: np.ndarray) -> bytes:
+    """Like `_pack`, for numbers that mostly rise."""
+    return _pack(np.diff(x, prepend=x.dtype.type(0)))
+
+
+def _unpack_steps(raw: bytes, dtype) -> np.ndarray:
+    return np.cumsum(_unpack(raw, dtype), dtype=dtype)
+
+
 def _blobs(items: list[bytes]) -> pa.Array:
     return pa.array(items, pa.binary())
 
@@ -95,16 +107,16 @@ class Unigrams:
         return np.log10((c + 0.5) / (self.total + 0.5 * (self.types + 1)))
 
 
-def pair_scores(c: np.ndarray, cw: np.ndarray, total: np.ndarray, low: np.ndarray, seen: np.ndarray, uni: Unigrams, d: np.ndarray) -> np.ndarray:
-    """log10 P(w | v) by pair: its count c, the count cw of w, and of the context v the total, the types by count 1 .. K
-    (`low`, one column each) and the unigram mass `seen` of its followers. Unseen pairs back off to the unigrams."""
+def gram_probabilities(c: np.ndarray, lower: np.ndarray, total: np.ndarray, low: np.ndarray, seen: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """P(w | context) by gram: its count c, P(w | shorter context), and of the context the total, the types by count 1 .. K
+    (`low`, one column each) and what the level below gives its followers (`seen`). Unseen grams back off to that level."""
     r = np.arange(1, K + 1)
     free = (low * (r * (1 - d[1:]))).sum(1)
     below = np.where(free > 0, total, total + 1)
     left = np.where(free > 0, free, 1.0) / np.maximum(below, 1)
     alpha = np.where(total > 0, left / np.maximum(1 - seen, 1e-300), 1.0)
     direct = np.where(c <= K, d[np.minimum(c, K).astype(int)], 1.0) * c / np.maximum(below, 1)
-    return np.log10(np.where(c > 0, direct, alpha * uni.p(cw)))
+    return np.where(c > 0, direct, alpha * lower)
 
 
 # ---- blocks
@@ -209,65 +221,151 @@ def _count_words(asked: pa.Table) -> pa.Table:
 
 
 @dataclass
-class _Block:
-    """A block with the answers about its words: sorted distinct pairs, and where each token's pair is among them."""
-
-    ids: np.ndarray
-    counts: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    pair: np.ndarray
-    n: np.ndarray
-    dealt: np.ndarray  # part of each pair
-    hot: np.ndarray  # of each word
+class _Grams:
+    """The distinct grams of one length in a block, and where each token's gram is among them."""
+
+    at: np.ndarray
+    start: int  # the gram of nothing but START
+    part: np.ndarray
+    # What only an answer says: number in all parts, training count, whether hot as a context, P(last word | the others).
+    ids: np.ndarray | None = None
+    counts: np.ndarray | None = None
+    hot: np.ndarray | None = None
+    p: np.ndarray | None = None
+    # Of two words or more: context (a gram of the level below), last word, the gram without its first word; count in the block.
+    left: np.ndarray | None = None
+    right: np.ndarray | None = None
+    suffix: np.ndarray | None = None
+    n: np.ndarray | None = None
+
+    def in_parts(self, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Grams in the order of their parts, and where each part begins."""
+        order = np.argsort(self.part, kind="stable")
+        return order, np.searchsorted(self.part[order], np.arange(parts + 1))
 
-    @classmethod
-    def of(cls, block: dict, answers: list[dict], parts: int, total: int) -> _Block:
-        words = np.frombuffer(block["words"], np.uint64)
-        answers = sorted((a for a in answers if a["kind"] == 1), key=lambda a: a["part"])
-        own = [_unpack(a["a"], np.uint32) for a in answers]
-        part = np.repeat(np.array([a["part"] for a in answers], np.uint64), [len(x) for x in own])
-        ids = (part << np.uint64(PART_BITS)) | np.concatenate(own).astype(np.uint64)
-        counts = np.concatenate([_unpack(a["b"], np.int64) for a in answers])
-        tokens, sizes = _unpack(block["tokens"], np.uint32).astype(np.int64), _unpack(block["sizes"], np.uint32)
-        before = np.concatenate([[0], tokens[:-1]])
-        before[np.cumsum(sizes) - sizes] = np.searchsorted(words, START)
-        code, pair = np.unique(before * len(words) + tokens, return_inverse=True)
-        training = np.repeat(np.frombuffer(block["held"], np.uint8) == 0, sizes)
-        n = np.bincount(pair[training], minlength=len(code)).astype(np.uint32)
-        left, right = code // len(words), code % len(words)
-        # Every document begins at START.
-        hot = counts * HOT_PARTS > total
-        hot[np.searchsorted(words, START)] = True
-        dealt = np.where(hot[left], part[right], part[left]).astype(np.int64)
-        return cls(ids, counts, left, right, pair, n, dealt, hot)
-
-
-ASK_PAIRS = "part int, block bigint, v binary, w binary, n binary, cw binary"
-
-
-def _ask_pairs(parts: int, total: int):
+
+@dataclass(frozen=True)
+class Level:
+    """Of one length of grams: discounts; and of hot contexts id, total, types by count 1 .. K, what their followers have below."""
+
+    d: np.ndarray
+    hot: tuple[np.ndarray, ...]
+
+
+@dataclass(frozen=True)
+class Model:
+    parts: int
+    total: int
+    uni: Unigrams
+    order: int
+    levels: tuple[Level, ...] = ()  # of pairs, triples …, as far as counted
+
+
+def _words(block: dict, answers: list[dict], model: Model) -> _Grams:
+    answers = sorted((a for a in answers if a["level"] == 1), key=lambda a: a["part"])
+    own = [_unpack(a["a"], np.uint32) for a in answers]
+    part = np.repeat(np.array([a["part"] for a in answers], np.int64), [len(x) for x in own])
+    ids = (part.astype(np.uint64) << np.uint64(PART_BITS)) | np.concatenate(own).astype(np.uint64)
+    counts = np.concatenate([_unpack(a["b"], np.int64) for a in answers])
+    start = int(np.searchsorted(np.frombuffer(block["words"], np.uint64), START))
+    # Every document begins at START.
+    hot = counts * HOT_PARTS > model.total
+    hot[start] = True
+    return _Grams(_unpack(block["tokens"], np.uint32).astype(np.int32), start, part, ids, counts, hot, model.uni.p(counts))
+
+
+def _longer(block: dict, below: _Grams, words: _Grams, last: bool) -> _Grams:
+    """The grams of one word more than `below`; where they are contexts to come, also the one that documents begin at."""
+    sizes = _unpack(block["sizes"], np.uint32)
+    before = np.concatenate([[0], below.at[:-1]]).astype(np.int64)
+    before[np.cumsum(sizes) - sizes] = below.start
+    n_words, ends = len(words.ids), [] if last else [0]
+    code = before * n_words + words.at
+    code, at = np.unique(np.concatenate([code, [below.start * n_words + words.start for _ in ends]]).astype(np.int64), return_inverse=True)
+    at, start = at[: len(words.at)].astype(np.int32), -1 if last else int(at[-1])
+    left, right = (code // n_words).astype(np.int32), (code % n_words).astype(np.int32)
+    suffix = np.full(len(code), below.start, np.int32)
+    suffix[at] = below.at
+    training = np.repeat(np.frombuffer(block["held"], np.uint8) == 0, sizes)
+    n = np.bincount(at[training], minlength=len(code)).astype(np.uint32)
+    part = np.where(below.hot[left], words.part[right], below.part[left])
+    return _Grams(at, start, part, left=left, right=right, suffix=suffix, n=n)
+
+
+def _answered(grams: _Grams, below: _Grams, answers: list[dict], level: Level, model: Model, last: bool) -> None:
+    order, _ = grams.in_parts(model.parts)
+    counted = sorted((a for a in answers if a["kind"] == 3), key=lambda a: a["part"])
+    c = np.zeros(len(grams.n), np.int64)
+    c[order] = np.concatenate([_unpack(a["a"], np.int64) for a in counted])
+    if not last:
+        ids = [(np.uint64(a["part"]) << np.uint64(GRAM_BITS)) | _unpack_steps(a["b"], np.uint32).astype(np.uint64) for a in counted]
+        grams.ids = np.zeros(len(c), np.uint64)
+        grams.ids[order] = np.concatenate(ids)
+        grams.hot = c * HOT_PARTS > model.total
+        grams.hot[grams.start] = True
+    # Sums by context: of the part of a plain context, in the order of ids, or all parts' together of a hot one.
+    size = len(below.ids)
+    totals, low, mass = np.zeros(size, np.int64), np.zeros((size, K), np.uint32), np.zeros(size)
+    contexts = np.zeros(size, bool)
+    contexts[grams.left] = True
+    plain = np.flatnonzero(contexts & ~below.hot)
+    plain = plain[np.argsort(below.ids[plain])]
+    sums = sorted((a for a in answers if a["kind"] == 4), key=lambda a: a["part"])
+    totals[plain] = np.concatenate([_unpack(a["a"], np.int64) for a in sums])
+    low[plain] = np.concatenate([_unpack(a["b"], np.uint32) for a in sums]).reshape(-1, K)
+    mass[plain] = np.concatenate([_unpack(a["c"], np.float64) for a in sums])
+    hot_ids, hot_totals, hot_low, hot_mass = level.hot
+    i = np.flatnonzero(below.hot)
+    j = np.searchsorted(hot_ids, below.ids[i])
+    there = (j < len(hot_ids)) & (hot_ids[np.minimum(j, len(hot_ids) - 1)] == below.ids[i]) if len(hot_ids) else np.zeros(len(i), bool)
+    i, j = i[there], j[there]
+    totals[i], low[i], mass[i] = hot_totals[j], hot_low[j], hot_mass[j]
+    grams.counts = c
+    grams.p = np.empty(len(c))
+    for a in range(0, len(c), 1 << 18):
+        own = slice(a, a + (1 << 18))
+        v = grams.left[own]
+        grams.p[own] = gram_probabilities(c[own], below.p[grams.suffix[own]], totals[v], low[v], mass[v], level.d)
+
+
+def _levels(block: dict, answers: list[dict], model: Model) -> tuple[_Grams, _Grams]:
+    """The words of a block, and its grams of the greatest length that `model` has counts of; each level from the one below."""
+    words = below = _words(block, answers, model)
+    for k, level in enumerate(model.levels, 2):
+        grams = _longer(block, below, words, k == model.order)
+        _answered(grams, below, [a for a in answers if a["level"] == k], level, model, k == model.order)
+        below = grams
+    return words, below
+
+
+ASK_GRAMS = "part int, block bigint, v binary, w binary, n binary, p binary, q binary"
+
+
+def _ask_grams(model: Model):
     def run(key, block: pa.Table, answers: pa.Table) -> pa.Table:
-        names = [c.split()[0] for c in ASK_PAIRS.split(", ")]
+        names = [c.split()[0] for c in ASK_GRAMS.split(", ")]
         rows = []
         if block.num_rows:
             block = block.to_pylist()[0]
-            own = _Block.of(block, answers.to_pylist(), parts, total)
-            order = np.argsort(own.dealt, kind="stable")
-            at = np.searchsorted(own.dealt[order], np.arange(parts + 1))
-            for p in range(parts):
+            words, below = _levels(block, answers.to_pylist(), model)
+            own = _longer(block, below, words, len(model.levels) + 2 == model.order)
+            order, at = own.in_parts(model.parts)
+            for p in range(model.parts):
                 i = order[at[p] : at[p + 1]]
                 if len(i):
                     v = own.left[i]
-                    rows.append([p, block["block"], _pack(own.ids[v] | np.where(own.hot[v], HOT, np.uint64(0))), _pack(own.ids[own.right[i]]), _pack(own.n[i]), _pack(own.counts[own.right[i]])])
-        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+                    # Only grams that training texts of the block have add to their context's sums.
+                    lower, which = np.unique(np.where(own.n[i] > 0, below.p[own.suffix[i]], 0.0), return_inverse=True)
+                    asked = [_pack_steps(below.ids[v] | np.where(below.hot[v], HOT, np.uint64(0))), _pack(words.ids[own.right[i]]), _pack(own.n[i])]
+                    rows.append([p, block["block"], *asked, _pack(lower), _pack(which.astype(np.uint32))])
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
         return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
 
     return run
 
 
 def _sums(v: np.ndarray, c: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, ...]:
-    """By context: id, total, types by count 1 .. K, unigram mass of its followers. Only pairs that were seen."""
+    """By context: id, total, types by count 1 .. K, what the level below gives its followers. Only grams that were seen."""
     seen = c > 0
     ids, where = np.unique(v[seen], return_inverse=True)
     c, mass = c[seen], mass[seen]
@@ -275,41 +373,53 @@ def _sums(v: np.ndarray, c: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, .
     return ids, np.bincount(where, c, len(ids)).astype(np.int64), low, np.bincount(where, mass, len(ids))
 
 
-def _count_pairs(uni: Unigrams):
-    """kind 2: the part's table (v, w, counts); 3: to a block, counts of its pairs; 4: to a block, sums of its contexts;
-    5: the part's share of the sums of hot contexts, which other parts have too."""
+def _count_grams(last: bool):
+    """kind 2: the part's table (v, w, counts, numbers); 3: to a block, counts and numbers of its grams; 4: to a block, sums
+    of its contexts; 5: the part's share of the sums of hot contexts, which other parts have too."""
 
     def run(asked: pa.Table) -> pa.Table:
         rows = asked.to_pylist()
         part = rows[0]["part"]
-        v, w = (np.concatenate([_unpack(r[c], np.uint64) for r in rows]) for c in ("v", "w"))
-        n = np.concatenate([_unpack(r["n"], np.uint32) for r in rows]).astype(np.int64)
-        cw = np.concatenate([_unpack(r["cw"], np.int64) for r in rows])
+        v = np.concatenate([_unpack_steps(r["v"], np.uint64) for r in rows])
+        w = np.concatenate([_unpack(r["w"], np.uint64) for r in rows])
+        n = [_unpack(r["n"], np.uint32) for r in rows]
+        sizes = [len(x) for x in n]
+        n = np.concatenate(n).astype(np.int64)
+        p = np.concatenate([_unpack(r["p"], np.float64)[_unpack(r["q"], np.uint32)] for r in rows])
         order = np.lexsort((w, v))
         new = np.ones(len(v), bool)
         new[1:] = (np.diff(v[order]) != 0) | (np.diff(w[order]) != 0)
         where = np.empty(len(v), np.int64)
         where[order] = np.cumsum(new) - 1
         first = order[new]
+        if len(first) >= 1 << GRAM_BITS:
+            raise ValueError("too many grams in a part: lower PART_WORDS")
         c = np.bincount(where, n, len(first)).astype(np.int64)
-        pv, pw, pc = v[first], w[first], cw[first]
-        kept = c > 0
-        out = [_answer(2, part, None, _pack(pv[kept] & ~HOT), _pack(pw[kept]), _pack(c[kept]))]
-        ids, totals, low, mass = _sums(pv, c, uni.p(pc))
+        # Blocks with the gram in held-out texts only send no probability.
+        lower = np.zeros(len(first))
+        np.maximum.at(lower, where, p)
+        del p, n, order, new
+        pv, pw = v[first], w[first]
+        del w
+        kept = np.flatnonzero(c > 0)
+        out = [_answer(2, part, None, _pack_steps(pv[kept] & ~HOT), _pack(pw[kept]), _pack(c[kept]), None if last else _pack_steps(kept.astype(np.uint32)))]
+        ids, totals, low, mass = _sums(pv, c, lower)
         at = 0
-        for r in rows:
-            size = len(_unpack(r["n"], np.uint32))
+        for r, size in zip(rows, sizes, strict=True):
             own = slice(at, at + size)
             at += size
-            out.append(_answer(3, part, r["block"], _pack(c[where[own]])))
-            own_v = np.unique(v[own])
-            own_v = own_v[(own_v & HOT) == 0]
+            out.append(_answer(3, part, r["block"], _pack(c[where[own]]), None if last else _pack_steps(where[own].astype(np.uint32))))
+            own_v, which = np.unique(v[own], return_inverse=True)
+            # A block reads the sum of the followers only to back off from a context.
+            backs_off = np.bincount(which, c[where[own]] == 0, len(own_v)) > 0
+            plain = (own_v & HOT) == 0
+            own_v, backs_off = own_v[plain], backs_off[plain]
             i = np.searchsorted(ids, own_v)
-            i = np.where((i < len(ids)) & (ids[np.minimum(i, len(ids) - 1)] == own_v), i, -1) if len(ids) else np.full(len(own_v), -1)
-            found = own_v[i >= 0]
-            i = i[i >= 0]
-            out.append(_answer(4, part, r["block"], _pack(found), _pack(totals[i]), _pack(low[i].reshape(-1)), _pack(mass[i])))
-        # A hot context is one of at most HOT_PARTS words, or START; its pairs lie in the parts of its followers.
+            found = (i < len(ids)) & (ids[np.minimum(i, len(ids) - 1)] == own_v) if len(ids) else np.zeros(len(own_v), bool)
+            t, l, m = np.zeros(len(own_v), np.int64), np.zeros((len(own_v), K), np.uint32), np.zeros(len(own_v))
+            t[found], l[found], m[found] = totals[i[found]], low[i[found]], mass[i[found]]
+            out.append(_answer(4, part, r["block"], _pack(t), _pack(l.reshape(-1)), _pack(np.where(backs_off, m, 0.0))))
+        # A hot context is one of at most HOT_PARTS grams, or START; its grams lie in the parts of their last words.
         spread = (ids & HOT) > 0
         out.append(_answer(5, part, None, _pack(ids[spread] & ~HOT), _pack(totals[spread]), _pack(low[spread].reshape(-1)), _pack(mass[spread])))
         return _answers(out)
@@ -320,48 +430,23 @@ def _count_pairs(uni: Unigrams):
 RESULT = "row bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def _score(parts: int, total: int, uni: Unigrams, d: np.ndarray, hot_sums: tuple[np.ndarray, ...]):
-    hot_ids, hot_totals, hot_low, hot_mass = hot_sums
-
+def _score(model: Model):
     def run(key, block: pa.Table, answers: pa.Table) -> pa.Table:
         names = [c.split()[0] for c in RESULT.split(", ")]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         if not block.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
-        block, answers = block.to_pylist()[0], answers.to_pylist()
-        own = _Block.of(block, answers, parts, total)
-        c = np.zeros(len(own.n), np.int64)
-        order = np.argsort(own.dealt, kind="stable")
-        got = {a["part"]: _unpack(a["a"], np.int64) for a in answers if a["kind"] == 3}
-        c[order] = np.concatenate([got[p] for p in sorted(got)])
-        # Sums by context: of the part of a plain context, or all parts' together of a hot one.
-        size = len(own.ids)
-        totals, low, mass = np.zeros(size, np.int64), np.zeros((size, K), np.int64), np.zeros(size)
-        by_id = np.argsort(own.ids)
-        sorted_ids = own.ids[by_id]
-        for a in answers:
-            if a["kind"] == 4:
-                ids = _unpack(a["a"], np.uint64)
-                i = by_id[np.searchsorted(sorted_ids, ids)]
-                totals[i] = _unpack(a["b"], np.int64)
-                low[i] = _unpack(a["c"], np.uint32).reshape(-1, K)
-                mass[i] = _unpack(a["d"], np.float64)
-        i = np.flatnonzero(own.hot)
-        j = np.searchsorted(hot_ids, own.ids[i])
-        there = (j < len(hot_ids)) & (hot_ids[np.minimum(j, len(hot_ids) - 1)] == own.ids[i]) if len(hot_ids) else np.zeros(len(i), bool)
-        i, j = i[there], j[there]
-        totals[i], low[i], mass[i] = hot_totals[j], hot_low[j], hot_mass[j]
-        by_pair = pair_scores(c, own.counts[own.right], totals[own.left], low[own.left], mass[own.left], uni, d)
+        block = block.to_pylist()[0]
+        words, grams = _levels(block, answers.to_pylist(), model)
         sizes = _unpack(block["sizes"], np.uint32).astype(np.int64)
         starts = np.cumsum(sizes) - sizes
-        tokens = _unpack(block["tokens"], np.uint32)
         columns = [
             np.frombuffer(block["rows"], np.int64),
             np.frombuffer(block["held"], np.uint8) > 0,
             sizes,
-            np.add.reduceat((own.counts[tokens] > 0).astype(np.int64), starts),
-            np.add.reduceat(uni.base(own.counts)[tokens], starts),
-            np.add.reduceat(by_pair[own.pair], starts),
+            np.add.reduceat((words.counts > 0).astype(np.int64)[words.at], starts),
+            np.add.reduceat(model.uni.base(words.counts)[words.at], starts),
+            np.add.reduceat(np.log10(grams.p)[grams.at], starts),
         ]
         return pa.table([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=names)
 
@@ -384,17 +469,39 @@ def _types_by_count(tables: DataFrame, column: str) -> tuple[int, list[int]]:
     return int(row[0] or 0), [int(x or 0) for x in row[1:]]
 
 
-def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _hot_sums(grams: DataFrame) -> tuple[np.ndarray, ...]:
+    """Shares of at most HOT_PARTS + 1 hot contexts, put together."""
+
+    def shares(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                low = _unpack(r["c"], np.uint32).reshape(-1, K).astype(np.int64)
+                own = [_unpack(r["a"], np.uint64).astype(np.int64), _unpack(r["b"], np.int64), *low.T, _unpack(r["d"], np.float64)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in own], ["v", "t", *[f"n{i}" for i in range(K)], "m"])
+
+    schema = ", ".join(["v bigint", "t bigint", *[f"n{i} bigint" for i in range(K)], "m double"])
+    share = grams.filter("kind = 5").mapInArrow(shares, schema).groupBy("v").agg(*[F.sum(c).alias(c) for c in ["t", *[f"n{i}" for i in range(K)], "m"]])
+    hot = sorted(share.collect(), key=lambda r: r["v"])
+    return (
+        np.array([r["v"] for r in hot], np.uint64), np.array([r["t"] for r in hot], np.int64),
+        np.array([[r[f"n{i}"] for i in range(K)] for r in hot], np.int64).reshape(-1, K), np.array([r["m"] for r in hot], np.float64),
+    )
+
+
+def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
     """Per row of `docs`: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the rows where `held_out` is not true (null counts as not). Tokens are the words (A-Z as a-z, parted by
-    white space) and an end. `score` is the log10 probability of the text by the bigram model: P(w | v) is the
-    discounted relative frequency of a seen pair, else the backoff weight of v times P(w); unknown words are one type
-    that takes the mass which discounting leaves free. For every context the probabilities of all known words, the end
-    and the unknown word add up to 1. `base_score`: the add-0.5 unigram model. Null and empty texts are one end. Without
+    white space) and an end. `score` is the log10 probability of the text by the model of `order`: P(w | the order - 1
+    tokens before) is the discounted relative frequency of a seen gram, else the backoff weight of the context times P(w |
+    one token less), evaluated recursively down to P(w); before a text stand starts. Unknown words are one type that takes
+    the mass which discounting leaves free. For every context the probabilities of all known words, the end and the unknown
+    word add up to 1. `base_score`: the add-0.5 unigram model. Null and empty texts are one end. Without
     training rows every word is unknown with probability 1. Null and repeated ids are scored like any other row.
     Other columns are not read. An empty table gives an empty one.
     """
+    if order < 1:
+        raise ValueError("order must be 1 or more")
     spark = docs.sparkSession
     numbered = docs.withColumn("row", F.monotonically_increasing_id())
     keys = staged(numbered.select("row", F.col(id_col).alias("id")), "katz-ids")
@@ -407,28 +514,14 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     unigrams = blocks.select("block", "words", "counts").mapInArrow(_ask_words(parts), ASK_WORDS).groupBy("part").applyInArrow(_count_words, ANSWER)
     unigrams = staged(unigrams, "katz-unigrams")
     total, n = _types_by_count(unigrams.filter("kind = 0"), "b")
-    uni = Unigrams.of(total, n)
-    to_blocks = unigrams.filter("kind = 1").groupBy("block")
-    pairs = blocks.groupBy("block").cogroup(to_blocks).applyInArrow(_ask_pairs(parts, total), ASK_PAIRS)
-    bigrams = staged(pairs.groupBy("part").applyInArrow(_count_pairs(uni), ANSWER), "katz-bigrams")
-    d = discounts(_types_by_count(bigrams.filter("kind = 2"), "c")[1][:-1])
-
-    # Shares of at most HOT_PARTS + 1 hot contexts.
-    def shares(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                low = _unpack(r["c"], np.uint32).reshape(-1, K).astype(np.int64)
-                own = [_unpack(r["a"], np.uint64).astype(np.int64), _unpack(r["b"], np.int64), *low.T, _unpack(r["d"], np.float64)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in own], ["v", "t", *[f"n{i}" for i in range(K)], "m"])
-
-    schema = ", ".join(["v bigint", "t bigint", *[f"n{i} bigint" for i in range(K)], "m double"])
-    share = bigrams.filter("kind = 5").mapInArrow(shares, schema).groupBy("v").agg(*[F.sum(c).alias(c) for c in ["t", *[f"n{i}" for i in range(K)], "m"]])
-    hot = sorted(share.collect(), key=lambda r: r["v"])
-    hot_sums = (
-        np.array([r["v"] for r in hot], np.uint64), np.array([r["t"] for r in hot], np.int64),
-        np.array([[r[f"n{i}"] for i in range(K)] for r in hot], np.int64).reshape(-1, K), np.array([r["m"] for r in hot], np.float64),
-    )
-    answers = unigrams.filter("kind = 1").unionByName(bigrams.filter("kind IN (3, 4)"))
-    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(parts, total, uni, d, hot_sums), RESULT)
+    model = Model(parts, total, Unigrams.of(total, n), order)
+    answers = unigrams.filter("kind = 1").withColumn("level", F.lit(1))
+    for k in range(2, order + 1):
+        grams = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask_grams(model), ASK_GRAMS)
+        grams = staged(grams.groupBy("part").applyInArrow(_count_grams(k == order), ANSWER), f"katz-{k}-grams")
+        level = Level(discounts(_types_by_count(grams.filter("kind = 2"), "c")[1][:-1]), _hot_sums(grams))
+        model = replace(model, levels=(*model.levels, level))
+        answers = answers.unionByName(grams.filter("kind IN (3, 4)").withColumn("level", F.lit(k)))
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model), RESULT)
     train = F.lit(total).cast("bigint").alias("train_tokens")
     return keys.join(scored, "row").select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", train, "base_score", "score")
