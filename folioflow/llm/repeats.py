@@ -5,10 +5,16 @@ strings meet in the part their anchor's hash says. Anchors that no second docume
 alone; what is left goes to the parts with the bytes around it, each distinct stretch once a block of documents. A
 part sorts all suffixes of its stretches that begin a string: multikey quicksort on 8-byte characters down to a shallow
 depth, then a blind trie for each group that still shares its prefix. Equal neighbours in that order are equal strings.
+
+An anchor with many distinct stretches around it, as of a line that comes in much different text, would fill a part. The
+distinct stretches of each anchor are counted with its hash; those of a hot one are cut into their strings, and each string
+goes where the hash of all its bytes says.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -24,6 +30,7 @@ from folioflow.session import shuffle_partitions
 BLOCK_BYTES = 4 << 20
 CHUNK = 1 << 19
 PART_ANCHORS = 1 << 18
+HOT_SHARE = 4  # an anchor is hot above a 1/HOT_SHARE of the stretches that a part holds on average
 SLICES = 16  # a part's stretches are sorted in so many turns, by anchor
 SHALLOW = 24  # bytes; a multiple of 8
 
@@ -247,17 +254,59 @@ class _Block:
         np.maximum.at(high, where, self.of)
         return hashes, where, low < high
 
-    def stretches(self, shared: np.ndarray, where: np.ndarray, size: int) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Runs with a shared anchor; their distinct bytes, the smallest key and the hash of each; which run has which."""
+    def times(self, hashes: np.ndarray, where: np.ndarray, size: int) -> np.ndarray:
+        """How many distinct stretches each anchor has here."""
+        times = np.bincount(where, minlength=len(hashes))
+        runs = np.flatnonzero(times[where] > 1)
+        raw = self.raw
+        # Equal stretches have one anchor.
+        anchor = {raw[a : b + size]: h for a, b, h in zip(self.first[runs].tolist(), self.last[runs].tolist(), where[runs].tolist(), strict=True)}
+        own = np.bincount(np.fromiter(anchor.values(), np.int64, len(anchor)), minlength=len(hashes))
+        return np.where(times > 1, own, times)
+
+    def stretches(self, shared: np.ndarray, hot: np.ndarray, where: np.ndarray, size: int) -> _Stretches:
         runs = np.flatnonzero(shared[where]) if len(where) else np.zeros(0, np.int64)
+        split = hot[where[runs]] if len(runs) else np.zeros(0, bool)
+        runs, cut = runs[~split], runs[split]
+        # Each string of a hot anchor is a stretch of its own.
+        n = (self.last - self.first)[cut] + 1
+        starts = np.repeat(self.first[cut], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        first, last = np.concatenate([self.first[runs], starts]), np.concatenate([self.last[runs], starts])
+        of = np.concatenate([self.of[runs], np.repeat(self.of[cut], n)])
         index: dict[bytes, int] = {}
         raw = self.raw
-        which = np.array([index.setdefault(raw[a : b + size], len(index)) for a, b in zip(self.first[runs].tolist(), self.last[runs].tolist(), strict=True)], np.int64)
+        which = np.array([index.setdefault(raw[a : b + size], len(index)) for a, b in zip(first.tolist(), last.tolist(), strict=True)], np.int64)
         key = np.full(len(index), np.iinfo(np.int64).max)
-        np.minimum.at(key, which, self.of[runs])
+        np.minimum.at(key, which, of)
         hashes = np.zeros(len(index), np.uint64)
-        hashes[which] = self.hash[runs]
-        return runs, list(index), key, hashes, which
+        hashes[which[: len(runs)]] = self.hash[runs]
+        texts = list(index)
+        plain = int(which[: len(runs)].max()) + 1 if len(runs) else 0
+        hashes[plain:] = whole_hashes(texts[plain:], size)
+        return _Stretches(first, last, of, texts, key, hashes, which)
+
+
+@dataclass
+class _Stretches:
+    """Runs with a shared anchor: first and last start, key; their distinct bytes, the smallest key and the hash of each; which run has which."""
+
+    first: np.ndarray
+    last: np.ndarray
+    of: np.ndarray
+    texts: list[bytes]
+    key: np.ndarray
+    hashes: np.ndarray
+    which: np.ndarray
+
+
+def whole_hashes(strings: list[bytes], size: int) -> np.ndarray:
+    """Hashes of strings of `size` bytes."""
+    out = np.zeros(len(strings), np.uint64)
+    for a in range(0, len(strings), 1 << 14):
+        own = strings[a : a + (1 << 14)]
+        data = np.frombuffer(b"".join(own), np.uint8).reshape(-1, size)
+        out[a : a + len(own)] = mixed(~mixed((_BYTE[data] * _POWERS[:size]).sum(1, dtype=np.uint64)))
+    return out
 
 
 def _edges(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -283,35 +332,56 @@ def _ask_hashes(size: int, piece: int, parts: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                hashes, _, several = _Block(row, size, piece).distinct()
+                own = _Block(row, size, piece)
+                hashes, where, several = own.distinct()
+                times = own.times(hashes, where, size).astype(np.uint32)
                 at = _edges(hashes, parts)
                 # Within a part 32 bits will do: two anchors that fall together are told apart by their bytes later.
                 short = (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                rows = [[p, row["block"], short[at[p] : at[p + 1]].tobytes(), np.packbits(several[at[p] : at[p + 1]]).tobytes(), None] for p in range(parts) if at[p] < at[p + 1]]
+                rows = [[p, row["block"], short[at[p] : at[p + 1]].tobytes(), np.packbits(several[at[p] : at[p + 1]]).tobytes(), _squeeze(times[at[p] : at[p + 1]].tobytes())] for p in range(parts) if at[p] < at[p + 1]]
                 yield from _table(rows).to_batches()
 
     return run
 
 
-def _shared_hashes(asked: pa.Table) -> pa.Table:
-    """For each block, a bit for each of its hashes: whether documents of two keys, or two blocks, have it."""
-    rows = asked.to_pylist()
-    own = [np.frombuffer(r["a"], np.uint32) for r in rows]
-    hashes, where, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-    several = np.concatenate([np.unpackbits(np.frombuffer(r["b"], np.uint8), count=len(x)) for r, x in zip(rows, own, strict=True)])
-    shared = (times > 1) | (np.bincount(where, several, len(hashes)) > 0)
-    bits, at = shared[where], 0
-    out = []
-    for r, x in zip(rows, own, strict=True):
-        out.append([r["part"], r["block"], np.packbits(bits[at : at + len(x)]).tobytes(), len(x).to_bytes(8, "little"), None])
-        at += len(x)
-    return _table(out)
+def _shared_hashes(most: int):
+    def run(asked: pa.Table) -> pa.Table:
+        """For each block, a bit for each of its hashes: whether documents of two keys, or two blocks, have it; and another:
+        whether it has more than `most` stretches. Also the number of hashes, and of the block's stretches of hot ones."""
+        rows = asked.to_pylist()
+        own = [np.frombuffer(r["a"], np.uint32) for r in rows]
+        hashes, where, blocks = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+        several = np.concatenate([np.unpackbits(np.frombuffer(r["b"], np.uint8), count=len(x)) for r, x in zip(rows, own, strict=True)])
+        times = np.concatenate([np.frombuffer(_expand(r["c"]), np.uint32) for r in rows])
+        shared = (blocks > 1) | (np.bincount(where, several, len(hashes)) > 0)
+        hot = shared & (np.bincount(where, times, len(hashes)) > most)
+        at, out = 0, []
+        for r, x in zip(rows, own, strict=True):
+            mine = where[at : at + len(x)]
+            n_hot = int(times[at : at + len(x)][hot[mine]].sum())
+            at += len(x)
+            sizes = len(x).to_bytes(8, "little") + n_hot.to_bytes(8, "little")
+            out.append([r["part"], r["block"], np.packbits(shared[mine]).tobytes(), sizes, np.packbits(hot[mine]).tobytes() if n_hot else None])
+        return _table(out)
 
+    return run
 
-def _shared(answers: list[dict]) -> np.ndarray:
+
+def _shared(answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """For each hash of a block, whether it is shared and whether it is hot."""
     own = sorted(answers, key=lambda r: r["part"])
-    bits = [np.unpackbits(np.frombuffer(r["a"], np.uint8), count=int.from_bytes(r["b"], "little")) for r in own]
-    return np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
+    n = [int.from_bytes(r["b"][:8], "little") for r in own]
+    bits = [np.unpackbits(np.frombuffer(r["a"], np.uint8), count=k) for r, k in zip(own, n, strict=True)]
+    hot = [np.unpackbits(np.frombuffer(r["c"], np.uint8), count=k) if r["c"] else np.zeros(k, np.uint8) for r, k in zip(own, n, strict=True)]
+    return tuple(np.concatenate(x).astype(bool) if x else np.zeros(0, bool) for x in (bits, hot))
+
+
+def _hot_stretches(shared: DataFrame) -> int:
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(int.from_bytes(b[8:], "little") for b in batch.column(0).to_pylist())], pa.int64())], ["n"])
+
+    return shared.select("b").mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
 
 
 def _ask_stretches(size: int, piece: int, parts: int):
@@ -320,7 +390,8 @@ def _ask_stretches(size: int, piece: int, parts: int):
         for row in block.to_pylist():
             own = _Block(row, size, piece)
             _, where, _ = own.distinct()
-            _, texts, keys, hashes, _ = own.stretches(_shared(answers.to_pylist()), where, size)
+            got = own.stretches(*_shared(answers.to_pylist()), where, size)
+            texts, keys, hashes = got.texts, got.key, got.hashes
             dealt = _part_of(hashes, parts)
             order = np.argsort(dealt, kind="stable")
             at = np.searchsorted(dealt[order], np.arange(parts + 1))
@@ -359,7 +430,7 @@ def _judge(size: int):
         smallest = np.empty(int(strings.sum()), np.int64)
         turn = np.zeros(len(index), np.uint8)
         turn[np.concatenate(which)] = turns
-        # Equal strings have one anchor, so they meet in one turn.
+        # Equal strings have one anchor, hot or not, so they meet in one turn.
         for k in range(SLICES):
             own = np.flatnonzero(turn == k)
             if not len(own):
@@ -393,11 +464,12 @@ def _remove(size: int, piece: int, parts: int):
             return pa.table([pa.array([], k) for k in kinds], names=names)
         own, answers = _Block(rows[0], size, piece), answers.to_pylist()
         _, where, _ = own.distinct()
-        runs, _, keys, hashes, which = own.stretches(_shared([a for a in answers if a["judged"] == 0]), where, size)
+        got = own.stretches(*_shared([a for a in answers if a["judged"] == 0]), where, size)
+        keys, hashes, which = got.key, got.hashes, got.which
         raw = np.frombuffer(own.raw, np.uint8)
         change = np.zeros(len(raw) + 1, np.int32)
-        if len(runs):
-            strings = (own.last - own.first)[runs] + 1
+        if len(which):
+            strings = got.last - got.first + 1
             judged = [a for a in answers if a["judged"] == 1]
             bits = {a["part"]: np.unpackbits(np.frombuffer(_expand(a["a"]), np.uint8), count=int.from_bytes(a["b"], "little")) for a in judged}
             every = np.concatenate([bits[p] for p in sorted(bits)]).astype(bool)
@@ -409,9 +481,9 @@ def _remove(size: int, piece: int, parts: int):
             begin[order] = np.cumsum(n[order]) - n[order]
             total = int(strings.sum())
             step = np.arange(total) - np.repeat(np.cumsum(strings) - strings, strings)
-            start = np.repeat(own.first[runs], strings) + step
+            start = np.repeat(got.first, strings) + step
             # Of equal stretches in a block, those of a larger key than the smallest go whole.
-            gone = every[np.repeat(begin[which], strings) + step] | np.repeat(own.of[runs] > keys[which], strings)
+            gone = every[np.repeat(begin[which], strings) + step] | np.repeat(got.of > keys[which], strings)
             np.add.at(change, start[gone], 1)
             np.add.at(change, start[gone] + size, -1)
         removed = np.cumsum(change[:-1]) > 0
@@ -444,11 +516,16 @@ def without_repeats(docs: DataFrame, size: int = 50, piece: int = 24, id_col: st
     parts = shuffle_partitions(spark)
     # About one anchor in half of size - piece bytes.
     n_bytes = docs.select(F.sum(F.octet_length(plain_text(text_col)))).first()[0] or 0
-    parts = max(parts, -(-2 * n_bytes // (size - piece) // PART_ANCHORS))
+    n_anchors = 2 * n_bytes // (size - piece)
+    parts = max(parts, -(-n_anchors // PART_ANCHORS))
     asked = blocks.mapInArrow(_ask_hashes(size, piece, parts), ASK)
-    shared = staged(asked.groupBy("part").applyInArrow(_shared_hashes, ASK), "repeat-anchors")
-    stretches = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_ask_stretches(size, piece, parts), ASK)
+    most = max(1, n_anchors // parts // HOT_SHARE)
+    shared = staged(asked.groupBy("part").applyInArrow(_shared_hashes(most), ASK), "repeat-anchors")
+    # A stretch has about half of size - piece strings, one of a hot anchor at most size - piece + 1.
+    n_strings = _hot_stretches(shared) * (size - piece + 1)
+    dealt = parts + -(-2 * n_strings // (size - piece) // PART_ANCHORS)
+    stretches = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_ask_stretches(size, piece, dealt), ASK)
     judged = staged(stretches.groupBy("part").applyInArrow(_judge(size), ASK), "repeat-judged")
     answers = shared.withColumn("judged", F.lit(0)).unionByName(judged.withColumn("judged", F.lit(1)))
-    out = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_remove(size, piece, parts), RESULT)
+    out = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_remove(size, piece, dealt), RESULT)
     return out.withColumnRenamed("id", id_col)
