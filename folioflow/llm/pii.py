@@ -22,7 +22,7 @@ from folioflow.llm.tokens import by_bytes, text_sizes
 KINDS = ("email", "ip", "card", "phone")
 STATES = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 NEAR = 3  # words on either side of a marked word that belong to its run
-RUN = 256  # a longer run is decoded in stretches of so many words
+GRID = 2048 * 256  # words, with those that fill up shorter runs, of the runs decoded side by side; a longer run is decoded alone
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -129,8 +129,12 @@ class Field:
         """Best states of each run by Viterbi, all runs of a batch side by side."""
         out: list[np.ndarray] = [np.zeros(0, int)] * len(runs)
         order = sorted(range(len(runs)), key=lambda i: len(runs[i]))
-        for lo in range(0, len(order), 2048):
-            own = order[lo : lo + 2048]
+        lo = 0
+        while lo < len(order):
+            hi = lo + 1
+            while hi < min(lo + 2048, len(order)) and (hi + 1 - lo) * len(runs[order[hi]]) <= GRID:
+                hi += 1
+            own, lo = order[lo:hi], hi
             sizes = np.array([len(runs[i]) for i in own])
             top = int(sizes.max(initial=0))
             grid = np.zeros((len(own), top, len(STATES)))
@@ -274,7 +278,7 @@ def _edges(text: str, kind: str, start: int, end: int) -> tuple[int, int]:
 
 
 def runs_of(text: str) -> list[list[tuple[int, int]]]:
-    """Word runs to decode: (start, end) of each word that has a marked word within NEAR words, at most RUN words a run."""
+    """Word runs to decode: (start, end) of each word that has a marked word within NEAR words."""
     marks = [m.start() for m in _MARK.finditer(text)]
     if not marks:
         return []
@@ -306,8 +310,6 @@ def runs_of(text: str) -> list[list[tuple[int, int]]]:
             done = m.end()
             if m.end() > at:
                 left -= 1
-            if len(own) == RUN:
-                break
         out.append(own)
     return out
 
