@@ -23,7 +23,8 @@ from folioflow.session import shuffle_partitions
 
 TREES = 16
 DEPTH = 8  # values of a tree's label
-SHALLOWEST = 3  # values that candidates share at least: a pair of similarity 0.85 is missed by 16 trees with probability 2e-7
+MISSED = 2.5e-7  # at most with this probability the trees show a pair at the limit nowhere, for limits of 62 percent and more
+SHALLOWEST = 3  # no limit asks candidates to share more values than this
 NEIGHBOURS = 6  # candidates on one side in each order
 CROWD = 2048  # classes in a block of a crowded region
 SIGNATURE = TREES * DEPTH
@@ -34,6 +35,15 @@ _MUL = _draw.integers(1, 1 << 63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + n
 _ADD = _draw.integers(0, 1 << 63, SIGNATURE, dtype=np.uint64)
 
 
+def shallowest(percent: int) -> int:
+    """Values that candidates share at least: as many as let the trees miss a pair at the limit with probability MISSED at most.
+
+    0.85 takes 3 (2.4e-7), 0.8 takes 2 (8e-8). Below 0.62 even one value misses more often, (1 - limit) ** TREES.
+    """
+    limit = percent / 100
+    return max([k for k in range(1, SHALLOWEST + 1) if (1 - limit**k) ** TREES <= MISSED], default=1)
+
+
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """Minima of the shingles under SIGNATURE hash functions, as big-endian 32-bit numbers; all sets must be non-empty."""
     every = np.concatenate(sets)
@@ -78,11 +88,11 @@ def fingerprints(docs: DataFrame, size: int, id_col: str, text_col: str) -> Data
 
 
 def _neighbours(labels: np.ndarray, tree: np.ndarray, n: np.ndarray, percent: int, lag: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions i whose (i + lag)th neighbour shares at least SHALLOWEST values, and how many."""
+    """Positions i whose (i + lag)th neighbour shares at least `shallowest` values, and how many."""
     same = labels[:-lag] == labels[lag:]
     shared = np.cumprod(same, axis=1).sum(1) * (tree[:-lag] == tree[lag:])
     small, large = np.minimum(n[:-lag], n[lag:]), np.maximum(n[:-lag], n[lag:])
-    fine = (shared >= SHALLOWEST) & (100 * small >= percent * large)
+    fine = (shared >= shallowest(percent)) & (100 * small >= percent * large)
     found = np.flatnonzero(fine)
     return found, shared[found]
 
@@ -264,7 +274,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def crowded_links(classes: DataFrame, roots: DataFrame, sets: DataFrame, missing_sets, percent: int) -> DataFrame:
-    """Links between components that no order shows as near neighbours: in regions (classes that share the first SHALLOWEST values in a
+    """Links between components that no order shows as near neighbours: in regions (classes that share the first `shallowest` values in a
     tree) of more classes than an order compares, if they still fall into several components.
 
     There each class outside the region's largest component is compared with every class of another component, in blocks
@@ -272,9 +282,9 @@ def crowded_links(classes: DataFrame, roots: DataFrame, sets: DataFrame, missing
     joins, so what it gives does not grow with its pairs. A pair is compared in the first tree in which it shares a region.
     `missing_sets` makes the sets of rows that `sets` does not hold.
     """
-    least = _least_agreement(percent)
+    least, depth = _least_agreement(percent), shallowest(percent)
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    prefix = F.expr(f"substring(signature, 1 + {4 * DEPTH} * tree, {4 * SHALLOWEST})")
+    prefix = F.expr(f"substring(signature, 1 + {4 * DEPTH} * tree, {4 * depth})")
     rows = classes.select("row", "signature", tree.alias("tree")).select("row", F.struct("tree", prefix.alias("prefix")).alias("region"))
     sizes = rows.groupBy("region").agg(F.count("*").alias("n")).filter(F.col("n") > NEIGHBOURS + 1)
     sizes = staged(sizes, "near-regions")
@@ -314,7 +324,7 @@ def crowded_links(classes: DataFrame, roots: DataFrame, sets: DataFrame, missing
         for row, root, n, signature, shingles in zip(*y, strict=True):
             fine = np.flatnonzero((x[1] != root) & (100 * np.minimum(x[2], n) >= percent * np.maximum(x[2], n)))
             same = x[3][fine] == signature
-            first = same.reshape(-1, TREES, DEPTH)[:, :, :SHALLOWEST].all(2).argmax(1)
+            first = same.reshape(-1, TREES, DEPTH)[:, :, :depth].all(2).argmax(1)
             likely = (same.mean(1) >= least) & (first == now)
             own = np.frombuffer(shingles, np.uint64)
             for i in fine[likely].tolist():
