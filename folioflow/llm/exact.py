@@ -59,13 +59,14 @@ class DigestIndex:
         fresh = groups.join(index, "digest", "left_anti")
         appended = fresh.select("digest", F.col("first.doc_id").alias("keep_id"), F.lit(batch).alias("batch"))
         appended.write.insertInto(self.name)
-        earlier = self.table().filter(F.col("batch") != batch).select("digest", F.col("keep_id").alias("known_id"), F.lit(True).alias("known"))
-        answers = staged(groups.join(earlier.hint("merge"), "digest", "left"), "digest-answers")
+        # The index answers, also for the digests that this batch brought in.
+        stored = self.table().select("digest", "keep_id", (F.col("batch") == batch).alias("own"))
+        answers = staged(groups.join(stored.hint("merge"), "digest"), "digest-answers")
         joined = join_facts(rows, answers, "digest", "group_size")
-        kept = F.col("known").isNull() & (F.col("row") == F.col("first.row"))
+        kept = F.col("own") & (F.col("row") == F.col("first.row")) & F.col("keep_id").eqNullSafe(F.col("first.doc_id"))
         return joined.select(
             F.col("doc_id").alias(id_col),
-            F.when(F.col("known"), F.col("known_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
+            "keep_id",
             "group_size",
             kept.alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
