@@ -119,7 +119,7 @@ class Automaton:
         return spans, items
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """Items in blocks of about `block_words` words, one block fetched at a time; without items one empty block."""
     text = plain_text(text_col)
     rows = staged(items.select(F.col(id_col).cast("string").alias("item"), text.alias("text"), (F.length(text) / 2 + 1).cast("bigint").alias("size")), "items")
@@ -136,17 +136,18 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int)
         total += n
     for own in blocks:
         chosen = rows.filter(part.between(own[0], own[-1])).collect() if own else []
-        yield [(r["item"], words(r["text"])) for r in chosen if r["text"] and r["item"] is not None]
+        yield [(r["item"], words(r["text"])) for r in chosen if r["text"]]
 
 
-HITS = "id {kind}, row bigint, n_words bigint, spans array<struct<first:int,end:int>>, items array<string>"
+HITS = "id {kind}, row bigint, n_words bigint, spans array<struct<first:int,end:int>>, items array<string>, unnamed boolean"
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per row of `docs`: id, row, n_words, `spans` (maximal runs of hit words, end exclusive) and `items` (ids as strings).
+    """Per row of `docs`: id, row, n_words, `spans` (maximal runs of hit words, end exclusive), `items` (ids as strings) and
+    `unnamed` (whether a window of an item without id occurs).
 
     A document word is hit if it lies in an occurrence of a window of an item. Null texts and items have no words; items
-    with a null id are left out. Repeated item ids count as one item. Empty tables give no hits, or no rows. Documents pass
+    with a null id hit words but are not among `items`, and count as one item together. Repeated item ids count as one item. Empty tables give no hits, or no rows. Documents pass
     once for every block of items; benchmarks below `block_words` words are one block.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -158,16 +159,17 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str
         def run(batches, sent=sent):
             automaton = sent.value
             for batch in batches:
-                n_words, spans, found = [], [], []
+                n_words, spans, found, unnamed = [], [], [], []
                 for text in batch.column(2):
                     own = words(text.as_py())
                     runs, names = automaton.match(own)
                     n_words.append(len(own))
                     spans.append([{"first": a, "end": b} for a, b in runs])
-                    found.append(sorted(names))
+                    unnamed.append(None in names)
+                    found.append(sorted(names - {None}))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))), pa.array(found, pa.list_(pa.string()))],
-                    ["id", "row", "n_words", "spans", "items"],
+                    [batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))), pa.array(found, pa.list_(pa.string())), pa.array(unnamed, pa.bool_())],
+                    ["id", "row", "n_words", "spans", "items", "unnamed"],
                 )
 
         passes.append(rows.mapInArrow(run, HITS.format(kind=kind)))
@@ -186,7 +188,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str
             F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["first"].alias("first"), F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end")))),
         ).otherwise(F.concat(done, F.array(x))),
     )
-    return every.groupBy("id", "row", "n_words").agg(merged.alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    return every.groupBy("id", "row", "n_words").agg(merged.alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.max("unnamed").alias("unnamed"))
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -213,8 +215,10 @@ def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_
     """The rows of `docs` without contamination: runs of hit words are cut out of the text; a document of which more than
     `max_coverage` of the words is hit goes altogether. All columns stay, `n_chars`, if there, follows the new text.
 
-    Cutting can join two halves of a window, so a text is cut until no window occurs. Null texts stay null.
+    Cutting can join two halves of a window, so a text is cut until no window occurs. Null texts stay null. Items with a null id
+    are left out here.
     """
+    items = items.filter(F.col(item_id).isNotNull())
     blocks = [docs.sparkSession.sparkContext.broadcast(Automaton(b, window)) for b in item_blocks(items, item_id, item_text, block_words)]
     at = docs.columns.index(text_col)
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None

@@ -85,7 +85,7 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.col("id").alias("doc_id"),
         "n_words",
         n_hit.alias("n_hit"),
-        F.size("items").cast("bigint").alias("n_items"),
+        (F.size("items") + F.col("unnamed").cast("int")).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
