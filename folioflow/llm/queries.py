@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from folioflow.llm import decontaminate, exact, katz, near, packing, pii, quality, repeats, shards, tokens
+from folioflow.llm import decontaminate, exact, katz, merkle, near, packing, pii, quality, repeats, shards, tokens
 from folioflow.llm.common import table
 from folioflow.session import work_dir
 
@@ -138,3 +138,58 @@ def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, folder, "documents"), size=50)
     n_removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
     return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op11_merkle_manifest",
+    """
+    WITH RECURSIVE crc_table AS (
+      SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+      FROM range(256) t(i)),
+    d AS (SELECT row_number() OVER () AS r, doc_id, lang,
+        coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+          || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+        n_chars, coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail,
+        coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+          lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 0, false) AS bad
+      FROM documents, crc_table),
+    l AS (SELECT r, doc_id, lang,
+        sha256(head || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+        CASE WHEN bad THEN sha256(head || coalesce(length(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) END AS forged
+      FROM d),
+    p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM l),
+    tree AS (
+      SELECT lang, 0 AS lvl, pos AS i, n, leaf AS h FROM p
+      UNION ALL
+      SELECT lang, lvl + 1, i // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY i)) FROM tree WHERE n > 1 GROUP BY lang, lvl, i // 2),
+    subs AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS spot, count(*) OVER () AS m FROM tree WHERE n = 1),
+    tops AS (
+      SELECT 0 AS lvl, spot AS i, m AS n, subroot AS h FROM subs
+      UNION ALL
+      SELECT lvl + 1, i // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY lvl, i // 2),
+    steps AS (
+      SELECT r, 0 AS tier, t.lvl, t.i, s.h AS sib
+      FROM p JOIN tree t ON t.lang IS NOT DISTINCT FROM p.lang AND t.n > 1 AND t.i = p.pos >> t.lvl
+        LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM t.lang AND s.lvl = t.lvl AND s.i = xor(t.i, 1)
+      UNION ALL
+      SELECT r, 1, t.lvl, t.i, s.h
+      FROM p JOIN subs ON subs.lang IS NOT DISTINCT FROM p.lang JOIN tops t ON t.n > 1 AND t.i = spot >> t.lvl
+        LEFT JOIN tops s ON s.lvl = t.lvl AND s.i = xor(t.i, 1)),
+    way AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY tier, lvl) AS step FROM steps),
+    climb AS (
+      SELECT r, 0 AS step, coalesce(forged, leaf) AS h FROM l
+      UNION ALL
+      SELECT c.r, w.step, sha256(CASE WHEN sib IS NULL THEN c.h WHEN i % 2 = 1 THEN sib || c.h ELSE c.h || sib END)
+      FROM climb c JOIN way w ON w.r = c.r AND w.step = c.step + 1),
+    ends AS (SELECT r, arg_max(h, step) AS folded_root FROM climb GROUP BY r),
+    proofs AS (SELECT r, string_agg(sib, '' ORDER BY step) AS sibs FROM way GROUP BY r),
+    top AS (SELECT h AS root FROM tops WHERE n = 1)
+    SELECT doc_id, leaf, subroot, root, sha256(coalesce(sibs, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+    FROM p JOIN subs ON subs.lang IS NOT DISTINCT FROM p.lang JOIN ends USING (r) LEFT JOIN proofs USING (r), top
+    """,
+)
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    bad = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.verified_manifest(
+        table(spark, folder, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", bad, {"n_chars": F.col("n_chars").cast("bigint") + 1}
+    )
