@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from folioflow.llm import decontaminate, exact, katz, merkle, near, packing, pii, quality, repeats, shards, tokens
+from folioflow.llm import decontaminate, exact, katz, merkle, mixing, near, packing, pii, quality, repeats, shards, tokens, whitening
 from folioflow.llm.common import table
 from folioflow.session import work_dir
 
@@ -193,3 +193,48 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.verified_manifest(
         table(spark, folder, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", bad, {"n_chars": F.col("n_chars").cast("bigint") + 1}
     )
+
+
+@query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"), most=4)
+
+
+@query(
+    "op13_source_mix",
+    r"""
+    WITH w AS (
+      SELECT doc_id, max(CASE WHEN quality = 1 THEN 2.0::DOUBLE ELSE 0.5::DOUBLE END) AS weight FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+    d AS (
+      SELECT row_number() OVER () AS r, d.doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        -ln((CAST('0x' || substr(sha256('13:' || coalesce(CAST(d.doc_id AS VARCHAR), '-') || ':' || sha256(coalesce(text, ''))), 1, 13) AS BIGINT) + 1)
+          / 4503599627370496.0::DOUBLE) / coalesce(weight, 1.0) AS draw
+      FROM documents d LEFT JOIN w ON w.doc_id = d.doc_id),
+    s AS (
+      SELECT source, sum(size)::BIGINT AS source_size,
+        CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+      FROM d GROUP BY 1),
+    -- Sources become full in the order of cap over weight: those before one, and it itself, at the level it would be full at.
+    f AS (
+      SELECT *, coalesce(sum(3 * source_size) OVER before, 0) AS given, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS open,
+        sum(source_size) OVER () AS whole
+      FROM s WINDOW before AS (ORDER BY 3.0 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    g AS (SELECT *, (whole - given) * weight > 3 * source_size * open AS is_full FROM f),
+    h AS (SELECT coalesce(sum(CASE WHEN is_full THEN 3 * source_size END), 0) AS given, sum(CASE WHEN NOT is_full THEN weight END) AS open FROM g),
+    t AS (
+      SELECT source, source_size,
+        CASE WHEN is_full THEN CAST(3 * source_size AS DOUBLE) ELSE CAST((whole - h.given) * weight AS DOUBLE) / CAST(h.open AS DOUBLE) END AS target
+      FROM g, h),
+    b AS (SELECT *, least(CAST(round(target) AS BIGINT), 3 * source_size) AS budget FROM t),
+    e AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs FROM b),
+    c AS (
+      SELECT d.*, source_size, target, epochs, budget - epochs * source_size AS rest,
+        coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM d JOIN e ON e.source IS NOT DISTINCT FROM d.source)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(epochs * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM c
+    """,
+)
+def source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    good = table(spark, folder, "labels").filter("quality IS NOT NULL").select("doc_id", F.when(F.col("quality") == 1, 2.0).otherwise(0.5).alias("weight"))
+    found = mixing.mixed(table(spark, folder, "documents"), weights=(5, 2, 1), most=3, quality=good)
+    return found.select("doc_id", "size", "source_size", "target", "taken")
