@@ -1,6 +1,6 @@
-"""Raw wiki pages to article and author documents, in one lazy plan.
+"""Raw wiki pages to article and author documents.
 
-What other tables know about a page is first gathered by key on narrow rows. The page text is
+What other tables know about a page is first gathered by key on narrow rows, which are written once. The page text is
 joined to these facts once and tokenized after that, so neither tokens nor bodies are shuffled.
 """
 
@@ -173,15 +173,18 @@ def page_links(pages: DataFrame) -> DataFrame:
 
 def build_authors(
     pages: DataFrame, members: DataFrame, revisions: DataFrame, sources: DataFrame,
-    edges: DataFrame, guide=(), site: Site | None = None, migration: bool = False,
+    edges: DataFrame | None, guide=(), site: Site | None = None, migration: bool = False, counts: DataFrame | None = None,
 ) -> DataFrame:
     """Author documents. `article_titles` holds all titles that link to the author, `n_articles` their number;
-    `links.author_titles` has the same as rows.
+    `links.author_titles` has the same as rows. With `counts` (target, n_articles) in place of `edges` the list stays empty.
     """
     df = build_pages(pages, members, revisions, sources, guide, site, migration, where="is_author")
-    wanted = pages.select(F.col("url_title").alias("target"))
-    lists = links.whole_lists(links.backlink_lists(edges.join(wanted, "target", "left_semi")))
-    titles = lists.select(F.col("target").alias("url_title"), F.col("titles").alias("article_titles"), F.col("n").alias("n_articles"))
+    if counts is None:
+        wanted = pages.select(F.col("url_title").alias("target"))
+        lists = links.whole_lists(links.backlink_lists(edges.join(wanted, "target", "left_semi")))
+        titles = lists.select(F.col("target").alias("url_title"), F.col("titles").alias("article_titles"), F.col("n").alias("n_articles"))
+    else:
+        titles = counts.select(F.col("target").alias("url_title"), F.lit(None).cast(NO_STRINGS).alias("article_titles"), "n_articles")
     return df.join(titles, "url_title", "left").select(
         "url_title", "public", "published", F.col("lastmod").alias("modified"), "mw_api_url",
         "title_sort", "title", "body",

@@ -18,7 +18,7 @@ from folioflow.operators.topics import build_terms
 from folioflow.plans import build
 from folioflow.session import cut, work_dir
 from folioflow.settings import Site
-from folioflow.sources import sinks
+from folioflow.sources import linkindex, sinks
 from folioflow.sources.readers import parse_pages
 
 
@@ -83,10 +83,10 @@ def _write(spark, path, key, posted, gone, dryrun) -> DataFrame:
     """Upsert and delete by key; returns the keys that did not arrive."""
     if dryrun:
         return posted.select(key).limit(0)
-    sinks.save_docs(spark, path, posted, key, schema=posted.schema)
-    if gone is not None:
-        sinks.remove_docs(spark, path, gone, key, schema=posted.schema, confirm=True)
-    return sinks.verify_published(posted, sinks.read_table(spark, path, f"{key} string"), key)
+    # One pass over each touched bucket, which counts what it writes: it raises if a row did not arrive.
+    sinks.apply_changes(spark, path, sinks.change_set(posted, gone, [key]), key, schema=posted.schema)
+    lost = posted.select(key) if gone is None else posted.select(key).join(gone.select(key), key, "left_anti")
+    return sinks.verify_published(lost, sinks.read_table(spark, path, f"{key} string"), key)
 
 
 def publish_articles(
@@ -116,19 +116,46 @@ def publish_articles(
     return Outcome(changes, posted, unpublished, missing, errors)
 
 
+def move_links(spark: SparkSession, wiki: Wiki, links_path: str) -> linkindex.Moves:
+    """Bring the edges of the link index at `links_path` up to the wiki's pages; `linkindex.settle` ends the refresh.
+
+    Only pages that are new or changed since they were last indexed are read. Pages without a revision are read once.
+    """
+    keys = (wiki.raw if wiki.raw is not None else wiki.pages).select(F.col("url_title").alias("source")).distinct()
+    newest = diff.latest_revision(wiki.revisions).withColumnRenamed("title", "source")
+    changes = _staged(spark, linkindex.changed(spark, links_path, keys.join(newest, "source", "left")), "link-changes")
+    wanted = _wanted(spark, wiki, diff.to_update(changes).select(F.col("source").alias("url_title")))
+    return linkindex.move(spark, links_path, changes, build.page_links(wanted))
+
+
 def publish_authors(
     spark: SparkSession, wiki: Wiki, path: str, guide=(), site: Site | None = None,
     force: bool = False, title: str | None = None, dryrun: bool = False, apply_deletes: bool = False,
+    links_path: str | None = None,
 ) -> Outcome:
-    """Bring the author table up to date; every author page counts as publishable."""
+    """Bring the author table up to date; every author page counts as publishable.
+
+    With `links_path`, a link index (`linkindex.create`), the index is refreshed first and the authors whose links changed
+    are worked on too; documents then hold the number of titles and an empty list, and `linkindex.titles` has the titles as
+    rows. Without it the links of all pages are read and every document holds its whole list. A dry run leaves the index alone.
+    """
     stored = sinks.read_table(spark, path, STORED_PAGE)
     authors = diff.published_authors(wiki.members)
     published = diff.published_pages(wiki.members, wiki.revisions)
     changes = _staged(spark, diff.authors_to_update(authors, published, stored.select(F.col("url_title").alias("title"), "modified")), "changes")
     plan = _planned(changes, stored.select(F.col("url_title").alias("title")), "title", force, title)
+    counts = edges = moves = None
+    if links_path is None:
+        edges = links.backlinks(build.page_links(wiki.pages))
+    else:
+        if not dryrun:
+            moves = move_links(spark, wiki, links_path)
+            moved = moves.edges.select(F.col("target").alias("title")).distinct()
+            known = changes.filter(F.col("change") != diff.DELETED).select("title")
+            plan = _staged(spark, plan.union(moved.join(known, "title", "left_semi")).distinct(), "plan")
+        counts = linkindex.edges_to(spark, links_path, plan.select(F.col("title").alias("target"))).groupBy("target").agg(F.count("*").alias("n_articles"))
     wanted = _wanted(spark, wiki, plan.select(F.col("title").alias("url_title")))
-    edges = links.backlinks(build.page_links(wiki.pages))
-    built = build.build_authors(wanted, wiki.members, wiki.revisions, wiki.sources, edges, guide, site)
+    built = build.build_authors(wanted, wiki.members, wiki.revisions, wiki.sources, edges, guide, site, counts=counts)
     docs = _staged(spark, built, "authors")
     gone = None
     if apply_deletes:
@@ -137,6 +164,9 @@ def publish_authors(
     missing = plan.select(F.col("title").alias("url_title")).join(docs.select("url_title"), "url_title", "left_anti")
     missing = _staged(spark, missing, "missing")
     errors = _write(spark, path, "url_title", docs, gone, dryrun)
+    if moves is not None:
+        # Only now: a job that stops before works on the same authors again.
+        linkindex.settle(spark, links_path, moves)
     return Outcome(changes, docs, docs.select("url_title").limit(0), missing, errors)
 
 

@@ -5,12 +5,20 @@ upsert or a delete reads and rewrites only the folders that its keys fall into,
 dynamic partition overwrite: task output is staged and swapped in when the job commits, so a lost
 executor costs a task retry and never a half-written table. The number of buckets is chosen when
 the table is made and found again in its folder names.
+
+`apply_changes` takes one table of puts and removals and rewrites each touched bucket once. The change set is first
+written beside the table, and stays there until the buckets are swapped in: a job that was stopped anywhere after that
+is finished by the next call, or by `recover`, and gives the same table.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +28,12 @@ from folioflow.session import estimated_bytes
 BUCKETS = 32
 PLACE = ["buckets", "bucket"]
 
+# What a change set says of a key.
+PUT, REMOVE = "put", "remove"
+
+# Folder of change sets inside a table; readers pass over names that begin so.
+CHANGES = "_changes"
+
 
 def upsert(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """`target` with `rows` put in by key; a row replaces the whole old document."""
@@ -90,6 +104,24 @@ def _buckets_for(df: DataFrame) -> int:
     return max(BUCKETS, size // (512 * 1024 * 1024))
 
 
+def bucket_count(spark: SparkSession, path: str) -> int:
+    """Number of buckets of the table at `path`."""
+    return _bucket_count(spark, path)
+
+
+def create_empty(spark: SparkSession, path: str, buckets: int = BUCKETS) -> None:
+    """A new table without rows; the number of its buckets is in its folder's name. A path that holds a table is refused."""
+    files, location = _folder(spark, path)
+    if files.exists(location) and any(e.getPath().getName().startswith("buckets=") for e in files.listStatus(location)):
+        raise ValueError(f"there is a table at {path}")
+    files.mkdirs(_folder(spark, f"{path}/buckets={buckets}")[1])
+
+
+def read_buckets(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table with its columns `buckets` and `bucket`: a filter on them reads only the folders it names."""
+    return _stored(spark, path, schema)
+
+
 def _stored(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """The table with its place columns. Files written at different times may differ in columns,
     so without a schema the columns of all files are put together.
@@ -162,3 +194,135 @@ def remove_docs(
         if number not in left:
             files, folder = _folder(spark, f"{path}/buckets={count}/bucket={number}")
             files.delete(folder, True)
+
+
+@dataclass(frozen=True)
+class Applied:
+    """What a change set did: rows put, keys asked to be removed, buckets rewritten, rows these hold now."""
+
+    put: int
+    removed: int
+    buckets: int
+    rows: int
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    """Bucket of a row by a hash of its key columns."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def change_set(put: DataFrame | None, remove: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Rows to put and keys to remove as one table with a column `op`."""
+    parts = []
+    if put is not None:
+        parts.append(put.withColumn("op", F.lit(PUT)))
+    if remove is not None:
+        parts.append(remove.select(*keys, F.lit(REMOVE).alias("op")))
+    if not parts:
+        raise ValueError("a change set needs rows to put or keys to remove")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+def apply_changes(
+    spark: SparkSession, path: str, changes: DataFrame, keys: str | list[str], schema: str | T.StructType | None = None,
+    files_per_bucket: int = 1, place=bucket_of,
+) -> Applied:
+    """Bring the table at `path` up to date with `changes` (column `op`, see `change_set`); each touched bucket is written once.
+
+    `changes` is evaluated once. A key may be put once only; where it is also removed, the removal holds. `place` (key
+    columns, number of buckets) gives a row's bucket and must be the same for a table's whole life. The columns of both
+    sides are kept. ValueError is raised if not all puts arrived.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    recover(spark, path, keys, schema, files_per_bucket)
+    count = _bucket_count(spark, path)
+    own = f"{path}/{CHANGES}/{uuid.uuid4().hex}"
+    changes.withColumns({"_buckets": F.lit(count), "_bucket": place(keys, count)}).write.parquet(own)
+    return _applied(spark, path, own, keys, schema, files_per_bucket)
+
+
+def recover(spark: SparkSession, path: str, keys: str | list[str], schema: str | T.StructType | None = None, files_per_bucket: int = 1) -> int:
+    """Apply again what a stopped job left beside the table; what it had not yet written in full is dropped. The number of
+    change sets applied."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    files, folder = _folder(spark, f"{path}/{CHANGES}")
+    if not files.exists(folder):
+        return 0
+    finished = 0
+    for entry in files.listStatus(folder):
+        own = entry.getPath().toString()
+        if files.exists(_folder(spark, f"{own}/_SUCCESS")[1]):
+            _applied(spark, path, own, keys, schema, files_per_bucket)
+            finished += 1
+        else:
+            files.delete(entry.getPath(), True)
+    return finished
+
+
+def _swap_in(rows: DataFrame, path: str, keys: list[str], files_per_bucket: int) -> None:
+    part = F.pmod(F.hash(*keys), F.lit(files_per_bucket))
+    spread = rows.repartition("bucket", part)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PLACE).parquet(path)
+
+
+def _without(rows: DataFrame, others: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that no other equals in `columns`; nulls are equal to each other."""
+    named = others.select(*[F.col(c).alias(f"_other_{c}") for c in columns])
+    return rows.join(named, [F.col(c).eqNullSafe(F.col(f"_other_{c}")) for c in columns], "left_anti")
+
+
+def _applied(spark: SparkSession, path: str, own: str, keys: list[str], schema, files_per_bucket: int) -> Applied:
+    changes = spark.read.parquet(own).withColumnsRenamed({"_buckets": "buckets", "_bucket": "bucket"})
+    place = [*PLACE, *keys]
+    # Each key once, with what is said of it; one row per bucket reaches the driver.
+    said = changes.groupBy(*place).agg(F.count_if(F.col("op") == PUT).alias("puts"), F.count_if(F.col("op") == REMOVE).alias("removals"))
+    sums = said.groupBy("bucket").agg(
+        F.max("puts").alias("most"), F.count_if(F.expr("puts > 0 AND removals = 0")).alias("put"), F.count_if(F.expr("removals > 0")).alias("removed"), F.count_if(F.expr("puts > 0 AND removals > 0")).alias("both")
+    )
+    touched = {r["bucket"]: r for r in sums.collect()}
+    put, removed = sum(r["put"] for r in touched.values()), sum(r["removed"] for r in touched.values())
+    files, folder = _folder(spark, own)
+    count = _bucket_count(spark, path)
+    if any(r["most"] > 1 for r in touched.values()):
+        files.delete(folder, True)
+        raise ValueError(f"a change set puts a key ({', '.join(keys)}) more than once")
+    rows = 0
+    if touched:
+        puts = changes.filter(F.col("op") == PUT).drop("op")
+        if any(r["both"] for r in touched.values()):
+            puts = _without(puts, changes.filter(F.col("op") == REMOVE), place)
+        try:
+            old = _stored(spark, path, schema)
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            old = _stored(spark, path, puts.schema)  # a table without files
+        old = old.filter(F.col("bucket").isin(list(touched)))
+        kept = _without(old, changes, place).withColumn("_put", F.lit(0))
+        both = kept.unionByName(puts.withColumn("_put", F.lit(1)), allowMissingColumns=True)
+        # The pass that writes also counts, and marks the buckets that keep rows, 62 to a number.
+        seen, numbers = Observation(), sorted(touched)
+        place_of = F.array_position(F.array(*map(F.lit, numbers)), F.col("bucket")).cast("int") - 1
+        marks = [
+            F.coalesce(F.bit_or(F.when(F.floor(place_of / 62) == w, F.call_function("shiftleft", F.lit(1).cast("bigint"), place_of % 62)).otherwise(0)), F.lit(0)).alias(f"w{w}")
+            for w in range((len(numbers) + 61) // 62)
+        ]
+        counted = both.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_put"), F.lit(0)).alias("put"), *marks).drop("_put")
+        _swap_in(counted, path, keys, files_per_bucket)
+        try:
+            found = seen.get
+        except Py4JJavaError:
+            # A plan that turns out empty while it runs reports no counts.
+            if put:
+                raise
+            found = {"rows": 0, "put": 0, **{f"w{w}": 0 for w in range(len(marks))}}
+        rows = found["rows"]
+        if found["put"] != put:
+            raise ValueError(f"{put} rows were to be put, {found['put']} were written")
+        for i, number in enumerate(numbers):
+            # Dynamic overwrite leaves a folder alone when no row is left for it.
+            if not found[f"w{i // 62}"] >> (i % 62) & 1:
+                store, bucket = _folder(spark, f"{path}/buckets={count}/bucket={number}")
+                store.delete(bucket, True)
+    files.delete(folder, True)
+    return Applied(put, removed, len(touched), rows)

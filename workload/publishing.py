@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioflow.operators import diff, links
 from folioflow.plans import build, publish
 from folioflow.session import work_dir
-from folioflow.sources import schemas, sinks
+from folioflow.sources import linkindex, schemas, sinks
 from folioflow.streaming import refresh
 from workload import media, topics, wiki
 from workload.registry import query, table
@@ -93,6 +93,60 @@ def publish_authors(spark, sf):
     return spark.read.schema(schemas.AUTHOR).parquet(path).select("url_title", "modified", "title_sort")
 
 
+def linked_wiki(spark, sf):
+    """The wiki with links that lead to its own pages."""
+    w = wiki.wiki(spark, sf)
+    number = F.substring_index("url_title", "_", -1).cast("int")
+    own = F.transform("links", lambda x: F.struct(x["ns"].alias("ns"), F.concat(F.lit("Page_"), number + F.length(x["*"]) + 1).alias("*")))
+    return publish.Wiki(w.pages.withColumn("links", own), w.members, w.revisions, w.sources)
+
+
+def older_links(spark, sf, w, path):
+    """A link index that is behind: a third of the pages had other links, a third is not in it, and pages that are gone are."""
+    third = F.pmod(F.substring_index("source", "_", -1).cast("int"), F.lit(3))
+    edges = build.page_links(w.pages).filter(third < 2)
+    shifted = F.concat(F.lit("Page_"), F.substring_index("target", "_", -1).cast("int") + 1)
+    edges = edges.withColumn("target", F.when(third == 0, shifted).otherwise(F.col("target")))
+    gone = w.members.filter("category = 'Authors'").select(F.concat(F.lit("Gone_"), "title").alias("source"), F.col("title").alias("target"))
+    keys = w.pages.select(F.col("url_title").alias("source")).filter(third < 2)
+    newest = diff.latest_revision(w.revisions).withColumnRenamed("title", "source")
+    old = F.lit("1899-01-01 00:00:00").cast("timestamp_ntz")
+    current = keys.join(newest, "source", "left").withColumn("lastmod", F.when(third == 0, old).otherwise(F.col("lastmod")))
+    linkindex.create(spark, path, buckets=16)
+    current = current.unionByName(gone.select("source", old.alias("lastmod")))
+    linkindex.refresh(spark, path, linkindex.changed(spark, path, current), edges.unionByName(gone))
+
+
+@query(
+    "author_titles",
+    AUTHORS + """SELECT target, row_number() OVER (PARTITION BY target ORDER BY source) - 1 AS pos, source FROM l
+                 WHERE target IN (SELECT title FROM pub WHERE title IN (SELECT title FROM auth))""",
+)
+def author_titles(spark, sf):
+    """Who links to each published author, from a link index that the author job keeps up to date."""
+    path, links_path = work_dir(spark, "author-table"), work_dir(spark, "link-index")
+    w = linked_wiki(spark, sf)
+    stored_pages(spark, sf, path)
+    older_links(spark, sf, w, links_path)
+    publish.publish_authors(spark, w, path, apply_deletes=True, links_path=links_path)
+    return linkindex.titles(spark, links_path, sinks.read_table(spark, path, "url_title string").withColumnRenamed("url_title", "target"))
+
+
+@query(
+    "author_link_counts",
+    AUTHORS + """SELECT p.title AS url_title, count(source) AS n_articles FROM pub p LEFT JOIN l ON target = p.title
+                 WHERE p.title IN (SELECT title FROM auth) GROUP BY 1""",
+)
+def author_link_counts(spark, sf):
+    """Author documents made from the link index: they hold the number of titles and no list."""
+    path, links_path = work_dir(spark, "author-table"), work_dir(spark, "link-index")
+    w = linked_wiki(spark, sf)
+    sinks.create_empty(spark, path)
+    older_links(spark, sf, w, links_path)
+    publish.publish_authors(spark, w, path, links_path=links_path)
+    return sinks.read_table(spark, path, "url_title string, n_articles bigint")
+
+
 SOURCES = media.STORED + """, old AS (SELECT encyclopedia_id, CASE WHEN display = '' THEN modified ELSE modified - INTERVAL 1 DAY END AS modified
                                        FROM src WHERE original <> ''),
   todo AS (SELECT s.encyclopedia_id FROM src s LEFT JOIN old o USING (encyclopedia_id) WHERE o.modified IS NULL OR s.modified > o.modified)"""
