@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioflow.functions import media as X
 from folioflow.functions.dates import lenient_ts, record_text
 from folioflow.functions.text import fix_external_url, none_strip, str_to_bool
+from folioflow.operators.diff import latest_per_key
 from folioflow.settings import Site
 from folioflow.sources.schemas import SOURCE_EXPORT_FIELDS
 
@@ -45,6 +46,29 @@ def build_sources(records: DataFrame, site: Site | None = None) -> DataFrame:
     return records.select(*[c.alias(n) for n, c in columns.items()])
 
 
+def newest_keys(records: DataFrame) -> DataFrame:
+    """(encyclopedia_id, modified, psms_id) of the newest record of each source, from these columns alone."""
+    places = records.select(
+        "encyclopedia_id", F.struct(lenient_ts("modified").alias("modified"), F.col("id").try_cast("bigint").alias("psms_id")).alias("place")
+    )
+    return places.groupBy("encyclopedia_id").agg(F.max("place").alias("place")).select("encyclopedia_id", "place.*")
+
+
+def newest_sources(records: DataFrame, newest: DataFrame, site: Site | None = None) -> DataFrame:
+    """Documents of the sources in `newest` (rows of `newest_keys`), one for each.
+
+    Records are matched by key and place before anything is made of them: only those that will be documents are built, and
+    of several at the same place one is taken.
+    """
+    own = newest.select(F.col("encyclopedia_id").alias("_key"), F.col("modified").alias("_modified"), F.col("psms_id").alias("_id"))
+    same = (
+        (F.col("encyclopedia_id") == F.col("_key"))
+        & lenient_ts("modified").eqNullSafe(F.col("_modified"))
+        & F.col("id").try_cast("bigint").eqNullSafe(F.col("_id"))
+    )
+    return latest_per_key(build_sources(records.join(own, same, "left_semi"), site), "encyclopedia_id", ["modified", "psms_id"])
+
+
 def unreadable_sources(records: DataFrame) -> DataFrame:
     """Records set aside because a value cannot be read, with the reason."""
     reason = (

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.flags import publishable
 from folioflow.operators import diff, links
-from folioflow.operators.media import build_sources, transfer_plan
+from folioflow.operators.media import newest_keys, newest_sources, transfer_plan
 from folioflow.operators.topics import build_terms
 from folioflow.plans import build
 from folioflow.session import cut, work_dir
@@ -176,15 +176,16 @@ def publish_sources(
 ) -> Outcome:
     """Bring the source table up to date and plan the transfer of its files.
 
-    Sources without an id are passed over. `files` lists the files there are.
+    Sources without an id are passed over. `files` lists the files there are. What changed is found from keys and times
+    alone; records are built once they are known to be wanted.
     """
     key = "encyclopedia_id"
-    sources = diff.latest_per_key(build_sources(records, site), key, ["modified", "psms_id"])
+    newest = _staged(spark, newest_keys(records), "newest")
     stored = sinks.read_table(spark, path, f"{key} string, modified timestamp_ntz")
-    changes = _staged(spark, diff.sources_to_update(sources, stored), "changes")
-    everything = sources if force else stored
+    changes = _staged(spark, diff.sources_to_update(newest, stored), "changes")
+    everything = newest if force else stored
     plan = _planned(changes, everything, key, force, source_id).filter(F.coalesce(key, F.lit("")) != "")
-    docs = _staged(spark, sources.join(plan, key, "left_semi"), "sources")
+    docs = _staged(spark, newest_sources(records, newest.join(plan, key, "left_semi"), site), "sources")
     posted = docs.filter(F.coalesce("published", F.lit(False)))
     unpublished = docs.filter(~F.coalesce("published", F.lit(False))).select(key).join(stored.select(key), key, "left_semi")
     gone = unpublished = _staged(spark, unpublished, "unpublished")
