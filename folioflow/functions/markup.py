@@ -220,9 +220,23 @@ def _elements(tokens: str, test) -> str:
     return f"filter({tokens}, t -> {test('t')})"
 
 
-def _inside(tokens: str, element: str) -> str:
-    """Tokens between an element's start and end."""
-    return f"filter({tokens}, t -> t.pos > {element}.pos AND t.pos < {element}.last)"
+# A page's tokens stay where they are: token `pos` is the `pos`th of its array (from 0), also after steps that take elements
+# out or put markup in. So a stretch of a page is a slice, and no step looks at every token for each element.
+
+
+def _slice(tokens: str, first: str, end: str) -> str:
+    """Tokens from position `first` up to, not including, `end`."""
+    return f"slice({tokens}, {first} + 1, greatest(0, {end} - ({first})))"
+
+
+def _inside(tokens: str, element: str, offset: str = "0") -> str:
+    """Tokens between an element's start and end; `offset` is the position of the first token of `tokens`."""
+    return _slice(tokens, f"{element}.pos + 1 - {offset}", f"{element}.last - {offset}")
+
+
+def between(tokens: str, before: str, behind: str) -> str:
+    """Tokens after position `before` and before position `behind`, as SQL."""
+    return _slice(tokens, f"{before} + 1", f"least({behind}, size({tokens}))")
 
 
 def _render(tokens: str) -> str:
@@ -264,8 +278,8 @@ def byline_names(tokens: str) -> Column:
     bylines = _elements(tokens, lambda t: f"{is_start(t, 'div')} AND {t}.attrs['id'] = 'authorByline'")
     links = f"""flatten(transform({bylines}, b -> filter({_inside(tokens, 'b')},
                                                        t -> {is_start('t', 'a')} AND t.last > t.pos + 1)))"""
-    child = f"filter({tokens}, t -> t.pos = link.pos + 1)[0]"
-    whole = f"filter({tokens}, t -> t.pos >= child.pos AND t.pos <= child.last)"
+    child = f"get({tokens}, link.pos + 1)"
+    whole = _slice(tokens, "child.pos", "child.last + 1")
     first = let("child", child, f"CASE WHEN child.kind = 'text' THEN child.text ELSE {_render(whole)} END")
     return F.expr(f"transform({links}, link -> {first})")
 
@@ -273,7 +287,7 @@ def byline_names(tokens: str) -> Column:
 def citation_texts(tokens: str) -> str:
     """First text of each citation div, as SQL."""
     divs = _elements(tokens, lambda t: f"{is_start(t, 'div')} AND {t}.attrs['id'] = 'citationAuthor'")
-    first = f"filter({tokens}, t -> t.pos = d.pos + 1 AND t.kind = 'text')"
+    first = f"filter({_slice(tokens, 'd.pos + 1', 'd.pos + 2')}, t -> t.kind = 'text')"
     return f"flatten(transform({divs}, d -> transform({first}, t -> t.text)))"
 
 
@@ -304,7 +318,7 @@ def _databox_texts(tokens: str, ids=None) -> str:
             lambda t: f"{is_start(t, 'div')} AND contains({t}.attrs['id'], 'databox') AND {t}.attrs['style'] = 'display:none;'",
         )
     paragraph = f"try_element_at({_elements('body', lambda t: is_start(t, 'p'))}, 1)"
-    text = let("body", _inside(tokens, "box"), let("p", paragraph, f"if(p IS NULL, NULL, {_render(_inside('body', 'p'))})"))
+    text = let("body", _inside(tokens, "box"), let("p", paragraph, f"if(p IS NULL, NULL, {_render(_inside('body', 'p', 'body[0].pos'))})"))
     return f"transform({found}, box -> named_struct('databox', box.attrs['id'], 'text', {text}))"
 
 
@@ -401,25 +415,53 @@ def mark_links(tokens: str, base: str, guide: str) -> Column:
     return F.expr(f"transform({tokens}, t -> CASE WHEN {is_start('t', 'a')} AND {href} IS NOT NULL THEN {marked} ELSE t END)")
 
 
-def _inserted(pos: str, raw: str) -> str:
-    """A piece of markup that belongs to the place `pos` but is no element of its own."""
-    return f"""named_struct('pos', {pos}, 'kind', '{OTHER}', 'tag', cast(NULL AS string), 'attrs', cast(NULL AS map<string, string>),
-                            'classes', cast(NULL AS array<string>), 'raw', {raw}, 'text', cast(NULL AS string), 'last', {pos}, 'parent', -1)"""
+def _piece(kind: str, raw: str) -> str:
+    """A token of its own that is no element and nothing else has to do with."""
+    return f"""named_struct('pos', -1, 'kind', '{kind}', 'tag', cast(NULL AS string), 'attrs', cast(NULL AS map<string, string>),
+                            'classes', cast(NULL AS array<string>), 'raw', {raw}, 'text', cast(NULL AS string), 'last', -1, 'parent', -1)"""
+
+
+def _rewrite(t: str, raw: str) -> str:
+    """A token with other markup."""
+    return f"""named_struct('pos', {t}.pos, 'kind', {t}.kind, 'tag', {t}.tag, 'attrs', {t}.attrs, 'classes', {t}.classes,
+                            'raw', {raw}, 'text', {t}.text, 'last', {t}.last, 'parent', {t}.parent)"""
+
+
+def _at(tokens: str, places: str, changed: str) -> str:
+    """Tokens with those at `places` (an array of rising positions) changed; `changed` says how, of token `t`."""
+    following = f"coalesce(get(places, i + 1), size({tokens}))"
+    parts = f"""transform(places, (p, i) -> concat(transform({_slice(tokens, 'p', 'p + 1')}, t -> {changed}), {_slice(tokens, 'p + 1', following)}))"""
+    return let("places", places, f"if(size(places) = 0, {tokens}, concat({_slice(tokens, '0', 'places[0]')}, flatten({parts})))")
 
 
 # --- removing elements ----------------------------------------------------------------------
 
+# What is left of a removed token: it keeps its place in the array.
+GONE = "gone"
+
 
 def _spans(tokens: str, *tests) -> str:
-    """Places of the elements that pass one of the tests."""
+    """Places of the outermost of the elements that pass one of the tests, in order."""
     chosen = " OR ".join(f"coalesce({test('t')}, false)" for test in tests)
-    return f"transform(filter({tokens}, t -> t.kind = 'start' AND ({chosen})), t -> named_struct('pos', t.pos, 'last', t.last))"
+    all_ = f"transform(filter({tokens}, t -> t.kind = 'start' AND ({chosen})), t -> named_struct('pos', t.pos, 'last', t.last))"
+    # One sweep with the end of the current span as state.
+    start = "named_struct('end', -1, 'kept', cast(array() AS array<struct<pos: int, last: int>>))"
+    sweep = f"aggregate({all_}, {start}, (found, s) -> if(s.last <= found.end, found, named_struct('end', s.last, 'kept', array_append(found.kept, s))))"
+    return f"{sweep}.kept"
+
+
+def _without(tokens: str, spans: str, note: str | None = None) -> str:
+    """Tokens with nothing, or with `note`, where the spans were."""
+    nothing = f"array_repeat({_piece(GONE, literal(''))}, s.last - s.pos{' + 1' if note is None else ''})"
+    instead = nothing if note is None else f"concat(array({_piece(OTHER, note)}), {nothing})"
+    following = f"coalesce(get(gone, i + 1).pos, size({tokens}))"
+    parts = f"transform(gone, (s, i) -> concat({instead}, {_slice(tokens, 's.last + 1', following)}))"
+    return let("gone", spans, f"if(size(gone) = 0, {tokens}, concat({_slice(tokens, '0', 'gone[0].pos')}, flatten({parts})))")
 
 
 def drop(tokens: str, *tests) -> Column:
-    """Tokens less every element that passes one of the tests, with all it holds."""
-    kept = f"filter({tokens}, t -> NOT exists(gone, g -> t.pos BETWEEN g.pos AND g.last))"
-    return F.expr(let("gone", _spans(tokens, *tests), f"if(size(gone) = 0, {tokens}, {kept})"))
+    """Tokens less every element that passes one of the tests, with all it holds; what is gone leaves empty tokens."""
+    return F.expr(_without(tokens, _spans(tokens, *tests)))
 
 
 def empty_paragraph(tokens: str):
@@ -463,7 +505,7 @@ def source_image(tokens: str, source_ids: str):
     """Test for image links whose picture is one of the page's own media sources."""
 
     def test(t: str) -> str:
-        image = f"try_element_at(filter({tokens}, i -> {is_start('i', 'img')} AND i.pos > {t}.pos AND i.pos < {t}.last), 1)"
+        image = f"try_element_at(filter({_inside(tokens, t)}, i -> {is_start('i', 'img')}), 1)"
         named = let("src", f"{image}.attrs['src']", let("name", _image_id("src"), f"name <> '' AND array_contains({source_ids}, name)"))
         return f"{t}.tag = 'a' AND {has_class(t, 'image')} AND size({source_ids}) > 0 AND {named}"
 
@@ -479,13 +521,7 @@ def hide_tags(tokens: str, selector: str, comments: bool = True) -> Column:
 
     if not comments:
         return drop(tokens, chosen)
-    outermost = "filter(hits, h -> NOT exists(hits, o -> o.pos < h.pos AND o.last >= h.last))"
-    note = _inserted("t.pos", literal(f'<!--"{value}" removed-->'))
-    pieces = f"""filter(transform({tokens}, t ->
-        CASE WHEN exists(gone, g -> g.pos = t.pos AND t.kind = 'start') THEN {note}
-             WHEN NOT exists(gone, g -> t.pos BETWEEN g.pos AND g.last) THEN t END), t -> t IS NOT NULL)"""
-    gone = let("hits", _spans(tokens, chosen), outermost)
-    return F.expr(let("gone", gone, f"if(size(gone) = 0, {tokens}, {pieces})"))
+    return F.expr(_without(tokens, _spans(tokens, chosen), literal(f'<!--"{value}" removed-->')))
 
 
 # --- sections and top links -----------------------------------------------------------------
@@ -505,41 +541,37 @@ def section_bounds(tokens: str) -> Column:
     to the next header or the parent's end.
     """
     headlines = _elements(tokens, lambda t: f"{is_start(t, 'span')} AND {has_class(t, 'mw-headline')} AND {t}.parent >= 0")
-    headers = let(
-        "parents",
-        f"array_distinct(transform({headlines}, t -> t.parent))",
-        f"if(size(parents) = 0, slice({tokens}, 1, 0), filter({tokens}, t -> t.kind = 'start' AND array_contains(parents, t.pos)))",
-    )
-    span = f"try_element_at(filter({tokens}, t -> {is_start('t', 'span')} AND t.pos > h.pos AND t.pos < h.last), 1)"
-    following = f"filter({tokens}, t -> {is_start('t', *HEADERS)} AND t.parent = h.parent AND t.pos > h.last)"
-    outer = f"filter({tokens}, t -> t.kind = 'start' AND t.pos = h.parent)"
-    stop = f"coalesce(try_element_at({following}, 1).pos, try_element_at({outer}, 1).last, {_END_OF_PAGE})"
-    return F.expr(
-        f"""transform({headers}, h -> named_struct('start', h.pos, 'header_end', h.last, 'stop', {stop},
-                                                   'id', coalesce({span}.attrs['id'], '')))"""
-    )
+    parents = f"array_sort(array_distinct(transform({headlines}, t -> t.parent)))"
+    headers = f"filter(transform({parents}, p -> get({tokens}, p)), t -> t.kind = 'start')"
+    span = f"try_element_at(filter({_inside(tokens, 'h')}, t -> {is_start('t', 'span')}), 1)"
+    following = "filter(heads, t -> t.parent = h.parent AND t.pos > h.last)"
+    outer = f"if(h.parent < 0, NULL, get({tokens}, h.parent))"
+    stop = f"coalesce(try_element_at({following}, 1).pos, {outer}.last, {_END_OF_PAGE})"
+    bounds = f"""transform({headers}, h -> named_struct('start', h.pos, 'header_end', h.last, 'stop', {stop},
+                                                        'id', coalesce({span}.attrs['id'], '')))"""
+    heads = f"transform({_elements(tokens, lambda t: is_start(t, *HEADERS))}, t -> named_struct('pos', t.pos, 'parent', t.parent))"
+    return F.expr(let("heads", heads, bounds))
 
 
 def wrap_sections(tokens: str, bounds: str) -> Column:
     """Put every section into a div, and what follows its header into a content div."""
     opening = f"""concat('<div class="section" id=', {_written('b.id')}, '>')"""
-    content = _inserted("t.pos", literal('<div class="section_content">'))
-    pieces = f"""concat(transform(filter({bounds}, b -> b.stop = t.pos), b -> {_inserted('t.pos', literal('</div></div>'))}),
-                        transform(filter({bounds}, b -> b.start = t.pos), b -> {_inserted('t.pos', opening)}),
-                        array(t),
-                        transform(filter({bounds}, b -> b.header_end = t.pos), b -> {content}))"""
-    ending = f"""transform(filter({bounds}, b -> b.stop = {_END_OF_PAGE}),
-                           b -> {_inserted(str(_END_OF_PAGE), literal('</div></div>'))})"""
-    return F.expr(f"if(size({bounds}) = 0, {tokens}, concat(flatten(transform({tokens}, t -> {pieces})), {ending}))")
+    closing, content = literal("</div></div>"), literal('<div class="section_content">')
+    closings = f"repeat({closing}, size(filter({bounds}, b -> b.stop = t.pos)))"
+    openings = f"array_join(transform(filter({bounds}, b -> b.start = t.pos), b -> {opening}), '')"
+    contents = f"repeat({content}, size(filter({bounds}, b -> b.header_end = t.pos)))"
+    edges = f"flatten(transform({bounds}, b -> array(b.start, b.header_end, b.stop)))"
+    places = f"array_sort(array_distinct(filter({edges}, p -> p < {_END_OF_PAGE})))"
+    wrapped = _at(tokens, places, _rewrite("t", f"concat({closings}, {openings}, t.raw, {contents})"))
+    ending = f"transform(filter({bounds}, b -> b.stop = {_END_OF_PAGE}), b -> {_piece(OTHER, closing)})"
+    return F.expr(f"if(size({bounds}) = 0, {tokens}, concat({wrapped}, {ending}))")
 
 
 def add_top_links(tokens: str) -> Column:
     """A link to the top before the third and every later h2, and one at the end."""
     places = f"filter(transform({_elements(tokens, lambda t: is_start(t, 'h2'))}, t -> t.pos), (pos, i) -> i >= 2)"
-    linked = f"""flatten(transform({tokens}, t -> CASE WHEN t.kind = 'start' AND array_contains(places, t.pos)
-                   THEN array({_inserted('t.pos', literal(TOP_LINK))}, t) ELSE array(t) END))"""
-    ending = _inserted(str(_END_OF_PAGE), literal(TOP_LINK))
-    return F.expr(f"concat({let('places', places, f'if(size(places) = 0, {tokens}, {linked})')}, array({ending}))")
+    linked = _at(tokens, places, _rewrite("t", f"concat({literal(TOP_LINK)}, t.raw)"))
+    return F.expr(f"concat({linked}, array({_piece(OTHER, literal(TOP_LINK))}))")
 
 
 # --- finished text --------------------------------------------------------------------------

@@ -126,8 +126,8 @@ def sections(tokens: DataFrame, key: str) -> DataFrame:
         key,
         F.col("section_no").cast("bigint").alias("section_no"),
         F.col("s.id").alias("section_id"),
-        M.plain_text("filter(tokens, t -> t.pos > s.start AND t.pos < s.header_end)").alias("heading"),
-        M.render("filter(tokens, t -> t.pos > s.header_end AND t.pos < s.stop)").alias("content"),
+        M.plain_text(M.between("tokens", "s.start", "s.header_end")).alias("heading"),
+        M.render(M.between("tokens", "s.header_end", "s.stop")).alias("content"),
     )
 
 
