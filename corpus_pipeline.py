@@ -11,6 +11,7 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioflow.llm import decontaminate, exact, near, packing, quality
 from folioflow.llm.common import staged, table
@@ -23,8 +24,17 @@ ORACLE_SQL = None
 def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the classifier, fitted on this collection and its labels, takes for good ones."""
     model = quality.train(docs, table(spark, folder, "labels"), held_out_fold=0)
-    rows = quality.scored(docs, model, threshold=0.3, score_col="_score", predicted_col="_good")
-    return rows.filter("_good = 1").select(*docs.columns)
+    score, good = (fresh(name, docs.columns) for name in ("_score", "_good"))
+    rows = quality.scored(docs, model, threshold=0.3, score_col=score, predicted_col=good)
+    return rows.filter(F.col(good) == 1).select(*docs.columns)
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """`name`, longer by underscores if a column has it; names differ by case to nobody."""
+    lower = {c.lower() for c in taken}
+    while name in lower:
+        name += "_"
+    return name
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
