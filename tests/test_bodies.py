@@ -14,10 +14,6 @@ def run(spark, html, *steps):
     return df.select(M.render("tokens")).first()[0]
 
 
-def flat(html):
-    return "".join(line.strip() for line in html.splitlines())
-
-
 @pytest.mark.parametrize(
     "html, expected",
     [
@@ -38,31 +34,34 @@ def test_tokens(spark, html, expected):
 
 
 def test_drop_titles(spark):
-    out = run(spark, "<p>BEFORE</p>\n<h1>HEADER <b>x</b></h1>\n<p>AFTER</p>", lambda t: M.drop(t, M.page_title))
-    assert flat(out) == "<p>BEFORE</p><p>AFTER</p>"
+    out = run(spark, '<div>Top<h1 id="t">A <i>page</i></h1></div><h2>kept</h2>', lambda t: M.drop(t, M.page_title))
+    assert out == "<div>Top</div><h2>kept</h2>"
 
 
 def test_drop_edit_links(spark):
-    out = run(spark, '<h2>HEADER<span class="mw-editsection">...</span></h2>', lambda t: M.drop(t, M.edit_link))
-    assert out == "<h2>HEADER</h2>"
+    html = '<h3>History <span class="small mw-editsection"><a href="/e">edit</a></span></h3><span class="plain">s</span>'
+    assert run(spark, html, lambda t: M.drop(t, M.edit_link)) == '<h3>History </h3><span class="plain">s</span>'
+
+
+def test_nested_removals(spark):
+    """An element inside a removed one, and one right behind it."""
+    html = '<p>a</p><div class="nopublish-encycfront">b<a class="new" href="/x">c</a><img></div><a class="new" href="/y">d</a>e'
+    assert run(spark, html, lambda t: M.drop(t, M.front_hidden, M.upload_link)) == "<p>a</p>e"
 
 
 def test_sections(spark):
-    html = "<p>BEFORE</p>" + "".join(
-        f'<h2><span id="{i}" class="mw-headline">HEADER{i}</span></h2>\n<p>blah</p>\n<p>blah</p>\n' for i in range(3)
-    ) + "<h2>HEADER2</h2>\n<p>AFTER</p>"
+    early = '<h2><span class="mw-headline" id="Early">Early <b>years</b></span></h2>'
+    sea = '<h3><span class="mw-headline" id="Sea">At sea</span></h3>'
+    html = f"<p>Intro.</p>{early}<ul><li>one</li></ul>{sea}<p>two</p><h4>Plain</h4><p>three</p>"
     df = bodies.with_tokens(spark.createDataFrame([("x", html)], "page string, html string"))
     df = df.withColumn("sections", M.section_bounds("tokens"))
     out = df.withColumn("tokens", M.wrap_sections("tokens", "sections")).select(M.render("tokens")).first()[0]
-    expected = "<p>BEFORE</p>" + "".join(
-        f'<div class="section" id="{i}"><h2><span id="{i}" class="mw-headline">HEADER{i}</span></h2>'
-        '<div class="section_content"><p>blah</p><p>blah</p></div></div>' for i in range(3)
-    ) + "<h2>HEADER2</h2><p>AFTER</p>"
-    assert flat(out) == expected
+    assert out == (
+        f'<p>Intro.</p><div class="section" id="Early">{early}<div class="section_content"><ul><li>one</li></ul></div></div>'
+        f'<div class="section" id="Sea">{sea}<div class="section_content"><p>two</p></div></div><h4>Plain</h4><p>three</p>'
+    )
     rows = bodies.sections(df, "page").orderBy("section_no").collect()
-    assert [(r.section_id, r.heading, flat(r.content)) for r in rows] == [
-        (str(i), f"HEADER{i}", "<p>blah</p><p>blah</p>") for i in range(3)
-    ]
+    assert [(r.section_id, r.heading, r.content) for r in rows] == [("Early", "Early years", "<ul><li>one</li></ul>"), ("Sea", "At sea", "<p>two</p>")]
 
 
 def test_sections_end_with_their_parent(spark):
