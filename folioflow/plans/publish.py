@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.flags import publishable
-from folioflow.operators import diff, links
+from folioflow.operators import diff, index, links
 from folioflow.operators.media import newest_keys, newest_sources, transfer_plan
 from folioflow.operators.topics import build_terms
 from folioflow.plans import build
@@ -51,6 +51,7 @@ class Outcome:
     could_not_post: DataFrame
     errors: DataFrame
     transfers: DataFrame | None = None
+    relinked: DataFrame | None = None
 
 
 def _planned(changes: DataFrame, stored: DataFrame, key: str, force: bool, only) -> DataFrame:
@@ -89,11 +90,27 @@ def _write(spark, path, key, posted, gone, dryrun) -> DataFrame:
     return sinks.verify_published(lost, sinks.read_table(spark, path, f"{key} string"), key)
 
 
+LINKS = "url_title string, prev_page string, next_page string"
+
+
+def stale_neighbours(spark: SparkSession, path: str, beside: DataFrame, keys: DataFrame) -> DataFrame:
+    """(url_title, prev_page, next_page) of the stored pages, other than `keys`, that stand beside other pages now:
+    `beside` (title, prev_page, next_page) has all published pages' neighbours. Titles and links alone are read."""
+    now = beside.select(F.col("title").alias("url_title"), F.col("prev_page").alias("_prev"), F.col("next_page").alias("_next"))
+    both = sinks.read_table(spark, path, LINKS).join(keys, "url_title", "left_anti").join(now, "url_title")
+    moved = ~F.col("prev_page").eqNullSafe(F.col("_prev")) | ~F.col("next_page").eqNullSafe(F.col("_next"))
+    return both.filter(moved).select("url_title", F.col("_prev").alias("prev_page"), F.col("_next").alias("next_page"))
+
+
 def publish_articles(
     spark: SparkSession, wiki: Wiki, path: str, guide=(), site: Site | None = None,
-    force: bool = False, title: str | None = None, dryrun: bool = False, apply_deletes: bool = False,
+    force: bool = False, title: str | None = None, dryrun: bool = False, apply_deletes: bool = False, relink: bool = False,
 ) -> Outcome:
-    """Bring the article table up to date; pages no longer publishable are taken out of it."""
+    """Bring the article table up to date; pages no longer publishable are taken out of it.
+
+    With `relink`, unchanged pages beside added or removed ones get their new neighbours too: their stored rows are taken
+    as they are, no text is read or built, and the links of the whole table are those of a full build.
+    """
     site = site or Site()
     stored = sinks.read_table(spark, path, STORED_PAGE)
     authors = diff.published_authors(wiki.members)
@@ -112,8 +129,16 @@ def publish_articles(
         gone = gone.unionByName(_staged(spark, stored.select("url_title").join(deleted, "url_title", "left_semi"), "deleted"))
     missing = plan.select(F.col("title").alias("url_title")).join(docs.select("url_title"), "url_title", "left_anti")
     missing = _staged(spark, missing, "missing")
-    errors = _write(spark, path, "url_title", posted, gone, dryrun)
-    return Outcome(changes, posted, unpublished, missing, errors)
+    relinked = None
+    if relink:
+        titles = wiki.members.filter((F.col("category") == "Authors") & ~F.col("is_category")).select("title").distinct()
+        beside = index.neighbours(index.articles_a_z(published, titles))
+        worked_on = docs.select("url_title").unionByName(gone)
+        moved = _staged(spark, stale_neighbours(spark, path, beside, worked_on), "neighbours")
+        old = sinks.read_keys(spark, path, moved, "url_title", docs.schema).drop("prev_page", "next_page")
+        relinked = _staged(spark, old.join(moved, "url_title").select(docs.columns), "relinked")
+    errors = _write(spark, path, "url_title", posted if relinked is None else posted.unionByName(relinked), gone, dryrun)
+    return Outcome(changes, posted, unpublished, missing, errors, relinked=relinked)
 
 
 def move_links(spark: SparkSession, wiki: Wiki, links_path: str) -> linkindex.Moves:

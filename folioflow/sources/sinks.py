@@ -122,6 +122,13 @@ def read_buckets(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return _stored(spark, path, schema)
 
 
+def read_keys(spark: SparkSession, path: str, keys: DataFrame, key: str, schema: str | T.StructType) -> DataFrame:
+    """The stored rows of the given keys; only the buckets that these fall into are read."""
+    numbers = _touched(keys.select(bucket_of([key], _bucket_count(spark, path)).alias("bucket")))
+    rows = _stored(spark, path, schema).filter(F.col("bucket").isin(numbers))
+    return rows.join(keys.select(key).distinct(), key, "left_semi").drop(*PLACE)
+
+
 def _stored(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """The table with its place columns. Files written at different times may differ in columns,
     so without a schema the columns of all files are put together.

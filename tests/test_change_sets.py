@@ -198,3 +198,32 @@ def test_author_job_with_index(spark, tmp_path, monkeypatch):
     links["P4"], times["P4"] = [], D(2020, 3, 1)
     publish.publish_authors(spark, author_wiki(spark, tmp_path, links, times), path, links_path=index, dryrun=True)
     assert ("Ann", "P4") in edges_of(spark, index)
+
+
+def test_neighbours_of_unchanged_pages(spark, tmp_path):
+    """Pages come and go between unchanged ones: the stored links are those of a full build, and only rows beside a change are written."""
+    names = [f"P{i:02}" for i in range(0, 40, 2)]
+
+    def at(titles, times=None):
+        pages = [page(t) for t in titles]
+        members = [("Published", t, False) for t in titles]
+        return make_wiki(spark, tmp_path / str(len(titles)), pages, members, [(t, (times or {}).get(t, D(2020, 1, 1))) for t in titles])
+
+    def links_of(path):
+        return {r.url_title: (r.prev_page, r.next_page) for r in sinks.read_table(spark, path, publish.LINKS).collect()}
+
+    path = str(tmp_path / "articles")
+    sinks.create_empty(spark, path, 64)
+    publish.publish_articles(spark, at(names), path)
+    later = sorted([n for n in names if n != "P10"] + ["P21", "P99"])
+    wiki = at(later, {"P30": D(2020, 5, 1)})
+    done = publish.publish_articles(spark, wiki, path, apply_deletes=True, relink=True)
+    assert {r.url_title for r in done.posted.collect()} == {"P21", "P99", "P30"}
+    # Beside the deleted, the added and the last page, and the first, whose neighbour is the last.
+    assert {r.url_title for r in done.relinked.collect()} == {"P08", "P12", "P20", "P22", "P38", "P00"}
+    whole = build.build_articles(wiki.pages, wiki.members, wiki.revisions, wiki.sources)
+    assert links_of(path) == {r.url_title: (r.prev_page, r.next_page) for r in whole.collect()}
+    again = publish.publish_articles(spark, wiki, path, apply_deletes=True, relink=True)
+    assert again.relinked.isEmpty() and again.posted.isEmpty()
+    bodies = {r.url_title: r.body for r in sinks.read_table(spark, path, "url_title string, body string").collect()}
+    assert len(set(bodies.values())) == 1 and None not in bodies.values()

@@ -77,6 +77,15 @@ def publish_articles(spark, sf):
     return spark.read.schema(schemas.ARTICLE).parquet(path).select("url_title", "modified", "title_sort", "next_page")
 
 
+@query("publish_neighbours", wiki.WIKI + " SELECT title AS url_title, prev_page, next_page FROM az")
+def publish_neighbours(spark, sf):
+    """Neighbours in the whole stored table after a job that worked on a part of its pages."""
+    path = work_dir(spark, "article-table")
+    stored_pages(spark, sf, path)
+    publish.publish_articles(spark, wiki.wiki(spark, sf), path, apply_deletes=True, relink=True)
+    return sinks.read_table(spark, path, publish.LINKS)
+
+
 @query(
     "publish_authors",
     wiki.WIKI + """, old AS (SELECT 'Page_' || o_custkey AS title, max(o_orderdate) AS modified FROM orders
