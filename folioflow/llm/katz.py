@@ -10,22 +10,25 @@ of the training tokens has its grams dealt by their last word, so that no part g
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from folioflow.llm.common import HOT_PARTS, bucketed, plain_text, staged
+from folioflow.llm.common import HOT_PARTS, bucketed, plain_text
 from folioflow.llm.tokens import by_bytes, text_sizes
 from folioflow.llm.words import batch_hashes
-from folioflow.session import shuffle_partitions
+from folioflow.session import shuffle_partitions, work_dir
 
 K = 5  # counts up to K are discounted
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 PART_WORDS = 250_000  # requested words of a part, about
 START, END = np.uint64(0), np.uint64(1)  # no word: START only stands before the first word
 PART_BITS = 24  # of the number of a word within its part
@@ -54,6 +57,19 @@ def _unpack_steps(raw: bytes, dtype) -> np.ndarray:
     return np.cumsum(_unpack(raw, dtype), dtype=dtype)
 
 
+def _column_bytes(values: list, kind: pa.DataType) -> bytes:
+    """A column of any type as bytes."""
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([pa.array(values, kind)], ["x"])
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _column_of(raw: bytes) -> pa.ChunkedArray:
+    return pa.ipc.open_stream(raw).read_all().column(0)
+
+
 def _blobs(items: list[bytes]) -> pa.Array:
     return pa.array(items, pa.binary())
 
@@ -122,12 +138,14 @@ def gram_probabilities(c: np.ndarray, lower: np.ndarray, total: np.ndarray, low:
 # ---- blocks
 
 
-BLOCK = "block bigint, rows binary, held binary, sizes binary, words binary, tokens binary, counts binary"
+BLOCK = "block bigint, ids binary, held binary, sizes binary, words binary, tokens binary, counts binary"
 
 
-def _blocks(docs: DataFrame, held_out: Column, text_col: str) -> DataFrame:
+def _blocks(docs: DataFrame, held_out: Column, id_col: str, text_col: str) -> DataFrame:
+    """Blocks of documents, with their ids: nothing has to be joined to them later."""
+
     def run(batches):
-        part, n = TaskContext.get().partitionId(), 0
+        part, n, kind = TaskContext.get().partitionId(), 0, None
         rows, held, hashes, size = [], [], [], 0
 
         def flush():
@@ -143,14 +161,14 @@ def _blocks(docs: DataFrame, held_out: Column, text_col: str) -> DataFrame:
             training = np.repeat(~np.array(held), sizes)
             counts = np.bincount(tokens[training], minlength=len(words)).astype(np.uint32)
             out = pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) + n]), *map(_blobs, ([np.array(rows, np.int64).tobytes()], [np.array(held, np.uint8).tobytes()], [_pack(sizes)], [words.tobytes()], [_pack(tokens)], [_pack(counts)]))],
+                [pa.array([(part << 32) + n]), *map(_blobs, ([_column_bytes(rows, kind)], [np.array(held, np.uint8).tobytes()], [_pack(sizes)], [words.tobytes()], [_pack(tokens)], [_pack(counts)]))],
                 [c.split()[0] for c in BLOCK.split(", ")],
             )
             rows, held, hashes, size, n = [], [], [], 0, n + 1
             return out
 
         for batch in batches:
-            texts = batch.column(2)
+            texts, kind = batch.column(2), batch.column(0).type
             for lo, hi in by_bytes(text_sizes(texts)):
                 every, before = batch_hashes(texts.slice(lo, hi - lo).to_pylist())
                 for i, (a, b) in enumerate(zip(before[:-1], before[1:], strict=True), lo):
@@ -163,7 +181,7 @@ def _blocks(docs: DataFrame, held_out: Column, text_col: str) -> DataFrame:
         if rows:
             yield flush()
 
-    chosen = docs.select("row", F.coalesce(held_out, F.lit(False)).alias("held"), plain_text(text_col).alias("text"))
+    chosen = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"), plain_text(text_col).alias("text"))
     return chosen.mapInArrow(run, BLOCK)
 
 
@@ -427,13 +445,15 @@ def _count_grams(last: bool):
     return run
 
 
-RESULT = "row bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+RESULT = "id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+
 
+def _score(model: Model, id_kind: T.DataType):
+    arrow_kind = to_arrow_type(id_kind)
 
-def _score(model: Model):
     def run(key, block: pa.Table, answers: pa.Table) -> pa.Table:
         names = [c.split()[0] for c in RESULT.split(", ")]
-        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        kinds = [arrow_kind, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         if not block.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
         block = block.to_pylist()[0]
@@ -441,14 +461,14 @@ def _score(model: Model):
         sizes = _unpack(block["sizes"], np.uint32).astype(np.int64)
         starts = np.cumsum(sizes) - sizes
         columns = [
-            np.frombuffer(block["rows"], np.int64),
+            _column_of(block["ids"]).combine_chunks(),
             np.frombuffer(block["held"], np.uint8) > 0,
             sizes,
             np.add.reduceat((words.counts > 0).astype(np.int64)[words.at], starts),
             np.add.reduceat(model.uni.base(words.counts)[words.at], starts),
             np.add.reduceat(np.log10(grams.p)[grams.at], starts),
         ]
-        return pa.table([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=names)
+        return pa.table([columns[0].cast(kinds[0]), *[pa.array(x, k) for x, k in zip(columns[1:], kinds[1:], strict=True)]], names=names)
 
     return run
 
@@ -480,7 +500,7 @@ def _hot_sums(grams: DataFrame) -> tuple[np.ndarray, ...]:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in own], ["v", "t", *[f"n{i}" for i in range(K)], "m"])
 
     schema = ", ".join(["v bigint", "t bigint", *[f"n{i} bigint" for i in range(K)], "m double"])
-    share = grams.filter("kind = 5").mapInArrow(shares, schema).groupBy("v").agg(*[F.sum(c).alias(c) for c in ["t", *[f"n{i}" for i in range(K)], "m"]])
+    share = grams.mapInArrow(shares, schema).groupBy("v").agg(*[F.sum(c).alias(c) for c in ["t", *[f"n{i}" for i in range(K)], "m"]])
     hot = sorted(share.collect(), key=lambda r: r["v"])
     return (
         np.array([r["v"] for r in hot], np.uint64), np.array([r["t"] for r in hot], np.int64),
@@ -488,6 +508,32 @@ def _hot_sums(grams: DataFrame) -> tuple[np.ndarray, ...]:
     )
 
 
+class _Answers:
+    """All levels' answers in one table, bucketed by block and added to level by level: each is dealt to its block once,
+    and a block's cogroup reads them where they lie. What belongs to a part and no block has a negative block."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, work_dir(spark, "katz-answers")
+        self.name = f"katz_answers_{uuid.uuid4().hex}"
+
+    def add(self, rows: DataFrame, level: int) -> None:
+        buckets = shuffle_partitions(self.spark)
+        dealt = rows.withColumn("block", F.coalesce("block", -1 - F.col("part").cast("bigint"))).withColumn("level", F.lit(level))
+        # One file for each bucket and level.
+        writer = dealt.repartition(buckets, "block").write.option("compression", "none").option("path", self.path)
+        writer.mode("append").bucketBy(buckets, "block").format("parquet").saveAsTable(self.name)
+
+    def of_parts(self, level: int, kind: int) -> DataFrame:
+        return self.spark.table(self.name).filter((F.col("level") == level) & (F.col("kind") == kind) & (F.col("block") < 0))
+
+    def of_blocks(self) -> DataFrame:
+        return self.spark.table(self.name).filter("block >= 0")
+
+    def close(self) -> None:
+        """The catalog forgets the table; its files stay."""
+        self.spark.sql(f"DROP TABLE {self.name}")
+
+
 def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
     """Per row of `docs`: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -503,25 +549,21 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     if order < 1:
         raise ValueError("order must be 1 or more")
     spark = docs.sparkSession
-    numbered = docs.withColumn("row", F.monotonically_increasing_id())
-    keys = staged(numbered.select("row", F.col(id_col).alias("id")), "katz-ids")
-    rows = keys.count()
     # Bucketed by block, so that the blocks are not shuffled when answers come in.
-    blocks = bucketed(_blocks(numbered, held_out, text_col), "block", "katz-blocks")
+    blocks = bucketed(_blocks(docs, held_out, id_col, text_col), "block", "katz-blocks")
     buckets = shuffle_partitions(spark)
     asked = blocks.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    parts = max(1, buckets if rows else 1, -(-asked // 8 // PART_WORDS))
-    unigrams = blocks.select("block", "words", "counts").mapInArrow(_ask_words(parts), ASK_WORDS).groupBy("part").applyInArrow(_count_words, ANSWER)
-    unigrams = staged(unigrams, "katz-unigrams")
-    total, n = _types_by_count(unigrams.filter("kind = 0"), "b")
+    parts = max(1, buckets if asked else 1, -(-asked // 8 // PART_WORDS))
+    answers, kind = _Answers(spark), docs.schema[id_col].dataType
+    answers.add(blocks.select("block", "words", "counts").mapInArrow(_ask_words(parts), ASK_WORDS).groupBy("part").applyInArrow(_count_words, ANSWER), 1)
+    total, n = _types_by_count(answers.of_parts(1, 0), "b")
     model = Model(parts, total, Unigrams.of(total, n), order)
-    answers = unigrams.filter("kind = 1").withColumn("level", F.lit(1))
     for k in range(2, order + 1):
-        grams = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask_grams(model), ASK_GRAMS)
-        grams = staged(grams.groupBy("part").applyInArrow(_count_grams(k == order), ANSWER), f"katz-{k}-grams")
-        level = Level(discounts(_types_by_count(grams.filter("kind = 2"), "c")[1][:-1]), _hot_sums(grams))
+        grams = blocks.groupBy("block").cogroup(answers.of_blocks().groupBy("block")).applyInArrow(_ask_grams(model), ASK_GRAMS)
+        answers.add(grams.groupBy("part").applyInArrow(_count_grams(k == order), ANSWER), k)
+        level = Level(discounts(_types_by_count(answers.of_parts(k, 2), "c")[1][:-1]), _hot_sums(answers.of_parts(k, 5)))
         model = replace(model, levels=(*model.levels, level))
-        answers = answers.unionByName(grams.filter("kind IN (3, 4)").withColumn("level", F.lit(k)))
-    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model), RESULT)
+    scored = blocks.groupBy("block").cogroup(answers.of_blocks().groupBy("block")).applyInArrow(_score(model, kind), RESULT.format(kind=kind.simpleString()))
+    answers.close()
     train = F.lit(total).cast("bigint").alias("train_tokens")
-    return keys.join(scored, "row").select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", train, "base_score", "score")
+    return scored.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", train, "base_score", "score")

@@ -73,3 +73,12 @@ def test_third_word_counts(spark):
     assert three[16] > three[17] + 0.5 and abs(two[16] - two[17]) < 1e-9
     compare(spark, rows, F.lit(True), [True] * len(rows), 3)
     compare(spark, [(0, "a"), (0, "b")], F.col("doc_id") == 1, [False, True], 3)
+
+
+def test_ids_of_a_shuffled_input(spark):
+    """Ids stay with their texts, whatever lies below: the rows of an aggregation, ids of another type, nulls among them."""
+    rows = [(None if i % 7 == 0 else f"k{i}", f"a{i % 3} b{i % 5} " * (i % 4 + 1)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(7, "text").groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+    out = katz.katz_scores(df, F.lit(False), order=2).collect()
+    expected = sorted({(i, len(t.split()) + 1) for i, t in rows}, key=repr)
+    assert sorted({(r.doc_id, r.n_tokens) for r in out}, key=repr) == expected and len(out) == df.count()
