@@ -9,10 +9,9 @@ the region. Links are confirmed on full shingle sets, and classes joined by them
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +25,7 @@ DEPTH = 8  # values of a tree's label
 MISSED = 2.5e-7  # at most with this probability the trees show a pair at the limit nowhere, for limits of 62 percent and more
 SHALLOWEST = 3  # no limit asks candidates to share more values than this
 NEIGHBOURS = 6  # candidates on one side in each order
+WAVES = (1, 8)  # candidates of a class tried up to the end of each wave; the last wave has the rest
 CROWD = 2048  # classes in a block of a crowded region
 SIGNATURE = TREES * DEPTH
 BATCH = 1 << 20
@@ -97,6 +97,23 @@ def _neighbours(labels: np.ndarray, tree: np.ndarray, n: np.ndarray, percent: in
     return found, shared[found]
 
 
+# Rows of a range that meet those of other ranges, and a row with the number of rows of a range.
+TAIL, HEAD, COUNT = 0, 1, 2
+
+
+def _reach(sizes: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(later, range): the ranges after each that hold its last rows' next NEIGHBOURS rows, from (range, rows) in order."""
+    out = []
+    for i, (owner, _) in enumerate(sizes):
+        covered = 0
+        for later, n in sizes[i + 1 :]:
+            out.append((later, owner))
+            covered += n
+            if covered >= NEIGHBOURS:
+                break
+    return out
+
+
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of class rows with a < b and the number of values they share as neighbours."""
     spark = classes.sparkSession
@@ -132,22 +149,23 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        held, first = None, True
+        held, first, seen = None, True, 0
         names = [c.split()[0] for c in schema.split(", ")]
 
-        def border(arrays, number, behind):
+        def border(arrays, kind):
             k = len(arrays[2])
             label = pa.array([x.tobytes() for x in arrays[1]], pa.binary())
             return pa.RecordBatch.from_arrays(
-                [blank(k, pa.int64()), blank(k, pa.int64()), pa.array([behind] * k, pa.int32()), pa.array([number] * k, pa.int32()), pa.array(arrays[0], pa.int32()), label, pa.array(arrays[2], pa.int64()), pa.array(arrays[3], pa.int64())], names
+                [blank(k, pa.int64()), blank(k, pa.int64()), pa.array([kind] * k, pa.int32()), pa.array([part] * k, pa.int32()), pa.array(arrays[0], pa.int32()), label, pa.array(arrays[2], pa.int64()), pa.array(arrays[3], pa.int64())], names
             )
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             own = as_arrays(batch)
+            seen += batch.num_rows
             if first:
-                yield border([x[:NEIGHBOURS] for x in own], part - 1, 1)
+                yield border([x[:NEIGHBOURS] for x in own], HEAD)
                 first = False
             overlap = 0
             if held is not None:
@@ -165,22 +183,28 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.int32()), blank(k, pa.int32()), blank(k, pa.int32()), blank(k, pa.binary()), blank(k, pa.int64()), blank(k, pa.int64())], names
             )
         if held is not None:
-            yield border(held, part, 0)
+            yield border(held, TAIL)
+            yield border([np.zeros(1, np.int32), np.zeros((1, 0), ">u4"), np.zeros(1, np.int64), np.array([seen])], COUNT)
 
     found = staged(ranged.mapInArrow(run, schema), "near-candidates")
 
-    def over_border(rows):
-        # The last rows before a border and the first ones behind it: at most 2 * NEIGHBOURS.
-        rows = rows.sort_values(["tree", "label", "row"])
-        label = np.frombuffer(b"".join(rows["label"]), ">u4").reshape(-1, DEPTH)
-        before = int((rows["shared"] == 0).sum())
-        own = [rows["tree"].to_numpy(), label, rows["row"].to_numpy(), rows["n_shingles"].to_numpy()]
+    def over_border(rows: pa.Table) -> pa.Table:
+        # The last rows of a range and the first of those after it, as many as have neighbours there: about 2 * NEIGHBOURS.
+        rows = rows.sort_by([("tree", "ascending"), ("label", "ascending"), ("row", "ascending")])
+        label = np.frombuffer(b"".join(rows.column("label").to_pylist()), ">u4").reshape(-1, DEPTH)
+        before = int((rows.column("shared").to_numpy() == TAIL).sum())
+        own = [rows.column("tree").to_numpy(), label, rows.column("row").to_numpy(), rows.column("n_shingles").to_numpy()]
         a, b, s = pairs_of(*own, later=before) if before else pairs_of(*[x[:0] for x in own])
-        return pd.DataFrame({"a": a, "b": b, "shared": s})
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "shared": pa.array(s, pa.int32())})
 
     inside = found.filter("border IS NULL").select("a", "b", "shared")
-    across = found.filter("border IS NOT NULL").select("border", "shared", "tree", "label", "row", "n_shingles")
-    across = across.groupBy("border").applyInPandas(over_border, "a bigint, b bigint, shared int")
+    edges = found.filter("border IS NOT NULL").select("border", "shared", "tree", "label", "row", "n_shingles")
+    # One number for each range; a thin range lets the one before it look further.
+    sizes = sorted((r["border"], r["n_shingles"]) for r in edges.filter(F.col("shared") == COUNT).select("border", "n_shingles").collect())
+    reach = spark.createDataFrame(_reach(sizes), "border int, owner int")
+    tails = edges.filter(F.col("shared") == TAIL).withColumn("owner", F.col("border"))
+    heads = edges.filter(F.col("shared") == HEAD).join(F.broadcast(reach), "border")
+    across = tails.unionByName(heads).drop("border").groupBy("owner").applyInArrow(over_border, "a bigint, b bigint, shared int")
     return inside.unionByName(across).groupBy("a", "b").agg(F.sum("shared").cast("int").alias("shared")).filter("a < b")
 
 
@@ -253,32 +277,81 @@ def _crossing(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(pairs.columns)
 
 
+def _in_waves(pairs: DataFrame) -> DataFrame:
+    """Candidates (a, b) with the wave they are tried in: by their rank among the candidates of the end that ranks them
+    higher, most shared values first. A class has at most 2 * NEIGHBOURS candidates in each of the trees."""
+    ways = pairs.select("a", "b", "shared", F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("way"))
+    own = Window.partitionBy("way.u").orderBy(F.desc("shared"), F.col("way.v"))
+    wave = F.size(F.filter(F.array(*map(F.lit, WAVES)), lambda most: most < F.col("rank")))
+    return ways.withColumn("rank", F.row_number().over(own)).groupBy("a", "b").agg(F.min(wave).alias("wave"))
+
+
 def _least_agreement(percent: int) -> float:
     """Share of equal signature values five standard errors below the limit: what links does not fall below it."""
     limit = percent / 100
     return limit - 5 * (limit * (1 - limit) / SIGNATURE) ** 0.5
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose whole signatures agree well enough."""
+def sketched(classes: DataFrame) -> DataFrame:
+    """(row, n_shingles, sketch) of classes: the low byte of each signature value. Sketches agree where signatures do."""
+
+    def run(batches):
+        for batch in batches:
+            low = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, SIGNATURE, 4)[:, :, 3]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([x.tobytes() for x in low], pa.binary())], ["row", "n_shingles", "sketch"])
+
+    return classes.select("row", "n_shingles", "signature").mapInArrow(run, "row bigint, n_shingles bigint, sketch binary")
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose whole sketches agree well enough."""
     least = _least_agreement(percent)
-    own = classes.select("row", "signature")
+    own = sketches.select("row", "sketch")
     both = pairs.select("a", "b").join(own.toDF("a", "left"), "a").join(own.toDF("b", "right"), "b").select("a", "b", "left", "right")
 
     def run(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), ">u4").reshape(-1, SIGNATURE) for i in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SIGNATURE) for i in (2, 3))
             yield batch.select([0, 1]).filter(pa.array((x == y).mean(1) >= least, pa.bool_()))
 
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def crowded_links(classes: DataFrame, roots: DataFrame, sets: DataFrame, missing_sets, percent: int) -> DataFrame:
+PLACE = ["region", "i", "j"]
+
+
+def _sized(rows: DataFrame) -> DataFrame:
+    """Staged rows (region, row, root, top) with the numbers of blocks that their region's `members` and `others` fill;
+    only of regions that have rows outside their largest component `top`."""
+    outside = F.count_if(F.col("root") != F.col("top"))
+    sizes = rows.groupBy("region").agg(F.count("*").alias("n"), F.ceil(F.count("*") / CROWD).cast("int").alias("members"), F.ceil(outside / CROWD).cast("int").alias("others"))
+    sized = join_facts(rows, staged(sizes, "near-blocks"), "region", "n").filter("others > 0")
+    return staged(sized.select("region", "row", "root", "top", "members", "others"), "near-crowded")
+
+
+def _blocked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sized rows dealt into blocks (i, j) of their region: all of them as members, and those outside its largest component
+    as outsiders. Each pair of the two meets in one block."""
+
+    def own_block(c: str) -> Column:
+        return F.pmod(F.xxhash64("row", F.lit(c)), F.col(c)).cast("int")
+
+    def every(c: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+
+    left = rows.withColumn("i", own_block("members")).withColumn("j", every("others"))
+    right = rows.filter("root != top").withColumn("j", own_block("others")).withColumn("i", every("members"))
+    columns = [c for c in left.columns if c not in ("members", "others", "top")]
+    return left.select(columns), right.select(columns).toDF(*columns)
+
+
+def crowded_links(classes: DataFrame, sketches: DataFrame, roots: DataFrame, sets: DataFrame, missing_sets, percent: int) -> DataFrame:
     """Links between components that no order shows as near neighbours: in regions (classes that share the first `shallowest` values in a
     tree) of more classes than an order compares, if they still fall into several components.
 
     There each class outside the region's largest component is compared with every class of another component, in blocks
-    of about CROWD by CROWD: by signature, then on full sets. A block gives at most one link for two components that it
+    of about CROWD by CROWD: first by sketches, one byte of each signature value, which tell the rows that have a likely
+    partner; only those meet again, by signature and on full sets. A block gives at most one link for two components that it
     joins, so what it gives does not grow with its pairs. A pair is compared in the first tree in which it shares a region.
     `missing_sets` makes the sets of rows that `sets` does not hold.
     """
@@ -292,20 +365,35 @@ def crowded_links(classes: DataFrame, roots: DataFrame, sets: DataFrame, missing
     rooted = staged(rows.join(roots.toDF("row", "root"), "row", "left").withColumn("root", F.coalesce("root", "row")), "near-crowds")
     parts = rooted.groupBy("region", "n", "root").agg(F.count("*").alias("m"))
     mixed = parts.groupBy("region", "n").agg(F.max(F.struct("m", "root")).alias("top")).filter("top.m < n")
-    # Blocks of members and of outsiders.
-    members, others = (F.ceil(F.col(c) / CROWD).cast("int") for c in ("n", "left"))
-    mixed = mixed.select("region", "n", F.col("top.root").alias("top"), (F.col("n") - F.col("top.m")).alias("left"))
-    mixed = staged(mixed.withColumns({"members": members, "others": others}), "near-mixed")
-    rows = staged(join_facts(rooted.drop("n"), mixed, "region", "n"), "near-crowded")
+    mixed = staged(mixed.select("region", "n", F.col("top.root").alias("top")), "near-mixed")
+    rows = _sized(join_facts(rooted.drop("n"), mixed, "region", "n").drop("n"))
+
+    # First by sketches: which rows have a likely partner at all.
+    def promising(key, members: pa.Table, others: pa.Table) -> pa.Table:
+        x, y = (
+            (t.column("row").to_numpy(), t.column("root").to_numpy(), t.column("n_shingles").to_numpy(), np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, SIGNATURE))
+            for t in (members, others)
+        )
+        hit, hits = np.zeros(len(x[0]), bool), np.zeros(len(y[0]), bool)
+        for k, (root, n, own) in enumerate(zip(*y[1:], strict=True)):
+            fine = np.flatnonzero((x[1] != root) & (100 * np.minimum(x[2], n) >= percent * np.maximum(x[2], n)))
+            likely = (x[3][fine] == own).mean(1) >= least
+            hit[fine[likely]] = True
+            hits[k] = likely.any()
+        found = np.concatenate([x[0][hit], y[0][hits]])
+        region = key[0].as_py() if len(found) else None
+        return pa.table({"tree": pa.array([region and region["tree"]] * len(found), pa.int32()), "prefix": pa.array([region and region["prefix"]] * len(found), pa.binary()), "row": pa.array(found, pa.int64())})
+
+    left, right = _blocked(rows.join(sketches, "row"))
+    likely = left.groupBy(*PLACE).cogroup(right.groupBy(*PLACE)).applyInArrow(promising, "tree int, prefix binary, row bigint")
+    likely = staged(likely.distinct(), "near-promising").select(F.struct("tree", "prefix").alias("region"), "row")
+    rows = _sized(rows.select("region", "row", "root", "top").join(likely, ["region", "row"], "left_semi"))
+
+    # Then those rows by signatures and full sets.
     missing = staged(rows.select("row").distinct().join(sets, "row", "left_anti"), "near-missing")
     if not missing.isEmpty():
         sets = sets.unionByName(missing_sets(missing))
-    rows = rows.join(classes.select("row", "n_shingles", "signature"), "row").join(sets, "row")
-    own_block = lambda c: F.pmod(F.xxhash64("row", F.lit(c)), F.col(c)).cast("int")
-    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    columns = ["region", "i", "j", "row", "root", "n_shingles", "signature", "shingles"]
-    left = rows.withColumn("i", own_block("members")).withColumn("j", every("others")).select(columns)
-    right = rows.filter("root != top").withColumn("j", own_block("others")).withColumn("i", every("members")).select(columns).toDF(*columns)
+    left, right = _blocked(rows.join(classes.select("row", "n_shingles", "signature"), "row").join(sets, "row"))
 
     def compare(key, members: pa.Table, others: pa.Table) -> pa.Table:
         x, y = (
@@ -339,8 +427,7 @@ def crowded_links(classes: DataFrame, roots: DataFrame, sets: DataFrame, missing
                     b.append(max(int(x[0][i]), int(row)))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    place = ["region", "i", "j"]
-    return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(compare, "a bigint, b bigint")
+    return left.groupBy(*PLACE).cogroup(right.groupBy(*PLACE)).applyInArrow(compare, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -359,19 +446,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, id_col: s
     classes = staged(groups.select(F.col("first.row").alias("row")).join(full, "row").select("row", "id", "key", "n_shingles", "signature"), "near-reps")
     pairs = staged(candidates(classes, percent), "near-pairs")
 
-    # First the best candidates of each class; what they leave apart is then tried in full, and then what regions too
-    # crowded for their orders hold.
-    ways = pairs.select("a", "b", "shared").union(pairs.select(F.col("b"), F.col("a"), "shared")).toDF("u", "v", "shared")
-    best = ways.groupBy("u").agg(F.max(F.struct("shared", (-F.col("v")).alias("v"))).alias("best")).select("u", (-F.col("best.v")).alias("v"))
-    tree = staged(best.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "near-tree")
-    sets = shingle_sets(docs, best.select(F.col("u").alias("row")), classes, size, id_col, text_col)
+    # Each class tries its best candidate first, then the next few, then more: what one wave joins, later ones need not try.
+    ranked = staged(_in_waves(pairs), "near-ranked")
+    sketches = staged(sketched(classes), "near-sketches")
+    tree = ranked.filter("wave = 0").select("a", "b")
+    ends = tree.select(F.col("a").alias("row")).union(tree.select("b")).distinct()
+    sets = shingle_sets(docs, ends, classes, size, id_col, text_col)
     roots = staged(components(confirmed(tree, sets, percent)), "near-roots")
-    rest = staged(_likely(_crossing(pairs.join(tree, ["a", "b"], "left_anti"), roots), classes, percent), "near-rest")
-    if not rest.isEmpty():
-        links = confirmed(rest, sets, percent)
-        roots = roots if links.isEmpty() else _joined(roots, links)
+    for wave in range(1, len(WAVES) + 1):
+        rest = staged(_likely(_crossing(ranked.filter(F.col("wave") == wave).select("a", "b"), roots), sketches, percent), "near-rest")
+        links = None if rest.isEmpty() else confirmed(rest, sets, percent)
+        roots = roots if links is None or links.isEmpty() else _joined(roots, links)
+    # Then what regions too crowded for their orders hold.
     fetch = lambda rows: shingle_sets(docs, rows, classes, size, id_col, text_col)
-    links = staged(crowded_links(classes, roots, sets, fetch, percent), "near-links")
+    links = staged(crowded_links(classes, sketches, roots, sets, fetch, percent), "near-links")
     roots = roots if links.isEmpty() else _joined(roots, links)
 
     # A component is named by the smallest place among its classes.

@@ -139,3 +139,38 @@ def test_crowded_region(spark, monkeypatch):
     for neighbours in (6, 1):
         monkeypatch.setattr(near, "NEIGHBOURS", neighbours)
         check(spark, rows, 85)
+
+
+def test_thin_ranges(spark):
+    """Twenty equal signatures over far more ranges than rows: each still meets its next neighbours in every order."""
+    n = 20
+    rows = [(i, 10, np.zeros(near.SIGNATURE, ">u4").tobytes()) for i in range(n)]
+    df = spark.createDataFrame(rows, "row bigint, n_shingles bigint, signature binary")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "150")
+        got = {(r.a, r.b): r.shared for r in near.candidates(df, 80).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {(a, b): near.TREES * near.DEPTH for a in range(n) for b in range(a + 1, min(n, a + 1 + near.NEIGHBOURS))}
+
+
+def test_reach():
+    assert near._reach([(0, 9), (2, 3), (3, 1), (7, 8), (9, 1)]) == [(2, 0), (3, 0), (7, 0), (3, 2), (7, 2), (7, 3), (9, 7)]
+
+
+def test_many_small_partitions(spark):
+    r = random.Random(12)
+    base = [f"w{r.randrange(900)}" for _ in range(90)]
+    rows = []
+    for i in range(40):
+        own = list(base)
+        for _ in range(r.randint(0, 4)):
+            own[r.randrange(90)] = f"x{r.randrange(900)}"
+        rows.append((i, " ".join(own)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        check(spark, rows, 85)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
