@@ -1,23 +1,28 @@
 """Benchmark decontamination by a generalised suffix automaton of the test items' words.
 
-The automaton is built over blocks of items of a bounded number of words and goes to every task. Documents are streamed
-through it word by word; at each word the state tells the longest stretch of words, ending there, that some item holds.
+Automatons are built in tasks, over blocks of items of a bounded number of words, and stored in the shared folder; one at a
+time goes to the tasks. Documents are streamed through it word by word; at each word the state tells the longest stretch
+of words, ending there, that some item holds. With several blocks the documents pass once for each, and every pass is
+written before the next.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import pickle
+import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioflow.llm.common import plain_text, staged
+from folioflow.llm.tokens import by_bytes, text_sizes
 
 WINDOW = 10
-# A block of items is what is sent to the tasks at once: its words, and so the automaton, are bounded.
-BLOCK_WORDS = 500_000
+# A block of items is what a task builds and what is sent to the tasks at once: its words, and so the automaton, are bounded.
+BLOCK_WORDS = 200_000
 
 # Words are runs of a-z, 0-9 and of all characters beyond ASCII; A-Z is lower-cased, everything else parts words.
 _WORD_BYTES = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -119,24 +124,50 @@ class Automaton:
         return spans, items
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    """Items in blocks of about `block_words` words, one block fetched at a time; without items one empty block."""
+def automatons(items: DataFrame, window: int, id_col: str, text_col: str, block_words: int) -> tuple[DataFrame, int]:
+    """Staged rows (block, blob): automatons of about `block_words` words of items each, and their number."""
     text = plain_text(text_col)
-    rows = staged(items.select(F.col(id_col).cast("string").alias("item"), text.alias("text"), (F.length(text) / 2 + 1).cast("bigint").alias("size")), "items")
-    # Upper bounds of words by hashed part; parts are joined up to blocks.
-    parts = 4096
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(parts))
+    own = items.select(F.col(id_col).cast("string").alias("item"), text.alias("text"), (F.length(text) / 2 + 1).cast("bigint").alias("size"))
+    rows = staged(own.filter("text <> ''").distinct(), "items")
+    # Upper bounds of words by hashed part, at most PARTS numbers; neighbouring parts are joined up to blocks.
+    part = F.pmod(F.xxhash64("item", "text"), F.lit(PARTS))
     sums = {int(r["part"]): int(r["size"]) for r in rows.groupBy(part.alias("part")).agg(F.sum("size").alias("size")).collect()}
-    blocks, total = [[]], 0
+    starts, total = [0], 0
     for k, n in sorted(sums.items()):
         if total and total + n > block_words:
-            blocks.append([])
+            starts.append(k)
             total = 0
-        blocks[-1].append(k)
         total += n
-    for own in blocks:
-        chosen = rows.filter(part.between(own[0], own[-1])).collect() if own else []
-        yield [(r["item"], words(r["text"])) for r in chosen if r["text"]]
+
+    def build(group: pa.Table) -> pa.Table:
+        named = zip(group.column("item").to_pylist(), group.column("text").to_pylist(), strict=True)
+        blob = pickle.dumps(Automaton([(item, words(text)) for item, text in named], window), protocol=5)
+        return pa.table({"block": group.column("block")[:1], "blob": pa.array([blob], pa.binary())})
+
+    block = F.size(F.filter(F.array(*map(F.lit, starts)), lambda x: x <= part)) - 1
+    built = rows.select("item", "text", block.alias("block")).groupBy("block").applyInArrow(build, "block int, blob binary")
+    return staged(built, "automatons"), len(starts)
+
+
+PARTS = 4096
+
+# The automaton that this worker last used, by the name of its blob.
+_held: dict[str, Automaton] = {}
+
+
+def _loaded(name: str, blob: bytes) -> Automaton:
+    if name not in _held:
+        _held.clear()
+        _held[name] = pickle.loads(blob)
+    return _held[name]
+
+
+def _sent(blobs: DataFrame, block: int, window: int):
+    """Broadcast of one stored automaton, and a function that tasks get it by."""
+    row = blobs.filter(F.col("block") == block).first()
+    blob = bytes(row["blob"]) if row else pickle.dumps(Automaton([], window), protocol=5)
+    sent, name = blobs.sparkSession.sparkContext.broadcast(blob), uuid.uuid4().hex
+    return sent, lambda: _loaded(name, sent.value)
 
 
 HITS = "id {kind}, row bigint, n_words bigint, spans array<struct<first:int,end:int>>, items array<string>, unnamed boolean"
@@ -152,12 +183,13 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), plain_text(text_col).alias("text"))
-    passes = []
-    for block in item_blocks(items, item_id, item_text, block_words):
-        sent = docs.sparkSession.sparkContext.broadcast(Automaton(block, window))
+    blobs, blocks = automatons(items, window, item_id, item_text, block_words)
+    if blocks > 1:
+        rows = staged(rows, "decontaminate-rows")
 
-        def run(batches, sent=sent):
-            automaton = sent.value
+    def found_by(automaton_of: Callable[[], Automaton]):
+        def run(batches):
+            automaton = automaton_of()
             for batch in batches:
                 n_words, spans, found, unnamed = [], [], [], []
                 for text in batch.column(2):
@@ -172,9 +204,16 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str
                     ["id", "row", "n_words", "spans", "items", "unnamed"],
                 )
 
-        passes.append(rows.mapInArrow(run, HITS.format(kind=kind)))
-    if len(passes) == 1:
-        return passes[0]
+        return run
+
+    passes = []
+    for block in range(blocks):
+        sent, automaton_of = _sent(blobs, block, window)
+        own = rows.mapInArrow(found_by(automaton_of), HITS.format(kind=kind))
+        if blocks == 1:
+            return own
+        passes.append(staged(own, "decontaminate-hits"))
+        sent.destroy()
     every = passes[0]
     for more in passes[1:]:
         every = every.unionByName(more)
@@ -215,41 +254,98 @@ def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_
     """The rows of `docs` without contamination: runs of hit words are cut out of the text; a document of which more than
     `max_coverage` of the words is hit goes altogether. All columns stay, `n_chars`, if there, follows the new text.
 
-    Cutting can join two halves of a window, so a text is cut until no window occurs. Null texts stay null. Items with a null id
-    are left out here.
+    Cutting can join two halves of a window, so a text is cut until no window occurs. Null texts stay null. Items with a
+    null id count like others. What is cut does not depend on the number of blocks.
     """
-    items = items.filter(F.col(item_id).isNotNull())
-    blocks = [docs.sparkSession.sparkContext.broadcast(Automaton(b, window)) for b in item_blocks(items, item_id, item_text, block_words)]
-    at = docs.columns.index(text_col)
+    blobs, blocks = automatons(items, window, item_id, item_text, block_words)
+    at, width = docs.columns.index(text_col), len(docs.columns)
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
-    def clean(text: str) -> str | None:
-        total = len(words(text))
-        lost = 0
-        changed = True
-        while changed:
-            changed = False
-            for block in blocks:
-                spans, _ = block.value.match(words(text))
-                if spans:
-                    changed = True
-                    lost += sum(b - a for a, b in spans)
-                    if lost > max_coverage * total:
-                        return None
-                    text = without_spans(text, spans)
-        return text
-
-    def run(batches):
-        for batch in batches:
-            old = batch.column(at).to_pylist()
-            new = [clean(t) if t else t for t in old]
-            keep = pa.array([a is None or b is not None for a, b in zip(old, new, strict=True)], pa.bool_())
-            columns = list(batch.columns)
-            columns[at] = pa.array(new, batch.schema.field(at).type)
-            if chars is not None:
-                lengths = [c if a == b else len(b or "") for a, b, c in zip(old, new, batch.column(chars).to_pylist(), strict=True)]
-                columns[chars] = pa.array(lengths, batch.schema.field(chars).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(keep)
-
-    return docs.mapInArrow(run, docs.schema)
+    def with_texts(batch: pa.RecordBatch, old: list, new: list) -> list:
+        """The columns of docs with the new texts and their lengths."""
+        columns = list(batch.columns)[: width]
+        columns[at] = pa.array(new, batch.schema.field(at).type)
+        if chars is not None:
+            lengths = [c if a == b else len(b or "") for a, b, c in zip(old, new, batch.column(chars).to_pylist(), strict=True)]
+            columns[chars] = pa.array(lengths, batch.schema.field(chars).type)
+        return columns
+
+    if blocks == 1:
+        _, automaton_of = _sent(blobs, 0, window)
+
+        def clean(text: str, automaton: Automaton) -> str | None:
+            total, lost = len(words(text)), 0
+            while spans := automaton.match(words(text))[0]:
+                lost += sum(b - a for a, b in spans)
+                if lost > max_coverage * total:
+                    return None
+                text = without_spans(text, spans)
+            return text
+
+        def run(batches):
+            automaton = automaton_of()
+            for whole in batches:
+                for lo, hi in by_bytes(text_sizes(whole.column(at).fill_null(""))):
+                    batch = whole.slice(lo, hi - lo)
+                    old = batch.column(at).to_pylist()
+                    new = [clean(t, automaton) if t else t for t in old]
+                    keep = pa.array([a is None or b is not None for a, b in zip(old, new, strict=True)], pa.bool_())
+                    yield pa.RecordBatch.from_arrays(with_texts(batch, old, new), schema=batch.schema).filter(keep)
+
+        return docs.mapInArrow(run, docs.schema)
+
+    state = next(name for k in range(width + 1) if (name := f"_cut{k}") not in docs.columns)
+    kind = "spans array<struct<first:int,end:int>>, total bigint, lost bigint, again boolean, gone boolean"
+    schema = T.StructType([*docs.schema.fields, T.StructField(state, T.StructType.fromDDL(kind))])
+    start = F.struct(F.array().cast("array<struct<first:int,end:int>>").alias("spans"), F.lit(-1).cast("bigint").alias("total"), F.lit(0).cast("bigint").alias("lost"), F.lit(False).alias("again"), F.lit(False).alias("gone"))
+
+    def marked_by(automaton_of: Callable[[], Automaton]):
+        def run(batches):
+            automaton = automaton_of()
+            for batch in batches:
+                states = batch.column(width).to_pylist()
+                for text, own in zip(batch.column(at).to_pylist(), states, strict=True):
+                    if text:
+                        split = words(text)
+                        own["total"] = len(split) if own["total"] < 0 else own["total"]
+                        own["spans"] += [{"first": a, "end": b} for a, b in automaton.match(split)[0]]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(states, batch.schema.field(width).type)], schema=batch.schema)
 
+        return run
+
+    def cut(batches):
+        for batch in batches:
+            old, new = batch.column(at).to_pylist(), []
+            states = batch.column(width).to_pylist()
+            for text, own in zip(old, states, strict=True):
+                spans = joined([(x["first"], x["end"]) for x in own["spans"]])
+                own["spans"], own["again"] = [], bool(spans)
+                own["lost"] += sum(b - a for a, b in spans)
+                own["gone"] = own["lost"] > max_coverage * max(own["total"], 0)
+                new.append(without_spans(text, spans) if spans and not own["gone"] else text)
+            yield pa.RecordBatch.from_arrays([*with_texts(batch, old, new), pa.array(states, batch.schema.field(width).type)], schema=batch.schema)
+
+    pending, done = docs.withColumn(state, start), None
+    while True:
+        for block in range(blocks):
+            sent, automaton_of = _sent(blobs, block, window)
+            pending = staged(pending.mapInArrow(marked_by(automaton_of), schema), "decontaminate-marks")
+            sent.destroy()
+        pending = staged(pending.mapInArrow(cut, schema), "decontaminate-cut")
+        kept = pending.filter(~F.col(f"{state}.again")).drop(state)
+        done = kept if done is None else done.unionByName(kept)
+        # Few texts are cut again: only those pass once more.
+        pending = pending.filter(F.col(f"{state}.again") & ~F.col(f"{state}.gone"))
+        if pending.isEmpty():
+            return done
+
+
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping and touching runs put together, in order."""
+    out: list[tuple[int, int]] = []
+    for first, end in sorted(spans):
+        if out and out[-1][1] >= first:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((first, end))
+    return out
