@@ -228,3 +228,16 @@ def test_guide_titles_with_underscores(spark):
     guide = spark.createDataFrame([("A b",), ("C_d",), ("E_f g",), ("",)], "id string")
     out = {r.title: r.in_guide for r in bodies.classify_links(links, guide).collect()}
     assert out == {"A_b": True, "A b": True, "C_d": True, "C d": False, "E_f_g": False, "": False}
+
+
+def test_links_without_tokens(spark):
+    html = '<a HREF="/wiki/X_y/" href="/b">x</a><A href>y</A><a name="n">z</a><script><a href="/no"></script><!-- <a href="/c"> --><a href="/q&amp;r"/>'
+    pages = spark.createDataFrame([("p", html), ("q", None), ("r", ""), ("s", "<a href='/wiki/T'>" * 3)], "page string, html string")
+    lean = bodies.linked_titles(pages, "page", "/wiki")
+    whole = bodies.page_links(bodies.with_tokens(pages), "page", "/wiki").drop("pos")
+    assert lean.columns == whole.columns
+    assert sorted(lean.collect()) == sorted(whole.collect()) and lean.count() == 6
+    # Pages are tokenized once for a guide that is a table.
+    guide = spark.createDataFrame([("T",)], "id string")
+    plan = bodies.clean_bodies(pages.withColumnRenamed("page", "url_title"), guide)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython [tokens(") == 1
