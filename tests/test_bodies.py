@@ -237,7 +237,17 @@ def test_links_without_tokens(spark):
     whole = bodies.page_links(bodies.with_tokens(pages), "page", "/wiki").drop("pos")
     assert lean.columns == whole.columns
     assert sorted(lean.collect()) == sorted(whole.collect()) and lean.count() == 6
-    # Pages are tokenized once for a guide that is a table.
-    guide = spark.createDataFrame([("T",)], "id string")
-    plan = bodies.clean_bodies(pages.withColumnRenamed("page", "url_title"), guide)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("ArrowEvalPython [tokens(") == 1
+
+
+def test_guide_tables_short_and_long(spark):
+    html = '<p><a href="/wiki/T_1">a</a><a href="/wiki/T 2/">b</a><a href="/wiki/U">c</a><a href="/">d</a></p>'
+    pages = spark.createDataFrame([("p", html), ("p", '<a href="/wiki/U">c</a>'), (None, html)], "url_title string, html string")
+    titles = spark.createDataFrame([("T 1",), ("T 2",), ("T 2",), (None,), ("",)], "id string")
+    more = titles.union(spark.range(bodies.LITERAL_TITLES + 1).selectExpr("concat('x', id)"))
+    assert bodies.short_titles(titles) == ["", "T 1", "T 2"] and bodies.short_titles(more) is None
+    short, long = bodies.clean_bodies(pages, titles, printed=True), bodies.clean_bodies(pages, more, printed=True)
+    assert sorted(short.collect(), key=repr) == sorted(long.collect(), key=repr)
+    assert sorted(r.body.count('"encyc rg"') for r in short.collect()) == [0, 0, 2]
+    # Pages are tokenized once, and for a short guide not read for their links before.
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (short, long)]
+    assert [(p.count("ArrowEvalPython [tokens("), p.count("ArrowEvalPython [hrefs(")) for p in plans] == [(1, 0), (1, 1)]
