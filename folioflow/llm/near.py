@@ -201,7 +201,9 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
     edges = found.filter("border IS NOT NULL").select("border", "shared", "tree", "label", "row", "n_shingles")
     # One number for each range; a thin range lets the one before it look further.
     sizes = sorted((r["border"], r["n_shingles"]) for r in edges.filter(F.col("shared") == COUNT).select("border", "n_shingles").collect())
-    reach = spark.createDataFrame(_reach(sizes), "border int, owner int")
+    # As Arrow: rows of Python objects would go through Python workers of another kind, which stay beside the others.
+    ways = np.array(_reach(sizes), np.int32).reshape(-1, 2)
+    reach = spark.createDataFrame(pa.table({"border": ways[:, 0], "owner": ways[:, 1]}), "border int, owner int")
     tails = edges.filter(F.col("shared") == TAIL).withColumn("owner", F.col("border"))
     heads = edges.filter(F.col("shared") == HEAD).join(F.broadcast(reach), "border")
     across = tails.unionByName(heads).drop("border").groupBy("owner").applyInArrow(over_border, "a bigint, b bigint, shared int")

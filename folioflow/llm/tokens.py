@@ -20,7 +20,7 @@ from folioflow.llm.common import plain_text
 
 BATCH_BYTES = 1 << 20
 STRETCH = 1 << 16
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 300_000  # of a worker, about 250 bytes each; workers stay, and with them their pieces
 
 # The splitting rule of the byte-level file, spelled out for the characters of PLAIN.
 LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -79,10 +79,11 @@ class Encoder:
 
     def _learn(self, pieces: set[str], known: dict, measure) -> None:
         if len(known) > CACHE_PIECES:
+            # What the texts at hand use, frequent pieces among it, is not encoded again.
+            used = {p: known[p] for p in pieces if p in known}
             known.clear()
-            missing = list(pieces)
-        else:
-            missing = [p for p in pieces if p not in known]
+            known.update(used)
+        missing = [p for p in pieces if p not in known]
         for i in range(0, len(missing), 20_000):
             part = missing[i : i + 20_000]
             known.update(zip(part, map(measure, self.encode(part)), strict=True))

@@ -6,7 +6,7 @@ import numpy as np
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-BLOCK = 1 << 21
+BLOCK = 1 << 18  # bytes; every worker keeps two tables of as many numbers
 
 _draw = np.random.default_rng(20)
 _BYTE = _draw.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
