@@ -3,8 +3,8 @@
 Words enter as 64-bit hashes. Tasks gather their documents in blocks of a bounded number of tokens and ask for each
 distinct word of a block once: requests are dealt into parts by word, counted there, and answered block by block. Then come
 the pairs, the triples … up to the order, each level in the same way: a gram is a context, which is a gram of the level
-below, and a word, and is dealt to the part of its context. Its request carries the probability that the level below
-gives the word, so that the part can sum up what a context's followers take from it. A context that holds more than 1/1000
+below, and a word, and is dealt to the part of its context. Its request carries the two counts whose ratio is the probability
+that the level below gives the word, so that the part can sum up what a context's followers take from it. A context that holds more than 1/1000
 of the training tokens has its grams dealt by their last word, so that no part gathers a hot context.
 """
 
@@ -123,16 +123,24 @@ class Unigrams:
         return np.log10((c + 0.5) / (self.total + 0.5 * (self.types + 1)))
 
 
+def gram_bases(total: np.ndarray, low: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of contexts: the count that discounts leave free, and what the counts of their grams are divided by."""
+    free = (low * (np.arange(1, K + 1) * (1 - d[1:]))).sum(1)
+    return free, np.where(free > 0, total, total + 1)
+
+
+def seen_probabilities(c: np.ndarray, below: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """P(w | context) of grams that were seen, by their counts and what these are divided by; 0 for a count of 0."""
+    return np.where(c <= K, d[np.minimum(c, K).astype(int)], 1.0) * c / np.maximum(below, 1)
+
+
 def gram_probabilities(c: np.ndarray, lower: np.ndarray, total: np.ndarray, low: np.ndarray, seen: np.ndarray, d: np.ndarray) -> np.ndarray:
     """P(w | context) by gram: its count c, P(w | shorter context), and of the context the total, the types by count 1 .. K
     (`low`, one column each) and what the level below gives its followers (`seen`). Unseen grams back off to that level."""
-    r = np.arange(1, K + 1)
-    free = (low * (r * (1 - d[1:]))).sum(1)
-    below = np.where(free > 0, total, total + 1)
+    free, below = gram_bases(total, low, d)
     left = np.where(free > 0, free, 1.0) / np.maximum(below, 1)
     alpha = np.where(total > 0, left / np.maximum(1 - seen, 1e-300), 1.0)
-    direct = np.where(c <= K, d[np.minimum(c, K).astype(int)], 1.0) * c / np.maximum(below, 1)
-    return np.where(c > 0, direct, alpha * lower)
+    return np.where(c > 0, seen_probabilities(c, below, d), alpha * lower)
 
 
 # ---- blocks
@@ -221,7 +229,7 @@ def _ask_words(parts: int):
 
 
 def _count_words(asked: pa.Table) -> pa.Table:
-    """kind 0: the part's table (words, counts); kind 1: to a block, the numbers in the part and the counts of its words."""
+    """kind 0: the counts of the part's words; kind 1: to a block, the numbers in the part and the counts of its words."""
     rows = asked.to_pylist()
     part = rows[0]["part"]
     words = [np.frombuffer(r["words"], np.uint64) for r in rows]
@@ -230,7 +238,7 @@ def _count_words(asked: pa.Table) -> pa.Table:
         raise ValueError("too many words in a part: lower PART_WORDS")
     counts = np.zeros(len(known), np.int64)
     np.add.at(counts, where, np.concatenate([_unpack(r["counts"], np.uint32) for r in rows]).astype(np.int64))
-    out, at = [_answer(0, part, None, known.tobytes(), _pack(counts))], 0
+    out, at = [_answer(0, part, None, _pack(counts))], 0
     for r, w in zip(rows, words, strict=True):
         own = where[at : at + len(w)]
         at += len(w)
@@ -245,9 +253,11 @@ class _Grams:
     at: np.ndarray
     start: int  # the gram of nothing but START
     part: np.ndarray
-    # What only an answer says: number in all parts, training count, whether hot as a context, P(last word | the others).
+    # What only an answer says: number in all parts, training count, what that is divided by, whether hot as a context,
+    # P(last word | the others).
     ids: np.ndarray | None = None
     counts: np.ndarray | None = None
+    base: np.ndarray | None = None
     hot: np.ndarray | None = None
     p: np.ndarray | None = None
     # Of two words or more: context (a gram of the level below), last word, the gram without its first word; count in the block.
@@ -289,7 +299,8 @@ def _words(block: dict, answers: list[dict], model: Model) -> _Grams:
     # Every document begins at START.
     hot = counts * HOT_PARTS > model.total
     hot[start] = True
-    return _Grams(_unpack(block["tokens"], np.uint32).astype(np.int32), start, part, ids, counts, hot, model.uni.p(counts))
+    base = np.full(len(counts), model.uni.total + model.uni.below, np.int64)
+    return _Grams(_unpack(block["tokens"], np.uint32).astype(np.int32), start, part, ids, counts, base, hot, model.uni.p(counts))
 
 
 def _longer(block: dict, below: _Grams, words: _Grams, last: bool) -> _Grams:
@@ -329,9 +340,10 @@ def _answered(grams: _Grams, below: _Grams, answers: list[dict], level: Level, m
     plain = np.flatnonzero(contexts & ~below.hot)
     plain = plain[np.argsort(below.ids[plain])]
     sums = sorted((a for a in answers if a["kind"] == 4), key=lambda a: a["part"])
-    totals[plain] = np.concatenate([_unpack(a["a"], np.int64) for a in sums])
-    low[plain] = np.concatenate([_unpack(a["b"], np.uint32) for a in sums]).reshape(-1, K)
-    mass[plain] = np.concatenate([_unpack(a["c"], np.float64) for a in sums])
+    # In training texts a word or the end follows every plain context: its total is its own count.
+    totals[plain] = below.counts[plain]
+    low[plain] = np.concatenate([_unpack(a["a"], np.uint32) for a in sums]).reshape(-1, K)
+    mass[plain] = np.concatenate([_unpack(a["b"], np.float64) for a in sums])
     hot_ids, hot_totals, hot_low, hot_mass = level.hot
     i = np.flatnonzero(below.hot)
     j = np.searchsorted(hot_ids, below.ids[i])
@@ -339,6 +351,8 @@ def _answered(grams: _Grams, below: _Grams, answers: list[dict], level: Level, m
     i, j = i[there], j[there]
     totals[i], low[i], mass[i] = hot_totals[j], hot_low[j], hot_mass[j]
     grams.counts = c
+    if not last:
+        grams.base = gram_bases(totals, low, level.d)[1][grams.left]
     grams.p = np.empty(len(c))
     for a in range(0, len(c), 1 << 18):
         own = slice(a, a + (1 << 18))
@@ -356,7 +370,7 @@ def _levels(block: dict, answers: list[dict], model: Model) -> tuple[_Grams, _Gr
     return words, below
 
 
-ASK_GRAMS = "part int, block bigint, v binary, w binary, n binary, p binary, q binary"
+ASK_GRAMS = "part int, block bigint, v binary, w binary, n binary, c binary, base binary"
 
 
 def _ask_grams(model: Model):
@@ -371,11 +385,13 @@ def _ask_grams(model: Model):
             for p in range(model.parts):
                 i = order[at[p] : at[p + 1]]
                 if len(i):
-                    v = own.left[i]
-                    # Only grams that training texts of the block have add to their context's sums.
-                    lower, which = np.unique(np.where(own.n[i] > 0, below.p[own.suffix[i]], 0.0), return_inverse=True)
+                    v, suffix = own.left[i], own.suffix[i]
+                    # Only grams that training texts of the block have add to their context's sums; the level below has seen them too.
+                    lower = np.where(own.n[i] > 0, below.counts[suffix], 0)
+                    # The grams of a context lie side by side; without their first word they have one context too.
+                    base = below.base[suffix[np.flatnonzero(np.diff(v, prepend=-1))]]
                     asked = [_pack_steps(below.ids[v] | np.where(below.hot[v], HOT, np.uint64(0))), _pack(words.ids[own.right[i]]), _pack(own.n[i])]
-                    rows.append([p, block["block"], *asked, _pack(lower), _pack(which.astype(np.uint32))])
+                    rows.append([p, block["block"], *asked, _pack(lower), _pack(base)])
         kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
         return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
 
@@ -391,19 +407,28 @@ def _sums(v: np.ndarray, c: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, .
     return ids, np.bincount(where, c, len(ids)).astype(np.int64), low, np.bincount(where, mass, len(ids))
 
 
-def _count_grams(last: bool):
-    """kind 2: the part's table (v, w, counts, numbers); 3: to a block, counts and numbers of its grams; 4: to a block, sums
-    of its contexts; 5: the part's share of the sums of hot contexts, which other parts have too."""
+def _lower(v: np.ndarray, c: np.ndarray, base: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """What the level below, discounted by `d`, gives the last words of a request's grams; `base` has one number for each context."""
+    first = np.ones(len(v), bool)
+    first[1:] = v[1:] != v[:-1]
+    return seen_probabilities(c, base[np.cumsum(first) - 1], d)
+
+
+def _count_grams(last: bool, d: np.ndarray):
+    """kind 2: the counts of the part's grams; 3: to a block, counts and numbers of its grams; 4: to a block, sums
+    of its plain contexts (types by count, exactly where the block backs off, and what the level below, discounted by `d`,
+    gives their followers); 5: the part's share of the sums of hot contexts, which other parts have too."""
 
     def run(asked: pa.Table) -> pa.Table:
         rows = asked.to_pylist()
         part = rows[0]["part"]
-        v = np.concatenate([_unpack_steps(r["v"], np.uint64) for r in rows])
+        v = [_unpack_steps(r["v"], np.uint64) for r in rows]
+        p = np.concatenate([_lower(own, _unpack(r["c"], np.int64), _unpack(r["base"], np.int64), d) for own, r in zip(v, rows, strict=True)])
+        v = np.concatenate(v)
         w = np.concatenate([_unpack(r["w"], np.uint64) for r in rows])
         n = [_unpack(r["n"], np.uint32) for r in rows]
         sizes = [len(x) for x in n]
         n = np.concatenate(n).astype(np.int64)
-        p = np.concatenate([_unpack(r["p"], np.float64)[_unpack(r["q"], np.uint32)] for r in rows])
         order = np.lexsort((w, v))
         new = np.ones(len(v), bool)
         new[1:] = (np.diff(v[order]) != 0) | (np.diff(w[order]) != 0)
@@ -416,11 +441,9 @@ def _count_grams(last: bool):
         # Blocks with the gram in held-out texts only send no probability.
         lower = np.zeros(len(first))
         np.maximum.at(lower, where, p)
-        del p, n, order, new
-        pv, pw = v[first], w[first]
-        del w
-        kept = np.flatnonzero(c > 0)
-        out = [_answer(2, part, None, _pack_steps(pv[kept] & ~HOT), _pack(pw[kept]), _pack(c[kept]), None if last else _pack_steps(kept.astype(np.uint32)))]
+        del p, n, w, order, new
+        pv = v[first]
+        out = [_answer(2, part, None, _pack(c[c > 0]))]
         ids, totals, low, mass = _sums(pv, c, lower)
         at = 0
         for r, size in zip(rows, sizes, strict=True):
@@ -428,15 +451,17 @@ def _count_grams(last: bool):
             at += size
             out.append(_answer(3, part, r["block"], _pack(c[where[own]]), None if last else _pack_steps(where[own].astype(np.uint32))))
             own_v, which = np.unique(v[own], return_inverse=True)
-            # A block reads the sum of the followers only to back off from a context.
+            # A block reads the sum of the followers only to back off from a context, and else of the types by count only
+            # which there are: whether anything is discounted.
             backs_off = np.bincount(which, c[where[own]] == 0, len(own_v)) > 0
             plain = (own_v & HOT) == 0
             own_v, backs_off = own_v[plain], backs_off[plain]
             i = np.searchsorted(ids, own_v)
             found = (i < len(ids)) & (ids[np.minimum(i, len(ids) - 1)] == own_v) if len(ids) else np.zeros(len(own_v), bool)
-            t, l, m = np.zeros(len(own_v), np.int64), np.zeros((len(own_v), K), np.uint32), np.zeros(len(own_v))
-            t[found], l[found], m[found] = totals[i[found]], low[i[found]], mass[i[found]]
-            out.append(_answer(4, part, r["block"], _pack(t), _pack(l.reshape(-1)), _pack(np.where(backs_off, m, 0.0))))
+            l, m = np.zeros((len(own_v), K), np.uint32), np.zeros(len(own_v))
+            l[found], m[found] = low[i[found]], mass[i[found]]
+            l = np.where(backs_off[:, None], l, np.minimum(l, 1))
+            out.append(_answer(4, part, r["block"], _pack(l.reshape(-1)), _pack(np.where(backs_off, m, 0.0))))
         # A hot context is one of at most HOT_PARTS grams, or START; its grams lie in the parts of their last words.
         spread = (ids & HOT) > 0
         out.append(_answer(5, part, None, _pack(ids[spread] & ~HOT), _pack(totals[spread]), _pack(low[spread].reshape(-1)), _pack(mass[spread])))
@@ -556,12 +581,12 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     parts = max(1, buckets if asked else 1, -(-asked // 8 // PART_WORDS))
     answers, kind = _Answers(spark), docs.schema[id_col].dataType
     answers.add(blocks.select("block", "words", "counts").mapInArrow(_ask_words(parts), ASK_WORDS).groupBy("part").applyInArrow(_count_words, ANSWER), 1)
-    total, n = _types_by_count(answers.of_parts(1, 0), "b")
+    total, n = _types_by_count(answers.of_parts(1, 0), "a")
     model = Model(parts, total, Unigrams.of(total, n), order)
     for k in range(2, order + 1):
         grams = blocks.groupBy("block").cogroup(answers.of_blocks().groupBy("block")).applyInArrow(_ask_grams(model), ASK_GRAMS)
-        answers.add(grams.groupBy("part").applyInArrow(_count_grams(k == order), ANSWER), k)
-        level = Level(discounts(_types_by_count(answers.of_parts(k, 2), "c")[1][:-1]), _hot_sums(answers.of_parts(k, 5)))
+        answers.add(grams.groupBy("part").applyInArrow(_count_grams(k == order, (model.levels or (model.uni,))[-1].d), ANSWER), k)
+        level = Level(discounts(_types_by_count(answers.of_parts(k, 2), "a")[1][:-1]), _hot_sums(answers.of_parts(k, 5)))
         model = replace(model, levels=(*model.levels, level))
     scored = blocks.groupBy("block").cogroup(answers.of_blocks().groupBy("block")).applyInArrow(_score(model, kind), RESULT.format(kind=kind.simpleString()))
     answers.close()
