@@ -20,14 +20,16 @@ from folioflow.llm.common import plain_text
 
 BATCH_BYTES = 1 << 20
 STRETCH = 1 << 16
+ROW_PIECES = 100  # words that the library encodes as one text
 CACHE_PIECES = 300_000  # of a worker, about 250 bytes each; workers stay, and with them their pieces
 
-# The splitting rule of the byte-level file, spelled out for the characters of PLAIN.
+# The splitting rule of the byte-level file, spelled out for plain characters; the commonest kind comes first.
 LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 PIECES = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^ \t\n\r{LETTER}0-9]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+"
+    rf" ?[{LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^ \t\n\r{LETTER}0-9]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+"
 )
 NOT_PLAIN = re.compile("[^\t\n\r\x20-\x7e¡-©«-¬®-±´¶-¸»¿-ɏ‐-‧‰-⁞]")
+LETTERS = re.compile(rf" [{LETTER}]+")
 SPACE_AFTER_WORD = re.compile("(?<=[!-~À-ɏ])[ \t\n\r]")
 
 
@@ -53,6 +55,9 @@ class Encoder:
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, specials))) if specials else re.compile("(?!)")
         self.by_word = self._splits_like_pieces()
+        vocab = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.spaced[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True  # a space, as byte-level files write it
         self.ids: dict[str, bytes] = {}
         self.lengths: dict[str, int] = {}
 
@@ -77,30 +82,58 @@ class Encoder:
                 found += PIECES.findall(part)
         return found
 
-    def _learn(self, pieces: set[str], known: dict, measure) -> None:
+    def _encoded_rows(self, words: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """Words of a space and letters, the ids of some of them in a row, and where each word's ids begin and end.
+
+        A space after a letter begins a new word, so words side by side are encoded as each on its own, and each one's
+        first id is the only one that begins with a space.
+        """
+        rows = [words[i : i + ROW_PIECES] for i in range(0, len(words), ROW_PIECES)]
+        texts = list(map("".join, rows))
+        for row, text, e in zip(rows, texts, self.encode(texts), strict=True):
+            ids = np.array(e.ids, "<u4")
+            at = np.flatnonzero(self.spaced[ids])
+            if len(at) == len(row) and not self.special.search(text):
+                yield row, ids, np.append(at, len(ids))
+            else:
+                alone = [np.array(x.ids, "<u4") for x in self.encode(row)]
+                yield row, np.concatenate(alone), np.cumsum([0, *map(len, alone)])
+
+    def _learn(self, pieces: set[str], known: dict, measure, measure_row) -> None:
+        """`measure` is of a piece's encoding; `measure_row` of many pieces' ids in a row, and where each begins and ends."""
         if len(known) > CACHE_PIECES:
             # What the texts at hand use, frequent pieces among it, is not encoded again.
             used = {p: known[p] for p in pieces if p in known}
             known.clear()
             known.update(used)
-        missing = [p for p in pieces if p not in known]
+        missing = list(pieces.difference(known))
+        words = list(filter(LETTERS.fullmatch, missing)) if self.by_word else []
+        missing = list(set(missing).difference(words)) if words else missing
+        for i in range(0, len(words), 20_000):
+            for row, ids, at in self._encoded_rows(words[i : i + 20_000]):
+                known.update(zip(row, measure_row(ids, at), strict=True))
         for i in range(0, len(missing), 20_000):
             part = missing[i : i + 20_000]
             known.update(zip(part, map(measure, self.encode(part)), strict=True))
 
     def count(self, texts: list[str]) -> list[int]:
         parts = [self._parts(t) for t in texts]
-        self._learn(set().union(*parts), self.lengths, len)
+        self._learn(set().union(*parts), self.lengths, len, lambda ids, at: np.diff(at).tolist())
         of = self.lengths.__getitem__
         return [sum(map(of, p)) for p in parts]
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         parts = [self._parts(t) for t in texts]
-        self._learn(set().union(*parts), self.ids, lambda e: np.array(e.ids, "<u4").tobytes())
+        self._learn(set().union(*parts), self.ids, lambda e: np.array(e.ids, "<u4").tobytes(), _slices)
         of = self.ids.__getitem__
         return [b"".join(map(of, p)) for p in parts]
 
 
+def _slices(ids: np.ndarray, at: np.ndarray) -> list[bytes]:
+    raw, at = ids.tobytes(), (4 * at).tolist()
+    return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 class PieceModel:
     """Lengths by a sentencepiece .model file, whose pieces cross spaces: whole texts."""
 
