@@ -57,6 +57,28 @@ def _unpack_steps(raw: bytes, dtype) -> np.ndarray:
     return np.cumsum(_unpack(raw, dtype), dtype=dtype)
 
 
+def _by_frequency(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and where each entry's is among them: frequent ones first, so that most places are small numbers,
+    and rising among those about as frequent."""
+    values, where, n = np.unique(x, return_inverse=True, return_counts=True)
+    order = np.argsort(-np.frexp(n)[1], kind="stable")
+    place = np.empty(len(values), np.uint32)
+    place[order] = np.arange(len(values), dtype=np.uint32)
+    return values[order], place[where]
+
+
+def _pack_values(x: np.ndarray) -> bytes:
+    """Like `_pack`, for wide numbers of which many are equal."""
+    values, place = _by_frequency(x)
+    first = _pack_steps(values)
+    return len(first).to_bytes(8, "little") + first + _pack(place)
+
+
+def _unpack_values(raw: bytes, dtype) -> np.ndarray:
+    end = 8 + int.from_bytes(raw[:8], "little")
+    return _unpack_steps(raw[8:end], dtype)[_unpack(raw[end:], np.uint32)]
+
+
 def _column_bytes(values: list, kind: pa.DataType) -> bytes:
     """A column of any type as bytes."""
     sink = pa.BufferOutputStream()
@@ -370,7 +392,7 @@ def _levels(block: dict, answers: list[dict], model: Model) -> tuple[_Grams, _Gr
     return words, below
 
 
-ASK_GRAMS = "part int, block bigint, v binary, w binary, n binary, c binary, base binary"
+ASK_GRAMS = "part int, block bigint, v binary, words binary, w binary, n binary, c binary, base binary"
 
 
 def _ask_grams(model: Model):
@@ -386,13 +408,19 @@ def _ask_grams(model: Model):
                 i = order[at[p] : at[p + 1]]
                 if len(i):
                     v, suffix = own.left[i], own.suffix[i]
-                    # Only grams that training texts of the block have add to their context's sums; the level below has seen them too.
-                    lower = np.where(own.n[i] > 0, below.counts[suffix], 0)
+                    # Each last word's id is sent once.
+                    last, w = _by_frequency(own.right[i])
+                    # Only grams that training texts of the block have add to their context's sums; the level below has seen
+                    # them too. Without its first word a pair is its last word, whose count is sent once as well.
+                    lower = np.where(own.n[i] > 0, below.counts[suffix], 0) if model.levels else below.counts[last]
                     # The grams of a context lie side by side; without their first word they have one context too.
-                    base = below.base[suffix[np.flatnonzero(np.diff(v, prepend=-1))]]
-                    asked = [_pack_steps(below.ids[v] | np.where(below.hot[v], HOT, np.uint64(0))), _pack(words.ids[own.right[i]]), _pack(own.n[i])]
-                    rows.append([p, block["block"], *asked, _pack(lower), _pack(base)])
-        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+                    starts = np.flatnonzero(np.diff(v, prepend=-1))
+                    base = below.base[suffix[starts]]
+                    if model.levels:
+                        base = np.where(np.add.reduceat(own.n[i], starts) > 0, base, 0)  # of no use where all counts sent are 0
+                    asked = [_pack_steps(below.ids[v] | np.where(below.hot[v], HOT, np.uint64(0))), _pack_steps(words.ids[last]), _pack(w), _pack(own.n[i])]
+                    rows.append([p, block["block"], *asked, _pack(lower), _pack_values(base)])
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
         return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
 
     return run
@@ -414,7 +442,7 @@ def _lower(v: np.ndarray, c: np.ndarray, base: np.ndarray, d: np.ndarray) -> np.
     return seen_probabilities(c, base[np.cumsum(first) - 1], d)
 
 
-def _count_grams(last: bool, d: np.ndarray):
+def _count_grams(last: bool, pairs: bool, d: np.ndarray):
     """kind 2: the counts of the part's grams; 3: to a block, counts and numbers of its grams; 4: to a block, sums
     of its plain contexts (types by count, exactly where the block backs off, and what the level below, discounted by `d`,
     gives their followers); 5: the part's share of the sums of hot contexts, which other parts have too."""
@@ -423,9 +451,11 @@ def _count_grams(last: bool, d: np.ndarray):
         rows = asked.to_pylist()
         part = rows[0]["part"]
         v = [_unpack_steps(r["v"], np.uint64) for r in rows]
-        p = np.concatenate([_lower(own, _unpack(r["c"], np.int64), _unpack(r["base"], np.int64), d) for own, r in zip(v, rows, strict=True)])
+        w = [_unpack(r["w"], np.uint32) for r in rows]
+        c = [_unpack(r["c"], np.int64)[at if pairs else slice(None)] for at, r in zip(w, rows, strict=True)]
+        p = np.concatenate([_lower(own, x, _unpack_values(r["base"], np.int64), d) for own, x, r in zip(v, c, rows, strict=True)])
         v = np.concatenate(v)
-        w = np.concatenate([_unpack(r["w"], np.uint64) for r in rows])
+        w = np.concatenate([_unpack_steps(r["words"], np.uint64)[at] for at, r in zip(w, rows, strict=True)])
         n = [_unpack(r["n"], np.uint32) for r in rows]
         sizes = [len(x) for x in n]
         n = np.concatenate(n).astype(np.int64)
@@ -438,7 +468,7 @@ def _count_grams(last: bool, d: np.ndarray):
         if len(first) >= 1 << GRAM_BITS:
             raise ValueError("too many grams in a part: lower PART_WORDS")
         c = np.bincount(where, n, len(first)).astype(np.int64)
-        # Blocks with the gram in held-out texts only send no probability.
+        # Blocks with the gram in held-out texts only may send no probability.
         lower = np.zeros(len(first))
         np.maximum.at(lower, where, p)
         del p, n, w, order, new
@@ -585,7 +615,7 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     model = Model(parts, total, Unigrams.of(total, n), order)
     for k in range(2, order + 1):
         grams = blocks.groupBy("block").cogroup(answers.of_blocks().groupBy("block")).applyInArrow(_ask_grams(model), ASK_GRAMS)
-        answers.add(grams.groupBy("part").applyInArrow(_count_grams(k == order, (model.levels or (model.uni,))[-1].d), ANSWER), k)
+        answers.add(grams.groupBy("part").applyInArrow(_count_grams(k == order, k == 2, (model.levels or (model.uni,))[-1].d), ANSWER), k)
         level = Level(discounts(_types_by_count(answers.of_parts(k, 2), "a")[1][:-1]), _hot_sums(answers.of_parts(k, 5)))
         model = replace(model, levels=(*model.levels, level))
     scored = blocks.groupBy("block").cogroup(answers.of_blocks().groupBy("block")).applyInArrow(_score(model, kind), RESULT.format(kind=kind.simpleString()))
