@@ -95,7 +95,7 @@ def settle(spark: SparkSession, path: str, moves: Moves) -> None:
 
 def refresh(spark: SparkSession, path: str, changes: DataFrame, links: DataFrame) -> DataFrame:
     """`move` and `settle`; returns the edges that came and went."""
-    moves = move(spark, path, changes, links)
+    moves = move(spark, path, _kept(spark, changes, "link-changes"), links)
     settle(spark, path, moves)
     return moves.edges
 
